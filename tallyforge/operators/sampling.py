@@ -58,6 +58,8 @@ def _up_to(df: DataFrame, key: str, size: Column, seed: int | str, digits: int,
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int | str = 42, digits: int = PREFIX_DIGITS) -> DataFrame:
     """Exactly ``n`` random rows, or the whole frame when it is smaller."""
+    if n < 1:
+        return df.limit(0)
     return df.where(_up_to(df, key, F.lit(n), seed, digits, if_short=True))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.columns import derive_office, derive_region, region_prefixes, to_numeric
 from tallyforge.operators.joins import checked_broadcast, semi_lookup
-from tallyforge.sources.lookups import PURPOSES, REGIONS, SUB_GRADES
+from tallyforge.sources.lookups import PURPOSES, SUB_GRADES
 
 #: Columns of the loan table that the dashboard shows.
 LOAN_COLUMNS = (
@@ -59,14 +59,15 @@ def filter_multiselect(loans: DataFrame, offices: DataFrame, selection: Selectio
 
     With nothing chosen a filter still keeps only listed values, so rows with an unlisted purpose,
     sub-grade or zip are dropped. Short lists become IN sets; the long zip list is a semi-join, which
-    cannot multiply rows. A region choice is also tested as zip prefixes, which the scan can use.
+    cannot multiply rows. A region choice is tested as zip prefixes, which the scan can use; without one,
+    the four listed regions are all that :func:`loan_base` lets through.
     """
-    regions = selection.regions or REGIONS
     picked = loans.where(
         F.col("purpose").isin(*(selection.purposes or PURPOSES))
         & F.col("sub_grade").isin(*(selection.sub_grades or SUB_GRADES))
-        & region_prefixes("zip_code", regions)
     )
+    if selection.regions:
+        picked = picked.where(region_prefixes("zip_code", selection.regions))
     if selection.zip_codes:
         picked = picked.where(F.col("zip_code").isin(*selection.zip_codes))
     else:

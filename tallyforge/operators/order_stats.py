@@ -1,45 +1,65 @@
-"""Exact order statistics and ranks without gathering a group in one task.
+"""Exact order statistics without gathering a group in one task.
 
-The built-in exact percentile keeps every distinct value of a group in one buffer, and an unpartitioned
-or coarsely partitioned ``row_number`` sorts a whole group in one task. Here values are cut into buckets
-that hold about equally many rows, the wanted rank picks one bucket, and only that bucket is sorted.
+The built-in exact percentile keeps every distinct value of a group in one buffer, and a window over a
+group sorts it in one task. Here a quantile sketch brackets each wanted rank, exact counts say how many
+rows lie before a bracket, and only the few rows inside the brackets are sorted.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
+from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyforge.operators.joins import checked_broadcast
 
-RankList = Callable[[Column], Sequence[tuple[str, Column]]]
+#: A wanted rank: roughly which fraction of the rows precedes it, and the exact 0-based rank given the row count.
+Rank = tuple[float, Callable[[Column], Column]]
 
+#: Sketch accuracy; its rank error is at most ``n / ACCURACY``, so a bracket holds about ``4 * n / ACCURACY`` rows.
+ACCURACY = 10_000
 
-def value_buckets(df: DataFrame, value: str, buckets: int) -> DataFrame:
-    """Add ``_b``: a bucket number that never decreases with the value.
 
-    The edges come from one quantile sketch over all rows and are plain constants, so a recomputed
-    task cuts the values the same way. They only balance the buckets; no result depends on them.
+def _same(left: str, right: str, keys: list[str]) -> list[Column]:
+    return [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
+
+
+def _segment(value: Column, edges: list[Column]) -> Column:
+    """Segment number between sorted edges; every edge value is a segment of its own.
+
+    A value that holds a large share of the rows becomes an edge, and its segment is a single value.
+    """
+    steps = [(value > e).cast("int") + (value >= e).cast("int") for e in edges]
+    return reduce(lambda a, b: a + b, steps, F.lit(0))
+
+
+def _in_segments(df: DataFrame, value: str, fractions: list[float], by: tuple[str, ...], accuracy: int) -> DataFrame:
+    """Add ``_b``, the segment of each row between the bracket edges of its group.
+
+    The edges only balance the work; any edges give the same result.
     """
-    probabilities = [i / buckets for i in range(1, buckets)]
-    numeric = df.select(F.col(value).cast("double").alias("_x"))
-    edges = sorted(set(numeric.approxQuantile("_x", probabilities, 1.0 / (4 * buckets)))) or [0.0]
-    cut = Bucketizer(splits=[float("-inf"), *edges, float("inf")], inputCol="_x", outputCol="_b")
-    return cut.transform(df.withColumn("_x", F.col(value).cast("double"))).drop("_x")
+    margin = 2.0 / accuracy
+    wanted = sorted({min(1.0, max(0.0, p + side)) for p in fractions for side in (-margin, margin)})
+    edges = df.groupBy(*by).agg(F.percentile_approx(value, wanted, accuracy).alias("_e"))
+    if not by:
+        found = edges.first()["_e"] or []
+        return df.withColumn("_b", _segment(F.col(value), [F.lit(e) for e in sorted(set(found))]))
+    d, e = df.alias("d"), checked_broadcast(edges).alias("e")
+    joined = d.join(e, _same("d", "e", list(by))).select("d.*", "e._e")
+    return joined.withColumn("_b", _segment(F.col(value), [F.col("_e")[i] for i in range(len(wanted))])).drop("_e")
 
 
-def bucket_spans(bucketed: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """Per group and bucket: ``_start`` (rows before it), ``_c`` (rows in it) and ``_n`` (rows of the group).
+def segment_spans(df: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Per group and segment: ``_start`` (rows before it), ``_c`` (rows in it) and ``_n`` (rows of the group).
 
-    The windows run over bucket totals, at most one row per bucket and group.
+    The windows run over segment totals, a few rows per group.
     """
     whole = Window.partitionBy(*by)
     return (
-        bucketed.groupBy(*by, "_b")
+        df.groupBy(*by, "_b")
         .agg(F.count(F.lit(1)).alias("_c"))
         .withColumn("_start", F.sum("_c").over(whole.orderBy("_b")) - F.col("_c"))
         .withColumn("_n", F.sum("_c").over(whole))
@@ -47,59 +67,57 @@ def bucket_spans(bucketed: DataFrame, by: tuple[str, ...]) -> DataFrame:
 
 
 def values_at_ranks(
-    df: DataFrame, value: str, ranks: RankList, by: tuple[str, ...] = (), buckets: int = 1024
+    df: DataFrame, value: str, ranks: dict[str, Rank], by: tuple[str, ...] = (), accuracy: int = ACCURACY
 ) -> DataFrame:
     """The value at given 0-based ranks of every group: rows ``(*by, tag, n, value)``.
 
-    ``ranks(n)`` names the wanted ranks as ``(tag, rank)`` pairs, where ``n`` is the group size.
-    NULL and NaN are left out. One pass makes the edges, one the bucket totals, and one reads the
-    wanted buckets, whose equal values are merged before the shuffle.
+    NULL and NaN are left out. One pass finds the brackets, one counts, and one reads the bracketed
+    rows, whose equal values are merged before the shuffle.
     """
     x = F.col(value)
     kept = df.where(x.isNotNull() & ~F.isnan(x.cast("double"))).select(*by, value)
-    bucketed = value_buckets(kept, value, buckets)
-    start, end = F.col("_start"), F.col("_start") + F.col("_c")
+    cut = _in_segments(kept, value, [p for p, _ in ranks.values()], by, accuracy)
     wanted = F.array(
-        *[F.struct(F.lit(tag).alias("tag"), rank.cast("bigint").alias("rank")) for tag, rank in ranks(F.col("_n"))]
+        *[
+            F.struct(F.lit(tag).alias("tag"), at(F.col("_n")).cast("bigint").alias("rank"))
+            for tag, (_, at) in ranks.items()
+        ]
     )
+    at = F.col("t.rank") - F.col("_start")
     targets = (
-        bucket_spans(bucketed, by)
-        .select(*by, "_b", "_n", start, end.alias("_end"), F.explode(wanted).alias("t"))
-        .where((F.col("t.rank") >= F.col("_start")) & (F.col("t.rank") < F.col("_end")))
-        .select(*by, "_b", "_n", "t.tag", (F.col("t.rank") - F.col("_start")).alias("_at"))
+        segment_spans(cut, by)
+        .select(*by, "_b", "_n", "_start", "_c", F.explode(wanted).alias("t"))
+        .where((at >= 0) & (at < F.col("_c")))
+        .select(*by, "_b", "_n", "t.tag", at.alias("_at"))
     )
-    targets = checked_broadcast(targets)
+    targets = checked_broadcast(targets).alias("t")
     keys = [*by, "_b"]
-    t, b = targets.alias("t"), bucketed.alias("b")
-    same = [F.col(f"b.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
-    counts = b.join(t, same, "left_semi").groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_m"))
-    running = counts.withColumn("_upto", F.sum("_m").over(Window.partitionBy(*keys).orderBy(value))).alias("b")
-    hit = (F.col("t._at") >= F.col("b._upto") - F.col("b._m")) & (F.col("t._at") < F.col("b._upto"))
-    return running.join(t, [*same, hit], "inner").select(
-        *[F.col(f"b.{k}") for k in by], F.col("t.tag"), F.col("t._n").alias("n"), F.col(f"b.{value}").alias("value")
+    inside = cut.alias("d").join(targets, _same("d", "t", keys), "left_semi")
+    counts = inside.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_m"))
+    upto = F.sum("_m").over(Window.partitionBy(*keys).orderBy(value))
+    running = counts.withColumn("_upto", upto).alias("d")
+    hit = (F.col("t._at") >= F.col("d._upto") - F.col("d._m")) & (F.col("t._at") < F.col("d._upto"))
+    return running.join(targets, [*_same("d", "t", keys), hit]).select(
+        *[F.col(f"d.{k}") for k in by], F.col("t.tag"), F.col("t._n").alias("n"), F.col(f"d.{value}").alias("value")
     )
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probabilities: dict[str, float], by: tuple[str, ...] = (), buckets: int = 1024
+    df: DataFrame, value: str, probabilities: dict[str, float], by: tuple[str, ...] = (), accuracy: int = ACCURACY
 ) -> DataFrame:
     """Exact interpolated quantiles per group, one column per entry of ``probabilities``."""
-
-    def ranks(n: Column) -> list[tuple[str, Column]]:
-        wanted = []
-        for name, p in probabilities.items():
-            at = F.lit(float(p)) * (n - 1)
-            wanted += [(f"{name}|lo", F.floor(at)), (f"{name}|hi", F.ceil(at))]
-        return wanted
-
-    rows = values_at_ranks(df, value, ranks, by, buckets)
+    ranks: dict[str, Rank] = {}
+    for name, p in probabilities.items():
+        ranks[f"{name}|lo"] = (p, lambda n, p=p: F.floor(F.lit(float(p)) * (n - 1)))
+        ranks[f"{name}|hi"] = (p, lambda n, p=p: F.ceil(F.lit(float(p)) * (n - 1)))
     columns = []
     for name, p in probabilities.items():
-        lo = F.max(F.when(F.col("tag") == f"{name}|lo", F.col("value").cast("double")))
-        hi = F.max(F.when(F.col("tag") == f"{name}|hi", F.col("value").cast("double")))
+        lo, hi = (
+            F.max(F.when(F.col("tag") == f"{name}|{side}", F.col("value").cast("double"))) for side in ("lo", "hi")
+        )
         at = F.lit(float(p)) * (F.max("n") - 1)
         columns.append((lo + (hi - lo) * (at - F.floor(at))).alias(name))
-    return rows.groupBy(*by).agg(*columns)
+    return values_at_ranks(df, value, ranks, by, accuracy).groupBy(*by).agg(*columns)
 
 
 def exact_median(df: DataFrame, value: str, name: str = "median", by: tuple[str, ...] = ()) -> DataFrame:

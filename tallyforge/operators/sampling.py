@@ -82,9 +82,7 @@ def split_exact(
 def mark_split_ordered(df: DataFrame, key: str, fraction: float = 0.7) -> DataFrame:
     """Add ``is_train``: true for the first ``floor(fraction * n)`` rows in key order (numeric key)."""
 
-    def last(n: Column) -> list[tuple[str, Column]]:
-        return [("last", F.floor(F.lit(fraction) * n) - 1)]
-
+    last = {"last": (fraction, lambda n: F.floor(F.lit(fraction) * n) - 1)}
     edge = values_at_ranks(df, key, last).select("value").scalar()
     return df.withColumn("is_train", F.coalesce(F.col(key) <= edge, F.lit(False)))
 

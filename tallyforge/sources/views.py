@@ -6,7 +6,7 @@ and returns a lazy DataFrame. Nulls and malformed text are planted by key arithm
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -14,65 +14,42 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 
-def _text(col: Column) -> Column:
-    return col.cast("string")
-
-
-def _whole_text(col: Column) -> Column:
-    return F.floor(col).cast("bigint").cast("string")
-
-
-def _planted(every: int, key: Column, value: Column, bad: str | None = None) -> Column:
-    return F.when(key % every == 0, F.lit(bad)).otherwise(value)
+# Purpose code by ``key % 13``; the last one is not in the lookup.
+_CODES = (
+    "credit_card", "medical", "major_purchase", "renewable_energy", "small_business", "debt_consolidation",
+    "vacation", "house", "other", "home_improvement", "moving", "car", "wedding",
+)
+
+_LOANS = {
+    "member_id": "o_orderkey",
+    "zip_code": "if(o_orderkey % 97 = 0, NULL, concat(lpad(string(o_orderkey * 37 % 1000), 3, '0'), 'xx'))",
+    "addr_state": "if(o_orderkey % 71 = 0, NULL, concat('S', o_custkey % 50))",
+    "grade": "if(o_orderkey % 53 = 0, NULL, substr('ABCDEFG', int(1 + o_custkey % 7), 1))",
+    "sub_grade": "concat(substr('ABCDEFG', int(1 + o_custkey % 7), 1), 1 + o_orderkey % 5)",
+    "loan_amnt": "string(bigint(floor(o_totalprice)))",
+    "funded_amnt": "string(bigint(floor(o_totalprice)))",
+    "term": "CASE WHEN o_orderkey % 101 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN ' 60 months' ELSE ' 36 months' END",
+    "int_rate": "if(o_orderkey % 89 = 0, 'n/a', concat(5 + o_custkey % 20, '.', lpad(string(o_orderkey % 100), 2, '0'), '%'))",
+    "emp_title": "concat('title ', o_custkey % 30)",
+    "emp_length": "concat(o_custkey % 10, ' years')",
+    "annual_inc": "string(20000 + o_custkey * 131 % 150000)",
+    "loan_status": "CASE WHEN o_orderstatus = 'F' THEN 'Fully Paid' WHEN o_orderstatus = 'O' THEN 'Current'"
+    " WHEN o_orderpriority = '1-URGENT' THEN 'Charged Off' WHEN o_orderpriority = '2-HIGH' THEN 'Late (31-120 days)'"
+    " WHEN o_orderpriority = '3-MEDIUM' THEN 'In Grace Period' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL"
+    " ELSE 'Default' END",
+    "purpose": "element_at(array({codes}), int(1 + o_orderkey % 13))".format(codes=", ".join(f"'{c}'" for c in _CODES)),
+    "title": "concat('loan ', o_orderkey % 13)",
+    "dti": "string(o_custkey % 40)",
+    "out_prncp": "if(o_orderstatus = 'F', '0', string(bigint(floor(o_totalprice / 2))))",
+    "bc_util": "if(o_orderkey % 41 = 0, 'NA', string(o_custkey * 7 % 100))",
+    "bc_open_to_buy": "if(o_orderkey % 43 = 0, NULL, string(o_custkey * 311 % 50000))",
+    "all_util": "if(o_orderkey % 47 = 0, NULL, string(o_orderkey * 3 % 110))",
+}
 
 
 def loans(spark: SparkSession, base: str) -> DataFrame:
     """Loan table; key ``member_id``. All measures are text, as in the source table."""
-    key, cust, price = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice")
-    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-    letter = F.substr(F.lit("ABCDEFG"), (1 + cust % 7).cast("int"), F.lit(1))
-    purpose = F.lit("wedding")
-    codes = (
-        "credit_card", "medical", "major_purchase", "renewable_energy", "small_business", "debt_consolidation",
-        "vacation", "house", "other", "home_improvement", "moving", "car",
-    )
-    for i in reversed(range(len(codes))):
-        purpose = F.when(key % 13 == i, F.lit(codes[i])).otherwise(purpose)
-    loan_status = (
-        F.when(status == "F", "Fully Paid")
-        .when(status == "O", "Current")
-        .when(priority == "1-URGENT", "Charged Off")
-        .when(priority == "2-HIGH", "Late (31-120 days)")
-        .when(priority == "3-MEDIUM", "In Grace Period")
-        .when(priority == "4-NOT SPECIFIED", F.lit(None))
-        .otherwise("Default")
-    )
-    rate = F.concat(_text(5 + cust % 20), F.lit("."), F.lpad(_text(key % 100), 2, "0"), F.lit("%"))
-    return table(spark, base, "orders").select(
-        key.alias("member_id"),
-        _planted(97, key, F.concat(F.lpad(_text(key * 37 % 1000), 3, "0"), F.lit("xx"))).alias("zip_code"),
-        _planted(71, key, F.concat(F.lit("S"), _text(cust % 50))).alias("addr_state"),
-        _planted(53, key, letter).alias("grade"),
-        F.concat(letter, _text(1 + key % 5)).alias("sub_grade"),
-        _whole_text(price).alias("loan_amnt"),
-        _whole_text(price).alias("funded_amnt"),
-        F.when(key % 101 == 0, F.lit(None))
-        .when(key % 3 == 0, " 60 months")
-        .otherwise(" 36 months")
-        .alias("term"),
-        _planted(89, key, rate, "n/a").alias("int_rate"),
-        F.concat(F.lit("title "), _text(cust % 30)).alias("emp_title"),
-        F.concat(_text(cust % 10), F.lit(" years")).alias("emp_length"),
-        _text(20000 + cust * 131 % 150000).alias("annual_inc"),
-        loan_status.alias("loan_status"),
-        purpose.alias("purpose"),
-        F.concat(F.lit("loan "), _text(key % 13)).alias("title"),
-        _text(cust % 40).alias("dti"),
-        F.when(status == "F", "0").otherwise(_whole_text(price / 2)).alias("out_prncp"),
-        _planted(41, key, _text(cust * 7 % 100), "NA").alias("bc_util"),
-        _planted(43, key, _text(cust * 311 % 50000)).alias("bc_open_to_buy"),
-        _planted(47, key, _text(key * 3 % 110)).alias("all_util"),
-    )
+    return table(spark, base, "orders").selectExpr(*[f"{text} AS {name}" for name, text in _LOANS.items()])
 
 
 def office_lookup(spark: SparkSession, base: str) -> DataFrame:

@@ -24,16 +24,21 @@ def _number(value: float | None) -> str:
     return "CAST(NULL AS DOUBLE)" if value is None else f"{float(value)!r}D"
 
 
-def _replace(columns: dict[str, str], kept: list[str]) -> SQLTransformer:
-    """A stage that computes ``columns`` (name to SQL) in place or appended, and keeps the rest."""
-    parts = [f"{columns[c]} AS `{c}`" if c in columns else f"`{c}`" for c in kept]
-    parts += [f"{sql} AS `{c}`" for c, sql in columns.items() if c not in kept]
-    return SQLTransformer(statement=f"SELECT {', '.join(parts)} FROM __THIS__")
+def _stage(columns: dict[str, str], dropped: tuple[str, ...] = ()) -> SQLTransformer:
+    """A stage that adds ``columns`` (name to SQL over the input) after removing ``dropped``.
+
+    A column that is both dropped and added is replaced.
+    """
+    rest = f"* EXCEPT ({', '.join(f'`{c}`' for c in dropped)})" if dropped else "*"
+    return SQLTransformer(statement=f"SELECT {', '.join([rest, *[f'{q} AS `{c}`' for c, q in columns.items()]])} FROM __THIS__")
+
+
+def replace_columns(columns: dict[str, str]) -> SQLTransformer:
+    return _stage(columns, tuple(columns))
 
 
-def _append(columns: dict[str, str]) -> SQLTransformer:
-    parts = ["*", *[f"{sql} AS `{c}`" for c, sql in columns.items()]]
-    return SQLTransformer(statement=f"SELECT {', '.join(parts)} FROM __THIS__")
+def add_columns(columns: dict[str, str]) -> SQLTransformer:
+    return _stage(columns)
 
 
 def fit_scaler(train: DataFrame, columns: tuple[str, ...], ddof: int = 0, suffix: str = "") -> SQLTransformer:
@@ -49,7 +54,7 @@ def fit_scaler(train: DataFrame, columns: tuple[str, ...], ddof: int = 0, suffix
         f"{c}{suffix}": f"(CAST(`{c}` AS DOUBLE) - {_number(stats[f'm{i}'])}) / {_number(stats[f's{i}'] or 1.0)}"
         for i, c in enumerate(columns)
     }
-    return _append(sql) if suffix else _replace(sql, train.columns)
+    return add_columns(sql) if suffix else replace_columns(sql)
 
 
 def levels(train: DataFrame, column: str) -> list[str]:
@@ -68,15 +73,14 @@ def fit_dummy(train: DataFrame, column: str) -> SQLTransformer:
         sql[f"{column}_{safe_name(level)}"] = (
             f"CASE WHEN `{column}` IS NULL THEN NULL WHEN `{column}` = '{text}' THEN 1.0D ELSE 0.0D END"
         )
-    kept = [c for c in train.columns if c != column]
-    return _replace(sql, kept)
+    return _stage(sql, (column,))
 
 
 def fit_impute_mean(train: DataFrame, columns: tuple[str, ...]) -> SQLTransformer:
     """Fill NULLs by the training mean."""
     means = train.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)]).first()
     sql = {c: f"coalesce(`{c}`, {_number(means[f'm{i}'])})" for i, c in enumerate(columns)}
-    return _replace(sql, train.columns)
+    return replace_columns(sql)
 
 
 def rate_rows(loans: DataFrame) -> DataFrame:
@@ -95,16 +99,16 @@ def fit_recipe(
 
     In this order: cast to numbers, centre and scale by the sample sd of the known values, indicators
     for the term, then fill NULLs by the training mean. The mean of a scaled column is 0, so that is the
-    fill. Rows without a term get 0 in its indicators when they are assembled.
+    fill. A row without a term keeps NULL indicators.
     """
-    cast = _replace({c: f"try_cast(`{c}` AS DOUBLE)" for c in numeric}, train.columns)
+    cast = replace_columns({c: f"try_cast(`{c}` AS DOUBLE)" for c in numeric})
     numbers = cast.transform(train)
     scale = fit_scaler(numbers, numeric, ddof=1)
     scaled = scale.transform(numbers)
     dummies = fit_dummy(scaled, dummy)
     ready = dummies.transform(scaled)
-    fill = _replace({c: f"coalesce(`{c}`, 0.0D)" for c in numeric}, ready.columns)
-    indicators = [c for c in ready.columns if c.startswith(f"{dummy}_")]
+    fill = replace_columns({c: f"coalesce(`{c}`, 0.0D)" for c in numeric})
+    indicators = [c for c in ready.columns if c not in scaled.columns]
     return PipelineModel([cast, scale, dummies, fill]), [*numeric, *indicators]
 
 

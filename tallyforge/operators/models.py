@@ -4,14 +4,21 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import RFormula, SQLTransformer
+from pyspark.ml.feature import RFormula
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import AFTSurvivalRegression, GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from tallyforge.operators.features import assembler, fit_recipe, fit_scaler
+from tallyforge.operators.features import (
+    RECIPE_COLUMNS,
+    add_columns,
+    assembler,
+    fit_recipe,
+    fit_scaler,
+    replace_columns,
+)
 from tallyforge.operators.metrics import regression_metrics
 
 
@@ -33,20 +40,23 @@ def fit_elastic_net(
 def fit_rate_model(
     train: DataFrame, trees: int = 100, seed: int = 42, label: str = "int_rate"
 ) -> tuple[PipelineModel, list[str]]:
-    """Boosted regression trees on the prepared rate rows; preparation and trees are one model."""
-    recipe, names = fit_recipe(train)
-    fill = {c: 0.0 for c in names}
-    gaps = SQLTransformer(
-        statement="SELECT *, " + ", ".join(f"coalesce(`{c}`, {v}D) AS `{c}_x`" for c, v in fill.items()) + " FROM __THIS__"
-    )
-    vector = assembler([f"{c}_x" for c in names])
-    ready = vector.transform(gaps.transform(recipe.transform(train))).select("features", label)
+    """Boosted regression trees on the prepared rate rows; preparation and trees are one model.
+
+    The preparation works on copies, so scored rows keep their own columns. A missing term counts as
+    none of the levels. Also returns the predictor names.
+    """
+    copy = add_columns({f"{c}_x": f"`{c}`" for c in (*RECIPE_COLUMNS, "term")})
+    copied = copy.transform(train)
+    recipe, names = fit_recipe(copied, tuple(f"{c}_x" for c in RECIPE_COLUMNS), "term_x")
+    fill = replace_columns({c: f"coalesce(`{c}`, 0.0D)" for c in names})
+    vector = assembler(names)
+    ready = vector.transform(fill.transform(recipe.transform(copied))).select("features", label)
     ready.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         boosted = GBTRegressor(labelCol=label, maxIter=trees, maxDepth=5, seed=seed).fit(ready)
     finally:
         ready.unpersist()
-    return PipelineModel([*recipe.stages, gaps, vector, boosted]), names
+    return PipelineModel([copy, *recipe.stages, fill, vector, boosted]), names
 
 
 def fit_boosted_classifier(

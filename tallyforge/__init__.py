@@ -1,3 +1,10 @@
 """tallyforge: analytics operators for loan-portfolio and experiment tables, on Spark DataFrames."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions of this package travel to the executors by value, so it need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

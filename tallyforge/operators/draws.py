@@ -7,6 +7,10 @@ sorts or gathers a whole chain.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -62,12 +66,28 @@ def split_rhat(draws: DataFrame) -> DataFrame:
     return halves.groupBy("param").agg(F.sqrt(((n - 1) / n * within + between) / within).alias("rhat"))
 
 
+def _lag_sums(max_lag: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Per block of one chain: the sum of ``x[i] * x[i + lag]`` for every lag, ``i`` over the block's own draws."""
+
+    def sums(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_at")
+        x, own = pdf["_x"].to_numpy(), int(pdf["_mine"].sum())
+        products = [float(x[: max(0, min(own, len(x) - t))] @ x[t : t + own]) for t in range(max_lag + 1)]
+        return pd.DataFrame(
+            {"param": pdf["param"].iloc[0], "chain": pdf["chain"].iloc[0], "_n": pdf["_n"].iloc[0],
+             "lag": np.arange(max_lag + 1, dtype=np.int32), "s": products}
+        )
+
+    return sums
+
+
 def autocovariances(draws: DataFrame, max_lag: int, block: int = 8192) -> DataFrame:
-    """Mean over chains of the autocovariance at lags 0..max_lag: ``param, lag, acov``, and chain totals.
+    """Autocovariance per chain at lags 0..max_lag: ``param, chain, _n, lag, acov``.
 
     Chains are cut into blocks of consecutive iterations. The first ``max_lag`` draws of a block are
-    also sent to the block before it, so every product of two draws is formed in exactly one block and
-    a chain of any length is spread over many tasks.
+    also sent to the block before it, so every product of two draws is formed in exactly one block, a
+    task holds at most ``block + max_lag`` draws at a time, and a chain of any length is spread over
+    many tasks.
     """
     if block < max_lag:
         raise ValueError("a block must be at least as long as the largest lag")
@@ -85,17 +105,13 @@ def autocovariances(draws: DataFrame, max_lag: int, block: int = 8192) -> DataFr
             (F.col("value") - F.col("_mean")).alias("_x"),
             F.explode(copies).alias("_block"),
         )
+        .withColumn("_mine", (F.col("_own") == F.col("_block")).cast("int"))
+        .drop("_own")
     )
-    in_block = Window.partitionBy(*CHAIN, "_block").orderBy("_at")
-    leads = [F.lead("_x", t).over(in_block).alias(f"_l{t}") for t in range(1, max_lag + 1)]
-    paired = placed.select(*CHAIN, "_n", "_own", "_block", F.col("_x").alias("_l0"), *leads)
-    sums = (
-        paired.where(F.col("_own") == F.col("_block"))
-        .groupBy(*CHAIN, "_n")
-        .agg(*[F.sum(F.col("_l0") * F.col(f"_l{t}")).alias(f"_s{t}") for t in range(max_lag + 1)])
-    )
-    lags = F.array(*[F.struct(F.lit(t).alias("lag"), (F.col(f"_s{t}") / F.col("_n")).alias("acov")) for t in range(max_lag + 1)])
-    return sums.select(*CHAIN, "_n", F.explode(lags).alias("a")).select(*CHAIN, "_n", "a.lag", "a.acov")
+    types = {f.name: f.dataType.simpleString() for f in draws.schema.fields}
+    schema = f"param {types['param']}, chain {types['chain']}, _n bigint, lag int, s double"
+    sums = placed.groupBy(*CHAIN, "_block").applyInPandas(_lag_sums(max_lag), schema)
+    return sums.groupBy(*CHAIN, "_n", "lag").agg((F.sum("s") / F.first("_n")).alias("acov"))
 
 
 def effective_size(draws: DataFrame, max_lag: int = 50, block: int = 8192) -> DataFrame:

@@ -45,7 +45,7 @@ def draws_summary(draws: DataFrame) -> DataFrame:
         F.count("value").alias("n"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("sd"),
-        (F.stddev_samp("value") / F.sqrt(F.count("value"))).alias("se"),
+        F.try_divide(F.stddev_samp("value"), F.sqrt(F.count("value"))).alias("se"),
     )
     return basic.join(exact_quantiles(draws, "value", SUMMARY_QUANTILES, ("param",)), "param")
 
@@ -63,7 +63,7 @@ def split_rhat(draws: DataFrame) -> DataFrame:
     )
     n = F.avg("n")
     within, between = F.avg("v"), F.var_samp("m")
-    return halves.groupBy("param").agg(F.sqrt(((n - 1) / n * within + between) / within).alias("rhat"))
+    return halves.groupBy("param").agg(F.sqrt(F.try_divide((n - 1) / n * within + between, within)).alias("rhat"))
 
 
 def _lag_sums(max_lag: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
@@ -125,7 +125,7 @@ def effective_size(draws: DataFrame, max_lag: int = 50, block: int = 8192) -> Da
         F.avg("acov").alias("acov"),
         F.avg(F.col("_n")).alias("n"),
         F.sum("_n").alias("total"),
-        F.avg(F.when(F.col("lag") == 0, F.col("acov") * F.col("_n") / (F.col("_n") - 1))).alias("w"),
+        F.avg(F.when(F.col("lag") == 0, F.try_divide(F.col("acov") * F.col("_n"), F.col("_n") - 1))).alias("w"),
     )
     means = draws.groupBy(*CHAIN).agg(F.avg("value").alias("m")).groupBy("param").agg(
         F.coalesce(F.var_samp("m"), F.lit(0.0)).alias("b")
@@ -134,7 +134,7 @@ def effective_size(draws: DataFrame, max_lag: int = 50, block: int = 8192) -> Da
     base = lag0.join(means, "param").select(
         "param", "w", "total", ((F.col("n") - 1) / F.col("n") * F.col("w") + F.col("b")).alias("v")
     )
-    rho = F.when(F.col("lag") == 0, F.lit(1.0)).otherwise(1.0 - (F.col("w") - F.col("acov")) / F.col("v"))
+    rho = F.when(F.col("lag") == 0, F.lit(1.0)).otherwise(1.0 - F.try_divide(F.col("w") - F.col("acov"), F.col("v")))
     pairs = (
         per_lag.select("param", "lag", "acov")
         .join(base, "param")
@@ -146,7 +146,7 @@ def effective_size(draws: DataFrame, max_lag: int = 50, block: int = 8192) -> Da
     ends = pairs.groupBy("param").agg(first_negative.alias("_end"))
     kept = pairs.join(ends, "param").where(F.col("_end").isNull() | (F.col("pair") < F.col("_end")))
     return kept.groupBy("param", "total").agg(F.sum("r").alias("s")).select(
-        "param", (F.col("total") / (2.0 * F.col("s") - 1.0)).alias("ess")
+        "param", F.try_divide(F.col("total"), 2.0 * F.col("s") - 1.0).alias("ess")
     )
 
 

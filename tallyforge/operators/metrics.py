@@ -10,11 +10,11 @@ def regression_metrics(df: DataFrame, prediction: str, label: str, by: tuple[str
     """``rmse``, ``mae`` and ``r2`` (squared correlation; NULL for a constant prediction)."""
     error = F.col(prediction) - F.col(label)
     p, y = F.col(prediction).cast("double"), F.col(label).cast("double")
-    varies = (F.max(p) > F.min(p)) & (F.max(y) > F.min(y))
+    shared = F.covar_pop(p, y)
     return df.groupBy(*by).agg(
         F.sqrt(F.avg(F.pow(error, F.lit(2.0)))).alias("rmse"),
         F.avg(F.abs(error)).alias("mae"),
-        F.when(varies, F.pow(F.corr(p, y), F.lit(2.0))).alias("r2"),
+        F.try_divide(shared * shared, F.var_pop(p) * F.var_pop(y)).alias("r2"),
     )
 
 

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def _grid(tau_max: float, points: int) -> Column:
@@ -39,10 +40,11 @@ def tau_posterior(
     )
     if log_prior is not None:
         log_p = log_p + log_prior(tau)
+    # One row per grid value reaches these windows, whatever the number of groups.
+    grid = Window.partitionBy()
     rows = sums.select("tau", (shift + center).alias("m"), (1.0 / F.col("sw")).alias("v"), log_p.alias("lp"))
-    top = rows.agg(F.max("lp")).scalar()
-    raw = rows.select("tau", "m", "v", F.exp(F.col("lp") - top).alias("q"))
-    return raw.select("tau", "m", "v", (F.col("q") / raw.agg(F.sum("q")).scalar()).alias("p"))
+    raw = rows.withColumn("q", F.exp(F.col("lp") - F.max("lp").over(grid)))
+    return raw.select("tau", "m", "v", (F.col("q") / F.sum("q").over(grid)).alias("p"))
 
 
 def pooled_effects(groups: DataFrame, posterior: DataFrame) -> DataFrame:

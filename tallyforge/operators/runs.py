@@ -28,6 +28,11 @@ def log_run(
     spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
+def append_rows(rows: DataFrame, path: str) -> None:
+    """Append log rows ``(run_id, kind, key, value)`` made on the cluster."""
+    rows.select("run_id", "kind", "key", "value", F.current_timestamp().alias("ts")).write.mode("append").parquet(path)
+
+
 def metric_rows(metrics: DataFrame, run_id: str, names: tuple[str, ...], kind: str = "metric") -> DataFrame:
     """A wide frame of metrics per run as log rows, NULL values skipped."""
     typed = metrics.select(F.col(run_id).cast("string").alias("run_id"), *[F.col(n).cast("string") for n in names])

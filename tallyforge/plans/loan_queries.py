@@ -10,7 +10,7 @@ from tallyforge.functions.text import json_row
 from tallyforge.operators import dashboard, filters, joins
 from tallyforge.operators.filters import Selection, filter_multiselect, loan_base
 from tallyforge.plans.registry import query
-from tallyforge.sources import lookups, views
+from tallyforge.sources import lookups, tables, views
 
 REGION_SQL = """CASE WHEN substr(zip_code,1,1) IN ('8','9') THEN 'West' WHEN substr(zip_code,1,1) IN ('4','5','6') THEN 'Midwest'
   WHEN substr(zip_code,1,1) IN ('2','3','7') THEN 'South' WHEN substr(zip_code,1,1) IN ('0','1') THEN 'East' END"""
@@ -306,3 +306,34 @@ def drop_cols(spark, base):
 )
 def json_encode(spark, base):
     return views.loans(spark, base).select("member_id", json_row("member_id", "purpose", "sub_grade").alias("json"))
+
+
+@query("guard_nonempty", "SELECT member_id, region FROM picked WHERE region = 'South'", ("picked",))
+def guard_nonempty(spark, base):
+    rows = filters.guard_nonempty(picked(spark, base, Selection(regions=("South",))))
+    return rows.select("member_id", "region")
+
+
+TITLE_COUNT_SQL = """
+SELECT p.title, count(l.member_id) AS n FROM purpose_lookup p LEFT JOIN loans l ON l.purpose = p.purpose GROUP BY p.title
+"""
+
+
+@query("src_literal", TITLE_COUNT_SQL, ("loans", "purpose_lookup"))
+def src_literal(spark, base):
+    """Loans per listed purpose; the counts are joined to the short list, not the loans."""
+    counts = views.loans(spark, base).groupBy("purpose").agg(F.count(F.lit(1)).alias("n"))
+    listed = lookups.purpose_lookup(spark).join(counts, "purpose", "left")
+    return listed.select("title", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query("src_local", TITLE_COUNT_SQL, ("loans", "purpose_lookup"))
+def src_local(spark, base):
+    """The same over a registered view of local rows and SQL text."""
+    tables.register_rows(spark, list(lookups.PURPOSE_TITLES.items()), "purpose string, title string", "purpose_titles")
+    return tables.run_sql(
+        spark,
+        "SELECT t.title, coalesce(c.n, 0) AS n FROM purpose_titles t"
+        " LEFT JOIN (SELECT purpose, count(*) AS n FROM {loans} GROUP BY purpose) c ON c.purpose = t.purpose",
+        loans=views.loans(spark, base),
+    )

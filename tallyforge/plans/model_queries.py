@@ -280,6 +280,20 @@ def model_version(spark, base):
     return runs.next_versions(known, ready)
 
 
+@query(
+    "run_log",
+    MONTHLY_SQL
+    + "SELECT run_id, 'metric' AS kind, 'rmse' AS key, CAST(rmse AS STRING) AS value FROM r UNION ALL SELECT run_id, 'metric', 'mae', CAST(mae AS STRING) FROM r"
+    " UNION ALL SELECT run_id, 'metric', 'r2', CAST(r2 AS STRING) FROM r UNION ALL SELECT run_id, 'param', 'month', CAST(CAST(month AS INT) AS STRING) FROM r",
+    ("wine",),
+)
+def run_log(spark, base):
+    """Metric rows of all runs appended to a log table, then read back."""
+    path = work_path(spark, "runs")
+    runs.append_rows(monthly_runs(spark, base), path)
+    return run_table(spark, path).select("run_id", "kind", "key", "value")
+
+
 # Grids
 
 
@@ -333,6 +347,17 @@ def _count_labels(pdf):
     return pdf.groupby("quality", as_index=False).agg(n=("wine_id", "size"), top=("alcohol", "max"))
 
 
+@query("rowwise_side_effect", MONTHLY_SQL + "SELECT run_id || ' rmse ' || CAST(rmse AS STRING) AS line FROM r", ("wine",))
+def rowwise_side_effect(spark, base):
+    """One text line per metric row, made for every Arrow batch of rows."""
+    lines = group_fits.task_map(
+        filter_metric(monthly_runs(spark, base), "key", "rmse"),
+        lambda pdf: (pdf["run_id"] + " " + pdf["key"] + " " + pdf["value"]).to_frame("line"),
+        "line string",
+    )
+    return lines
+
+
 @query("udf_task_map", "SELECT quality, count(*) AS n, max(alcohol) AS top FROM wine GROUP BY quality", ("wine",))
 def udf_task_map(spark, base):
     rows = views.wine(spark, base).select("wine_id", "quality", "alcohol")
@@ -353,6 +378,23 @@ def udf_crate(spark, base):
     return wine.select("wine_id", F.round(score("alcohol"), 6).alias("prediction"))
 
 
+@query(
+    "udf_objective",
+    "SELECT sulphates, a, round(avg((quality - a * alcohol) * (quality - a * alcohol)), 6) AS score FROM wine,"
+    " (SELECT unnest([0.001, 0.01, 0.1, 1.0])::DOUBLE AS a) GROUP BY sulphates, a",
+    ("wine",),
+)
+def udf_objective(spark, base):
+    """The objective of every grid value per month, as a column expression over the month's moments."""
+    q, x = F.col("quality"), F.col("alcohol")
+    sums = views.wine(spark, base).groupBy("sulphates").agg(
+        F.avg(q * q).alias("qq"), F.avg(q * x).alias("qx"), F.avg(x * x).alias("xx")
+    )
+    a = F.col("a")
+    score = F.col("qq") - 2.0 * a * F.col("qx") + a * a * F.col("xx")
+    return grids.with_grid(sums, a=[0.001, 0.01, 0.1, 1.0]).select("sulphates", "a", F.round(score, 6).alias("score"))
+
+
 RATIO_SQL = """
 SELECT count(*) AS batches, CAST(sum(hits) AS BIGINT) AS hits, CAST(sum(n) AS BIGINT) AS n, round({scale} * sum(hits) / sum(n), 9) AS estimate,
   round({scale} * sqrt((sum(hits) / sum(n)) * (1 - sum(hits) / sum(n)) / sum(n)), 9) AS se

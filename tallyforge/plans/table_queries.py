@@ -243,3 +243,38 @@ def agg_best(spark, base):
 @query("preview", "SELECT wine_id, color, quality FROM wine ORDER BY wine_id LIMIT 6", ("wine",))
 def preview(spark, base):
     return views.wine(spark, base).select("wine_id", "color", "quality").orderBy("wine_id").limit(6)
+
+
+@query(
+    "filter_equi",
+    "SELECT l_orderkey, l_linenumber, l_partkey, o_orderstatus, s_nationkey FROM lineitem, orders, supplier"
+    " WHERE o_orderkey = l_orderkey AND s_suppkey = l_suppkey",
+)
+def filter_equi(spark, base):
+    lines = views.table(spark, base, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    orders = views.table(spark, base, "orders").select("o_orderkey", "o_orderstatus")
+    suppliers = views.table(spark, base, "supplier").select("s_suppkey", "s_nationkey")
+    joined = lines.join(orders, F.col("o_orderkey") == F.col("l_orderkey"))
+    return joined.join(suppliers, F.col("s_suppkey") == F.col("l_suppkey")).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "o_orderstatus", "s_nationkey"
+    )
+
+
+@query("join_anti_split", f"SELECT wine_id, color FROM ({RANK_SQL}) WHERE r > 2000", ("wine",))
+def join_anti_split(spark, base):
+    wine = views.wine(spark, base)
+    return joins.except_rows(wine, sampling.sample_n(wine, "wine_id", 2000), "wine_id").select("wine_id", "color")
+
+
+@query("as_label", "SELECT vec_id, CASE WHEN target = 1 THEN 1 ELSE 0 END AS label FROM breast_like", ("breast_like",))
+def as_label(spark, base):
+    return views.breast_like(spark, base).select("vec_id", C.as_label(F.col("target") == 1).alias("label"))
+
+
+@query("src_packaged", "SELECT disease, sex, censored, count(*) AS n, min(age) AS youngest, max(time) AS longest FROM kidney_like GROUP BY ALL", ("kidney_like",))
+def src_packaged(spark, base):
+    return (
+        views.kidney_like(spark, base)
+        .groupBy("disease", "sex", "censored")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("age").alias("youngest"), F.max("time").alias("longest"))
+    )

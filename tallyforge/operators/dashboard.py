@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from tallyforge.functions.columns import millions, not_in_keep_null, parse_rate, sum_or_zero, term_to_months, to_numeric
 from tallyforge.functions.text import money, short_number, with_unit
@@ -62,6 +66,26 @@ def avg_tenor(base: DataFrame) -> DataFrame:
     return mean.select("avg_years", with_unit(short_number("avg_years"), "years").alias("label"))
 
 
+def key_figures(base: DataFrame) -> DataFrame:
+    """All three key figures and the row count in one row; the means and the count share one pass."""
+    row = base.agg(
+        F.count(F.lit(1)).alias("loans"),
+        F.avg(parse_rate("int_rate")).alias("avg_rate"),
+        (F.avg(term_to_months("term")) / 12.0).alias("avg_years"),
+    )
+    return row.withColumn("median_amt", median_amount(base).select("median_amt").scalar())
+
+
+@contextmanager
+def shared(base: DataFrame) -> Iterator[DataFrame]:
+    """Keep the filtered loans for the reports of one refresh, then let go of them."""
+    kept = base.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 #: Display names of the detail columns, in order (fixed values).
 DETAIL_NAMES = {
     "region": "Region",

@@ -95,3 +95,14 @@ def one_se_rule(curve: DataFrame) -> DataFrame:
     )
     marked = curve.withColumn("_b", least.scalar()).where(F.col("cvm") <= F.col("_b.cvm") + F.col("_b.cvsd"))
     return marked.agg(F.max(F.col("_b.lam")).alias("lambda_min"), F.max("lam").alias("lambda_1se"))
+
+
+def choose_lambda(
+    df: DataFrame, features: tuple[str, ...], label: str, key: str, alpha: float, folds: int = 10
+) -> float:
+    """The one-standard-error penalty for a fit without standardising, as a number.
+
+    Fits use their given penalty unless this one is passed to them.
+    """
+    errors = fold_errors(df, features, label, key, alpha, folds, standardize=False)
+    return one_se_rule(error_curve(errors)).first()["lambda_1se"]

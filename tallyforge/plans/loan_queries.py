@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.functions import columns as C
+from tallyforge.functions.frames import rounded
 from tallyforge.functions.text import json_row
 from tallyforge.operators import dashboard, filters, joins
 from tallyforge.operators.filters import Selection, filter_multiselect, loan_base
@@ -259,6 +260,17 @@ def kpi_avg_tenor(spark, base):
     return dashboard.avg_tenor(picked(spark, base)).withColumn("avg_years", F.round("avg_years", 6))
 
 
+@query(
+    "kpi_row",
+    """SELECT count(*) AS loans, round(avg(try_cast(replace(int_rate,'%','') AS DOUBLE)), 6) AS avg_rate,
+  round(avg(CASE term WHEN ' 36 months' THEN 36 WHEN ' 60 months' THEN 60 END)/12, 6) AS avg_years,
+  median(try_cast(loan_amnt AS DOUBLE)) AS median_amt FROM picked""",
+    ("picked",),
+)
+def kpi_row(spark, base):
+    return rounded(dashboard.key_figures(picked(spark, base)), 6, "avg_rate", "avg_years")
+
+
 DETAIL_SQL = """
 SELECT region AS "Region", office_no AS "Office", grade AS "Grade", sub_grade AS "Sub Grade",
   try_cast(loan_amnt AS DOUBLE) AS "Loan Amt", term AS "Term", int_rate AS "Rate", emp_title AS "Emp Title",

@@ -145,3 +145,17 @@ def test_region_choice_reaches_the_scan(spark, tmp_path):
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "StringStartsWith(zip_code,9)" in plan and "BroadcastHashJoin" in plan
     assert [r["member_id"] for r in df.collect()] == [2]
+
+
+def test_one_kept_base_serves_a_refresh(spark, base):
+    offices = views.office_lookup(spark, base)
+    rows = filters.filter_multiselect(views.loans(spark, base), offices)
+    with dashboard.shared(rows) as kept:
+        figures = dashboard.key_figures(kept).first()
+        assert figures["loans"] == kept.count() == dashboard.detail_rows(kept).count()
+        assert figures["avg_rate"] == dashboard.avg_rate(kept).first()["avg_rate"]
+        total = dashboard.principal_chart(kept).agg(F.sum("out_prncp")).first()[0]
+        assert total == kept.agg(F.sum("out_prncp")).first()[0]
+        shares = [r["prncp_per_risk"] for r in dashboard.risk_share(kept).collect()]
+        assert all(0 <= s <= 100 for s in shares)
+    assert not rows.storageLevel.useMemory

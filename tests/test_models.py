@@ -125,6 +125,13 @@ def test_cross_validation_against_refits(wine, local):
     assert rule["lambda_1se"] >= rule["lambda_min"]
 
 
+def test_chosen_penalty_can_be_used(wine):
+    lam = lambda_path.choose_lambda(wine, WINE, "quality", "wine_id", 0.5, folds=5)
+    assert lam > 0
+    fit = models.fit_elastic_net(wine, WINE, "quality", 0.5, lam)
+    assert models.evaluate(fit, wine, "quality")["r2"] > 0
+
+
 def test_model_beats_the_mean_and_survives_a_reload(spark, wine):
     train, test = sampling.split_exact(wine, "wine_id")
     model = models.fit_elastic_net(train, WINE, "quality", 0.14, 0.05)

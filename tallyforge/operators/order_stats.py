@@ -2,13 +2,12 @@
 
 The built-in exact percentile keeps every distinct value of a group in one buffer, and a window over a
 group sorts it in one task. Here a quantile sketch brackets each wanted rank, exact counts say how many
-rows lie before a bracket, and only the few rows inside the brackets are sorted.
+rows lie before each part of a bracket, and only the part that holds the rank is sorted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +19,13 @@ from tallyforge.operators.joins import checked_broadcast
 Rank = tuple[float, Callable[[Column], Column]]
 
 #: Sketch accuracy; its rank error is at most ``n / ACCURACY``, so a bracket holds about ``4 * n / ACCURACY`` rows.
-ACCURACY = 10_000
+#: A sharper sketch makes smaller brackets, but every task sends one sketch to be merged.
+ACCURACY = 2_000
+
+#: Equal steps a bracket is cut into, so that its rows are sorted by many tasks.
+STEPS = 256
+
+_LARGEST = 1e308
 
 
 def _same(left: str, right: str, keys: list[str]) -> list[Column]:
@@ -28,16 +33,26 @@ def _same(left: str, right: str, keys: list[str]) -> list[Column]:
 
 
 def _segment(value: Column, edges: list[Column]) -> Column:
-    """Segment number between sorted edges; every edge value is a segment of its own.
+    """A bucket number that never decreases with the value.
 
-    A value that holds a large share of the rows becomes an edge, and its segment is a single value.
+    It rises by one at and after every edge, so an edge value has a bucket of its own: a value that
+    holds a large share of the rows becomes an edge, and its bucket is a single value. Between two
+    edges it rises in equal steps.
     """
-    steps = [(value > e).cast("int") + (value >= e).cast("int") for e in edges]
-    return reduce(lambda a, b: a + b, steps, F.lit(0))
+    x = value.cast("double")
+    number = F.lit(0)
+    for e in edges:
+        number = number + (value > e).cast("int") + (value >= e).cast("int")
+    for low, high in zip(edges, edges[1:]):
+        lo, width = low.cast("double"), high.cast("double") - low.cast("double")
+        part = F.least(F.greatest((x - lo) / width, F.lit(0.0)), F.lit(1.0))
+        step = F.floor(part * F.lit(float(STEPS))).cast("int")
+        number = number + F.when((width > 0) & (width < _LARGEST), step).otherwise(0)
+    return number
 
 
 def _in_segments(df: DataFrame, value: str, fractions: list[float], by: tuple[str, ...], accuracy: int) -> DataFrame:
-    """Add ``_b``, the segment of each row between the bracket edges of its group.
+    """Add ``_b``, the bucket of each row between the bracket edges of its group.
 
     The edges only balance the work; any edges give the same result.
     """
@@ -53,9 +68,9 @@ def _in_segments(df: DataFrame, value: str, fractions: list[float], by: tuple[st
 
 
 def segment_spans(df: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """Per group and segment: ``_start`` (rows before it), ``_c`` (rows in it) and ``_n`` (rows of the group).
+    """Per group and bucket: ``_start`` (rows before it), ``_c`` (rows in it) and ``_n`` (rows of the group).
 
-    The windows run over segment totals, a few rows per group.
+    The windows run over bucket totals, at most a few thousand rows per group.
     """
     whole = Window.partitionBy(*by)
     return (

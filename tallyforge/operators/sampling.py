@@ -14,8 +14,9 @@ from pyspark.sql.window import Window
 from tallyforge.functions.hashing import fold_number, row_hash
 from tallyforge.operators.order_stats import values_at_ranks
 
-#: Hex digits that form a hash bucket: 16**4 buckets, so 10**11 rows give about 1.5 million per bucket.
-PREFIX_DIGITS = 4
+#: Hex digits that form a hash bucket. With 16**3 buckets every task sends at most 4096 counts, and of
+#: 10**11 rows about 24 million are sorted in the bucket of the rank; take more digits beyond that.
+PREFIX_DIGITS = 3
 
 
 def _hashed(df: DataFrame, key: str, seed: int | str, digits: int) -> DataFrame:

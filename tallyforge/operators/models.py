@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import RFormula
@@ -22,6 +25,17 @@ from tallyforge.operators.features import (
 from tallyforge.operators.metrics import regression_metrics
 
 
+@contextmanager
+def _training(df: DataFrame) -> Iterator[DataFrame]:
+    """Rows kept for the many passes of an iterative fit, spread over all cores when they lie in few files."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    kept = (df.repartition(cores) if df.rdd.getNumPartitions() < cores else df).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def fit_elastic_net(
     train: DataFrame, features: tuple[str, ...], label: str, alpha: float, lam: float, prediction: str = "prediction"
 ) -> PipelineModel:
@@ -51,11 +65,8 @@ def fit_rate_model(
     fill = replace_columns({c: f"coalesce(`{c}`, 0.0D)" for c in names})
     vector = assembler(names)
     ready = vector.transform(fill.transform(recipe.transform(copied))).select("features", label)
-    ready.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        boosted = GBTRegressor(labelCol=label, maxIter=trees, maxDepth=5, seed=seed).fit(ready)
-    finally:
-        ready.unpersist()
+    with _training(ready) as rows:
+        boosted = GBTRegressor(labelCol=label, maxIter=trees, maxDepth=5, seed=seed).fit(rows)
     return PipelineModel([copy, *recipe.stages, fill, vector, boosted]), names
 
 
@@ -68,11 +79,8 @@ def fit_boosted_classifier(
     columns = [f"{c}_scaled" if c in scaled else c for c in features]
     vector = assembler(columns)
     ready = vector.transform(scaler.transform(train)).select("features", F.col(label).cast("double").alias(label))
-    ready.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        boosted = GBTClassifier(labelCol=label, maxIter=rounds, seed=seed).fit(ready)
-    finally:
-        ready.unpersist()
+    with _training(ready) as rows:
+        boosted = GBTClassifier(labelCol=label, maxIter=rounds, seed=seed).fit(rows)
     return PipelineModel([scaler, vector, boosted])
 
 
@@ -80,9 +88,11 @@ def fit_forest(
     train: DataFrame, features: tuple[str, ...], label: str, trees: int = 500, seed: int = 42
 ) -> PipelineModel:
     """Random forest whose impurity importances are read by :func:`importances`."""
-    typed = train.withColumn(label, F.col(label).cast("double"))
-    forest = RandomForestClassifier(labelCol=label, numTrees=trees, seed=seed)
-    return Pipeline(stages=[assembler(features), forest]).fit(typed)
+    vector = assembler(features)
+    ready = vector.transform(train).select("features", F.col(label).cast("double").alias(label))
+    with _training(ready) as rows:
+        forest = RandomForestClassifier(labelCol=label, numTrees=trees, seed=seed).fit(rows)
+    return PipelineModel([vector, forest])
 
 
 def fit_survival(
@@ -94,8 +104,10 @@ def fit_survival(
     error is Weibull and there is no random effect per patient.
     """
     rows = df.withColumn("_seen", 1.0 - F.col(censored).cast("double"))
-    fit = AFTSurvivalRegression(censorCol="_seen", maxIter=100)
-    return Pipeline(stages=[RFormula(formula=formula), fit]).fit(rows)
+    terms = RFormula(formula=formula).fit(rows)
+    with _training(terms.transform(rows).select("features", "label", "_seen")) as ready:
+        fit = AFTSurvivalRegression(censorCol="_seen", maxIter=100).fit(ready)
+    return PipelineModel([terms, fit])
 
 
 def survival_terms(model: PipelineModel, df: DataFrame) -> DataFrame:

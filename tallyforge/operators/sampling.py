@@ -35,8 +35,8 @@ def _prefix_spans(hashed: DataFrame) -> DataFrame:
     )
 
 
-def _hash_at(df: DataFrame, key: str, size: Column, seed: int | str, digits: int) -> Column:
-    """The (hash, key) pair of the ``size``-th row in hash order; NULL when there are fewer rows.
+def _last_taken(df: DataFrame, key: str, size: Column, seed: int | str, digits: int) -> DataFrame:
+    """One row ``x`` with the hash and key of the ``size``-th row in hash order; none when there are fewer.
 
     ``size`` is an expression over ``_n``, the number of rows.
     """
@@ -49,12 +49,16 @@ def _hash_at(df: DataFrame, key: str, size: Column, seed: int | str, digits: int
     )
     in_bucket = hashed.withColumn("_t", bucket).where(F.col("_p") == F.col("_t")["_p"])
     ranked = in_bucket.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy("_h", key)))
-    return ranked.where(F.col("_r") == F.col("_t")["at"]).select(F.struct("_h", key).alias("x")).scalar()
+    return ranked.where(F.col("_r") == F.col("_t")["at"]).select(F.struct("_h", key).alias("x"))
+
+
+def _pair(key: str, seed: int | str) -> Column:
+    return F.struct(row_hash(key, seed).alias("_h"), F.col(key))
 
 
 def _up_to(df: DataFrame, key: str, size: Column, seed: int | str, digits: int, if_short: bool) -> Column:
-    mine = F.struct(row_hash(key, seed).alias("_h"), F.col(key))
-    return F.coalesce(mine <= _hash_at(df, key, size, seed, digits), F.lit(if_short))
+    last = _last_taken(df, key, size, seed, digits).scalar()
+    return F.coalesce(_pair(key, seed) <= last, F.lit(if_short))
 
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int | str = 42, digits: int = PREFIX_DIGITS) -> DataFrame:
@@ -75,23 +79,35 @@ def mark_split(
 def split_exact(
     df: DataFrame, key: str, fraction: float = 0.75, seed: int | str = 42, digits: int = PREFIX_DIGITS
 ) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows; disjoint, together the whole frame."""
-    marked = mark_split(df, key, fraction, seed, digits)
-    return marked.where("is_train").drop("is_train"), marked.where("not is_train").drop("is_train")
+    """Train and test rows; disjoint, together the whole frame.
 
+    The last training row is looked up once and becomes a constant, so the many passes of a fit over
+    the training rows are plain filtered scans.
+    """
+    size = F.floor(F.lit(fraction) * F.col("_n"))
+    last = _last_taken(df, key, size, seed, digits).first()
+    if last is None:
+        return df.limit(0), df
+    edge = F.struct(F.lit(last["x"]["_h"]).alias("_h"), F.lit(last["x"][key]).cast(df.schema[key].dataType).alias(key))
+    return df.where(_pair(key, seed) <= edge), df.where(_pair(key, seed) > edge)
 
-def mark_split_ordered(df: DataFrame, key: str, fraction: float = 0.7) -> DataFrame:
-    """Add ``is_train``: true for the first ``floor(fraction * n)`` rows in key order (numeric key)."""
 
+def _ordered_edge(df: DataFrame, key: str, fraction: float) -> DataFrame:
     last = {"last": (fraction, lambda n: F.floor(F.lit(fraction) * n) - 1)}
-    edge = values_at_ranks(df, key, last).select("value").scalar()
-    return df.withColumn("is_train", F.coalesce(F.col(key) <= edge, F.lit(False)))
+    return values_at_ranks(df, key, last).select("value")
+
+
+def mark_split_ordered(df: DataFrame, key: str, fraction: float = 0.7) -> DataFrame:
+    """Add ``is_train``: true for the first ``floor(fraction * n)`` rows in key order (numeric key)."""
+    return df.withColumn("is_train", F.coalesce(F.col(key) <= _ordered_edge(df, key, fraction).scalar(), F.lit(False)))
 
 
 def split_ordered(df: DataFrame, key: str, fraction: float = 0.7) -> tuple[DataFrame, DataFrame]:
-    """The first rows in key order, and the rest."""
-    marked = mark_split_ordered(df, key, fraction)
-    return marked.where("is_train").drop("is_train"), marked.where("not is_train").drop("is_train")
+    """The first rows in key order, and the rest; the edge is looked up once."""
+    edge = _ordered_edge(df, key, fraction).first()
+    if edge is None:
+        return df.limit(0), df
+    return df.where(F.col(key) <= F.lit(edge["value"])), df.where(F.col(key) > F.lit(edge["value"]))
 
 
 def mark_split_hash(df: DataFrame, key: str, fraction: float = 0.75, seed: int | str = 42) -> DataFrame:

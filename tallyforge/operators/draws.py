@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyforge.operators.joins import checked_broadcast
+from tallyforge.operators.joins import attach
 from tallyforge.operators.order_stats import exact_quantiles
 
 #: Quantiles of the printed summary.
@@ -53,7 +53,7 @@ def draws_summary(draws: DataFrame) -> DataFrame:
 def split_rhat(draws: DataFrame) -> DataFrame:
     """Split R-hat per parameter: every chain is halved, an odd last iteration is dropped."""
     chains = _chains(draws).select(*CHAIN, "_first", F.floor((F.col("_last") - F.col("_first") + 1) / 2).alias("_half"))
-    placed = draws.join(checked_broadcast(chains.where("_half > 0")), list(CHAIN))
+    placed = attach(draws, chains.where("_half > 0"), CHAIN)
     half = F.floor((F.col("iter") - F.col("_first")) / F.col("_half"))
     halves = (
         placed.select(*CHAIN, half.alias("half"), "value")
@@ -96,7 +96,7 @@ def autocovariances(draws: DataFrame, max_lag: int, block: int = 8192) -> DataFr
     own = F.floor(at / block)
     copies = F.when((at % block < max_lag) & (own > 0), F.array(own, own - 1)).otherwise(F.array(own))
     placed = (
-        draws.join(checked_broadcast(chains), list(CHAIN))
+        attach(draws, chains, CHAIN)
         .select(
             *CHAIN,
             "_n",

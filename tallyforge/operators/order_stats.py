@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyforge.operators.joins import checked_broadcast
+from tallyforge.operators.joins import attach, checked_broadcast
 
 #: A wanted rank: roughly which fraction of the rows precedes it, and the exact 0-based rank given the row count.
 Rank = tuple[float, Callable[[Column], Column]]
@@ -62,9 +62,7 @@ def _in_segments(df: DataFrame, value: str, fractions: list[float], by: tuple[st
     if not by:
         found = edges.first()["_e"] or []
         return df.withColumn("_b", _segment(F.col(value), [F.lit(e) for e in sorted(set(found))]))
-    d, e = df.alias("d"), checked_broadcast(edges).alias("e")
-    joined = d.join(e, _same("d", "e", list(by))).select("d.*", "e._e")
-    return joined.withColumn("_b", _segment(F.col(value), [F.col("_e")[i] for i in range(len(wanted))])).drop("_e")
+    return attach(df, edges, by).withColumn("_b", _segment(F.col(value), [F.col("_e")[i] for i in range(len(wanted))])).drop("_e")
 
 
 def segment_spans(df: DataFrame, by: tuple[str, ...]) -> DataFrame:
@@ -105,10 +103,17 @@ def values_at_ranks(
         .where((at >= 0) & (at < F.col("_c")))
         .select(*by, "_b", "_n", "t.tag", at.alias("_at"))
     )
-    targets = checked_broadcast(targets).alias("t")
-    keys = [*by, "_b"]
-    inside = cut.alias("d").join(targets, _same("d", "t", keys), "left_semi")
-    counts = inside.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_m"))
+    side = checked_broadcast(targets)
+    few, targets, keys = side is not targets, side.alias("t"), [*by, "_b"]
+
+    def inside(rows: DataFrame) -> DataFrame:
+        return rows.alias("d").join(targets, _same("d", "t", keys), "left_semi")
+
+    def merged(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_m"))
+
+    # With very many groups the targets are shuffled too; equal values are then merged before they meet.
+    counts = merged(inside(cut)) if few else inside(merged(cut))
     upto = F.sum("_m").over(Window.partitionBy(*keys).orderBy(value))
     running = counts.withColumn("_upto", upto).alias("d")
     hit = (F.col("t._at") >= F.col("d._upto") - F.col("d._m")) & (F.col("t._at") < F.col("d._upto"))

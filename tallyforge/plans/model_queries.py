@@ -547,7 +547,8 @@ def src_csv(spark, base):
 
 @query("src_csv_object", WINE_SQL, ("wine",))
 def src_csv_object(spark, base):
-    return files.read_csv(spark, wine_file(spark, base, ","))
+    rows = files.read_csv(spark, wine_file(spark, base, ","))
+    return rows.withColumn("wine_id", F.col("wine_id").cast("bigint"))
 
 
 def linked_orders(spark, base) -> str:

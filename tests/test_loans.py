@@ -103,12 +103,10 @@ def test_null_sums(spark):
 
 
 @pytest.mark.parametrize("limit", [0, 10_000])
-def test_group_total_equals_window(spark, base, monkeypatch, limit):
+def test_group_total_equals_window(spark, base, limit):
     """Both ways of bringing totals back, with and without a broadcast, equal the window form."""
-    real = joins.checked_broadcast
-    monkeypatch.setattr(joins, "checked_broadcast", lambda df: real(df, limit))
     rows = filters.loan_base(views.loans(spark, base)).select("member_id", "region", "grade", "out_prncp")
-    joined = joins.with_group_total(rows, ("region", "grade"), F.col("out_prncp"), "total")
+    joined = joins.with_group_total(rows, ("region", "grade"), F.col("out_prncp"), "total", limit)
     total = F.coalesce(F.sum("out_prncp").over(Window.partitionBy("region", "grade")), F.lit(0.0))
     assert sorted(map(str, joined.collect())) == sorted(map(str, rows.withColumn("total", total).collect()))
 
@@ -120,9 +118,10 @@ def test_checked_broadcast_falls_back(spark):
     assert sorted(r[0] for r in small.collect()) == list(range(11))
 
 
-def test_semi_join_never_adds_rows(spark, base):
+@pytest.mark.parametrize("limit", [0, 10_000])
+def test_semi_join_never_adds_rows(spark, base, limit):
     loans = views.loans(spark, base)
-    kept = joins.semi_lookup(loans, views.office_lookup(spark, base), "zip_code")
+    kept = joins.semi_lookup(loans, views.office_lookup(spark, base), "zip_code", limit)
     assert kept.count() == kept.select("member_id").distinct().count() < loans.count()
 
 

@@ -47,13 +47,30 @@ def test_hot_order_in_the_profit_join(spark, no_broadcast):
     assert report.first()["sum_profit"] == pytest.approx(60000 * (5.25 - 2.0), rel=0.01)
 
 
-def test_hot_group_total(spark, no_broadcast, monkeypatch):
-    monkeypatch.setattr(joins, "checked_broadcast", lambda df: df)
+def test_hot_group_total(spark, no_broadcast):
     rows = spark.range(60000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 999).alias("g"), F.lit(1.0).alias("v"))
-    out = joins.with_group_total(rows, ("g",), F.col("v"), "total")
+    out = joins.with_group_total(rows, ("g",), F.col("v"), "total", max_rows=10)
+    assert out.columns == ["id", "g", "v", "total"]
     counts = {r["g"]: r["n"] for r in rows.groupBy("g").agg(F.count("v").alias("n")).collect()}
     assert all(r["total"] == counts[r["g"]] for r in out.select("g", "total").distinct().collect())
     assert out.count() == 60000
+    assert "_salt" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_summaries_with_more_groups_than_are_broadcast(spark, no_broadcast, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 3)
+    monkeypatch.setattr(order_stats, "checked_broadcast", lambda df: joins.checked_broadcast(df, 3))
+    rows = spark.range(6000).select(
+        (F.col("id") % 2).alias("chain"), (F.floor(F.col("id") / 2) % 500).alias("iter"), F.floor(F.col("id") / 1000).alias("param"),
+        (F.col("id") * 7919 % 1009).cast("double").alias("value"),
+    )
+    found = {r["param"]: r for r in draws.draws_summary(rows).collect()}
+    exact = {r["param"]: r for r in rows.groupBy("param").agg(F.median("value").alias("m"), F.avg("value").alias("a")).collect()}
+    assert set(found) == set(exact) == set(range(6))
+    for p, r in exact.items():
+        assert found[p]["q50"] == pytest.approx(r["m"]) and found[p]["mean"] == pytest.approx(r["a"])
+    assert draws.split_rhat(rows).where("rhat > 0").count() == 6
+    assert draws.effective_size(rows, 10, 100).count() == 6
 
 
 def test_hot_value_does_not_reach_one_task(spark):

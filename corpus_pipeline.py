@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyforge.llm import harmonic, language_codes, secret_scan
+from tallyforge.llm import decontaminate, harmonic, language_codes, secret_scan, signature_tree
 from tallyforge.llm.frames import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -18,6 +19,27 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return language_codes.keep_identified(docs, language_codes.train(docs))
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of linked ones, once if its row is repeated.
+
+    Rows without an id stand alone and stay.
+    """
+    found = stored(signature_tree.near_duplicates(docs).where("doc_id is not null"), "components")
+    others = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
+    repeated = stored(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    kept = docs.join(signature_tree.small(others), "doc_id", "left_anti").select(docs.columns)
+    if repeated.isEmpty():
+        return kept
+    repeated = signature_tree.small(repeated)
+    once = kept.join(repeated, "doc_id", "left_semi").select(docs.columns).groupBy("doc_id").agg(F.min(F.struct(docs.columns)).alias("row")).select("row.*")
+    return kept.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(once)
+
+
+def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the documents without a passage of the benchmark."""
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps every document, with its secrets blotted out."""
     return secret_scan.redact(docs, secret_scan.train(docs))
@@ -30,6 +52,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("language", identify_language),
+    ("near copies", drop_near_copies),
+    ("decontamination", decontaminate_benchmark),
     ("secrets", remove_secrets),
     ("packing", pack),
 ]
@@ -41,5 +65,5 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -133,7 +133,7 @@ def _ids(bpe: WordBpe, table: dict[str, bytes], text: str) -> bytes:
     for piece in pieces(text):
         words = bpe.words(piece)
         if new := set(words).difference(table):
-            table.update((w, ids.tobytes()) for w, ids in bpe.encode(new))
+            table.update(bpe.encode(new))
         out.append(b"".join(map(table.__getitem__, words)))
         for w in [w for w in new if len(w) > KEEP_CHARS]:
             del table[w]

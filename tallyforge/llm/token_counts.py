@@ -42,7 +42,7 @@ def frequent_pretokens(docs: DataFrame, path: str, text: str = "text", size: int
 
     offered = docs.select(F.col(text).alias(text)).mapInArrow(count, "word string, n long")
     top = offered.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size).collect()
-    return {w: len(ids) for w, ids in WordBpe(path).encode([r["word"] for r in top])}
+    return {w: len(ids) // 4 for w, ids in WordBpe(path).encode([r["word"] for r in top])}
 
 
 def count_tokens(docs: DataFrame, path: str, keys: list[str], text: str = "text", limit: int = 2048) -> DataFrame:
@@ -69,7 +69,7 @@ def count_tokens(docs: DataFrame, path: str, keys: list[str], text: str = "text"
                 for piece in pieces(t):
                     found = bpe.pretokens(piece)
                     if new := set(found).difference(table):
-                        table.update((w, len(ids)) for w, ids in bpe.encode(new))
+                        table.update((w, len(ids) // 4) for w, ids in bpe.encode(new))
                     total += sum(map(table.__getitem__, found))
                     if new:
                         for w in [w for w in new if len(w) > KEEP_CHARS]:

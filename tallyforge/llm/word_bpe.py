@@ -66,20 +66,25 @@ class WordBpe:
     def _alone(self, word: str) -> bool:
         return bool(UNUSUAL.search(word)) or any(s in word for s in self.special)
 
-    def encode(self, words: Iterable[str]) -> Iterator[tuple[str, np.ndarray]]:
-        """Each word with its ids. Usual words go to the library together, parted by spaces."""
-        usual = []
-        for word in words:
-            if self._alone(word) or "</w>" in word:
-                yield word, np.array(self.library.encode(word, add_special_tokens=False).ids, "<u4")
-            else:
-                usual.append(word)
-        for i in range(0, len(usual), 5000):
-            part = usual[i : i + 5000]
-            yield from zip(part, self._together(part), strict=True)
+    def encode(self, words: Iterable[str]) -> Iterator[tuple[str, bytes]]:
+        """Each word with its ids as little-endian 32-bit numbers. Usual words go to the library together, parted by spaces."""
+        words = list(words)
+        for i in range(0, len(words), 5000):
+            part = words[i : i + 5000]
+            if self._alone(joined := " ".join(part)) or "</w>" in joined:
+                odd = [w for w in part if self._alone(w) or "</w>" in w]
+                for word in odd:
+                    yield word, np.array(self.library.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+                part = list(set(part).difference(odd))
+                joined = " ".join(part)
+            if part:
+                yield from zip(part, self._together(part, joined), strict=True)
 
-    def _together(self, words: list[str]) -> list[np.ndarray]:
-        ids = np.array(self.library.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
-        ends = np.flatnonzero(self.ends[ids]) + 1
-        marks = np.cumsum([len(PRETOKEN.findall(w)) for w in words])  # a word ends with the last of its pieces
-        return np.split(ids, ends[marks - 1])[:-1]
+    def _together(self, words: list[str], joined: str) -> Iterator[bytes]:
+        ids = np.array(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+        marks = np.cumsum([1 if w.isalpha() else len(PRETOKEN.findall(w)) for w in words])  # a word ends with the last of its pieces
+        raw, start = ids.tobytes(), 0
+        for stop in ends[marks - 1].tolist():
+            yield raw[start:stop]
+            start = stop

@@ -90,7 +90,7 @@ class _Archive:
     def __init__(self, folder: str) -> None:
         self.path = f"{folder}/{uuid.uuid4().hex}.warc.gz"  # a repeated task writes another file; only finished tasks are listed
         files, name = FileSystem.from_uri(self.path)
-        self.out, self.records, self.bytes, self.zip = files.open_output_stream(name), 0, 0, None
+        self.out, self.records, self.bytes, self.zip = files.open_output_stream(name, compression=None), 0, 0, None
 
     def begin(self, head: bytes) -> None:
         self.zip = zlib.compressobj(1, zlib.DEFLATED, 31)  # every record is a gzip member of its own
@@ -183,7 +183,7 @@ def read_archives(archives: DataFrame, key_type: str = "long", with_data: bool =
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 files, name = FileSystem.from_uri(path)
-                with files.open_input_stream(name, buffer_size=CHUNK) as raw, gzip.GzipFile(fileobj=raw) as stream:
+                with files.open_input_stream(name, compression=None, buffer_size=CHUNK) as raw, gzip.GzipFile(fileobj=raw) as stream:
                     yield from _batches(_chunks(stream, with_data))
 
     schema = f"key {key_type}, uri string, record_type string, refers_to {key_type}, chunk int, last boolean, payload_bytes long, payload_digest string, data binary"

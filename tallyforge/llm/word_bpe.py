@@ -83,7 +83,7 @@ class WordBpe:
     def _together(self, words: list[str], joined: str) -> Iterator[bytes]:
         ids = np.array(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
         ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
-        marks = np.cumsum([1 if w.isalpha() else len(PRETOKEN.findall(w)) for w in words])  # a word ends with the last of its pieces
+        marks = np.cumsum([1 if w.isalpha() else len(PRETOKEN.findall(w.lower())) for w in words])  # a word ends with the last of its pieces
         raw, start = ids.tobytes(), 0
         for stop in ends[marks - 1].tolist():
             yield raw[start:stop]

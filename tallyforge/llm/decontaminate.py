@@ -16,9 +16,10 @@ from tallyforge.llm.frames import stored
 
 WINDOW = 10
 SHINGLE = 4
-# What is lower-cased, and what a word is.
+# What is lower-cased, and what a word is: digits, letters and all beyond ASCII. (A class that lists what
+# it holds runs several times faster than one that lists what it lacks.)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]++"
 #: Tables of the benchmark's shingles up to this many rows (about 100 MB) are broadcast; larger ones are shuffled.
 BROADCAST_SHINGLES = 1_000_000
 #: The same for narrow tables of numbers.
@@ -106,7 +107,7 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     named = named.groupBy("id", "mark").agg(F.sort_array(F.collect_set("item")).alias("items"))
     n = named.select(F.col("id").alias("n_id"), F.col("mark").alias("n_mark"), "items")
     hits = stored(hit.join(n, F.col("id").eqNullSafe(F.col("n_id")) & (F.col("mark") == F.col("n_mark"))).drop("n_id", "n_mark"), "hits")
-    rows = docs.select(F.col(key), F.xxhash64(text).alias("_mark"), F.size(words(F.col(text))).cast("long").alias("n_words"))
+    rows = docs.select(F.col(key), F.xxhash64(text).alias("_mark"), F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long").alias("n_words"))
     h = _small(hits, BROADCAST_ROWS // 10).alias("h")
     both = rows.join(h, F.col(key).eqNullSafe(F.col("h.id")) & (F.col("_mark") == F.col("h.mark")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))

@@ -60,6 +60,21 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
+ORACLES["op2_decontamination"] = """
+    WITH item_words AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+    sized AS (SELECT item_id, w, least(len(w), 10) AS n FROM item_words WHERE len(w) > 0),
+    windows AS (SELECT DISTINCT item_id, n, array_to_string(w[k : k + n - 1], ' ') AS win FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS k FROM sized)),
+    doc_words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+    starts AS (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS k FROM doc_words, (SELECT DISTINCT n FROM windows)),
+    met AS (SELECT doc_id, k, s.n, item_id FROM starts s JOIN windows v ON v.n = s.n AND v.win = array_to_string(w[k : k + s.n - 1], ' ')),
+    hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM met) GROUP BY doc_id),
+    named AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items FROM met GROUP BY doc_id)
+    SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM doc_words d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN named ON named.doc_id = d.doc_id
+"""
+
+
 @query
 def op5_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = warc.write_archives(warc.record_table(table(spark, sf_dir, "pages")), warc.new_folder(spark))

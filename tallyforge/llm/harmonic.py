@@ -132,9 +132,10 @@ def _ids(bpe: WordBpe, table: dict[str, bytes], text: str) -> bytes:
     out = []
     for piece in pieces(text):
         words = bpe.words(piece)
-        if new := set(words).difference(table):
-            table.update(bpe.encode(new))
-        out.append(b"".join(map(table.__getitem__, words)))
-        for w in [w for w in new if len(w) > KEEP_CHARS]:
-            del table[w]
+        found = list(map(table.get, words))
+        if None in found:
+            new = dict(bpe.encode({w for w, x in zip(words, found, strict=True) if x is None}))
+            found = [new[w] if x is None else x for w, x in zip(words, found, strict=True)]
+            table.update((w, x) for w, x in new.items() if len(w) <= KEEP_CHARS)
+        out.append(b"".join(found))
     return b"".join(out)

@@ -67,13 +67,13 @@ def count_tokens(docs: DataFrame, path: str, keys: list[str], text: str = "text"
             for t in texts:
                 total = 0
                 for piece in pieces(t):
-                    found = bpe.pretokens(piece)
-                    if new := set(found).difference(table):
-                        table.update((w, len(ids) // 4) for w, ids in bpe.encode(new))
-                    total += sum(map(table.__getitem__, found))
-                    if new:
-                        for w in [w for w in new if len(w) > KEEP_CHARS]:
-                            del table[w]
+                    words = bpe.pretokens(piece)
+                    found = list(map(table.get, words))
+                    if None in found:
+                        new = {w: len(x) // 4 for w, x in bpe.encode({w for w, n in zip(words, found, strict=True) if n is None})}
+                        found = [new[w] if n is None else n for w, n in zip(words, found, strict=True)]
+                        table.update((w, n) for w, n in new.items() if len(w) <= KEEP_CHARS)
+                    total += sum(found)
                 totals.append(total)
             n_bytes = [len(t.encode("utf-8")) for t in texts]
             columns = {k: part.column(i) for i, k in enumerate(keys)} | {"n_bytes": n_bytes, "n_tokens": totals, "over_limit": [n > limit for n in totals]}

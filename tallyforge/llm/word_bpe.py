@@ -8,6 +8,7 @@ Python could differ, or with the string of a special token, is given to the libr
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterable, Iterator
@@ -24,7 +25,7 @@ PRETOKEN = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 #: Longer words are not kept.
 KEEP_CHARS = 64
 #: A worker's table is emptied of its misses beyond this many.
-KEEP_WORDS = 400_000
+KEEP_WORDS = 1_000_000
 #: Very long texts are worked through in pieces cut at white space.
 PIECE_CHARS = 1 << 20
 
@@ -46,6 +47,8 @@ class WordBpe:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        bare = json.loads(self.library.to_str()) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
+        self.model = Tokenizer.from_str(json.dumps(bare))
         self.special = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
         self.ends = np.zeros(self.library.get_vocab_size(), bool)
         for token, i in self.library.get_vocab().items():
@@ -76,15 +79,31 @@ class WordBpe:
                 for word in odd:
                     yield word, np.array(self.library.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
                 part = list(set(part).difference(odd))
-                joined = " ".join(part)
-            if part:
-                yield from zip(part, self._together(part, joined), strict=True)
+            plain = [w for w in part if w.isascii()]
+            for some in (plain, [w for w in part if not w.isascii()] if len(plain) < len(part) else []):
+                if some:
+                    yield from zip(some, self._together(some), strict=True)
 
-    def _together(self, words: list[str], joined: str) -> Iterator[bytes]:
-        ids = np.array(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+    def _together(self, words: list[str]) -> Iterator[bytes]:
+        """The ids of usual words. They are split here and go to the model alone, without the library's normaliser."""
+        split = [[w] if w.isalpha() else PRETOKEN.findall(w.lower()) for w in words]
+        joined = " ".join([" ".join(p) for p in split]).lower()
+        if not joined.isascii():
+            joined = joined.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        ids = np.array(self.model.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
         ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
-        marks = np.cumsum([1 if w.isalpha() else len(PRETOKEN.findall(w.lower())) for w in words])  # a word ends with the last of its pieces
+        marks = np.cumsum([len(p) for p in split])  # a word ends with the last of its pieces
         raw, start = ids.tobytes(), 0
         for stop in ends[marks - 1].tolist():
             yield raw[start:stop]
             start = stop
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in the vocabulary: visible Latin-1 ones for themselves, the others for letters from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(256 + i) for i, b in enumerate(hidden) if b != 32}  # blanks stay: they part the pieces
+
+
+_BYTE_LETTERS = _byte_letters()

@@ -3,13 +3,16 @@
 Two sets link when their Jaccard similarity is at least 0.8. The steps, each over all documents:
 
 1. A set is the distinct 64-bit hashes of a text's 5-word shingles. Equal sets are one node.
-2. Leaders: nodes that share one of their four smallest hashes are compared by bitmap with the first of them, and the
-   close ones are checked exactly. This joins most groups of near copies without pairing their members.
+2. Leaders: nodes that share one of their three smallest hashes are compared by bitmap with the first of them, and those
+   that look linked are checked exactly. This joins most groups of near copies without pairing their members.
 3. Prefix filter: with all sets in one order, rare shingles first, linked sets share a shingle among the first
-   ``n - ceil(0.8 n) + 1`` of both. Buckets of a shingle in which all nodes are joined already are dropped.
+   ``n - ceil(0.8 n) + 1`` of both. Buckets of a shingle in which all nodes are joined already are dropped, and of
+   buckets with the same nodes one is kept.
 4. Each other bucket gets a signature tree: a node holds the OR of the bitmaps below it, their range of sizes and the
-   largest number of shingles that share a bit. Two nodes are visited together while their largest possible overlap
-   can reach the one needed; what is left are pairs of leaves, which are checked exactly on the texts.
+   largest number of shingles that the bitmaps leave out. Two nodes are visited together while their largest possible
+   overlap can reach the one needed; what is left are pairs of leaves. A first round checks only a spanning forest of
+   the pairs that look linked, so that a group is joined by few checks; the second checks every pair of leaves
+   that are still in different components. All checks are exact, on the texts.
 
 No candidate is dropped except by a bound that rules a link out. The list of frequent shingles only decides
 the order of step 3, so it changes the work, never the result.
@@ -18,23 +21,24 @@ the order of step 3, so it changes the work, never the result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.components import components
+from tallyforge.llm.components import UnionFind, components
 from tallyforge.llm.frames import grouped, stored
 
 SHINGLE = 5
+SIMILAR = 0.8
 #: Smallest hashes of a set that lead to leaders.
-LEADS = 4
+LEADS = 3
 #: A shingle in more than this share of all set entries is frequent; there are at most 1 / FREQUENT of them (4 MB).
 FREQUENT = 2e-6
 #: Set entries a task counts at a time to find them, and the least count it reports.
-COUNTED, REPORTED = 4_000_000, 3
+COUNTED, REPORTED = 2_000_000, 3
 #: Words hashed at a time; a longer word than LONG_WORD bytes is replaced by its digest.
 WORDS, LONG_WORD = 100_000, 1_000
 #: Rows of a leader bucket that are compared with each other; the first of each such block meets the next block's.
@@ -99,9 +103,9 @@ def width(n: int) -> int:
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
-    bits = np.zeros(width(len(hashes)), np.uint8)
-    bits[(hashes & np.uint64(len(bits) - 1)).astype(np.int64)] = 1
-    return np.packbits(bits, bitorder="little").tobytes()
+    """Two planes of bits: where at least one shingle of the set falls, and where at least two do."""
+    counts = np.bincount((hashes & np.uint64(width(len(hashes)) - 1)).astype(np.int64), minlength=width(len(hashes)))
+    return np.packbits(np.concatenate((counts > 0, counts > 1)), bitorder="little").tobytes()
 
 
 # ---- passes over the texts
@@ -198,10 +202,14 @@ def _bounds(rows: pa.Table) -> np.ndarray:
 
 
 def _stack(bits: list[bytes], w: int) -> np.ndarray:
-    """Bitmaps as rows of 64-bit words, folded to ``w`` bits."""
-    out = np.zeros((len(bits), w // 64), np.uint64)
+    """Both planes of bitmaps of ``w`` bits, or of twice as many folded to ``w``, as a row of 64-bit words each."""
+    out = np.zeros((len(bits), w // 32), np.uint64)
     for i, b in enumerate(bits):
-        out[i] = np.bitwise_or.reduce(np.frombuffer(b, np.uint64).reshape(-1, w // 64), axis=0)
+        if len(b) == w // 4:
+            out[i] = np.frombuffer(b, np.uint64)
+        else:  # two bits become one: it holds two shingles if either did, or if both held one
+            one, two = np.frombuffer(b, np.uint64).reshape(2, 2, w // 64)
+            out[i] = np.concatenate((one[0] | one[1], two[0] | two[1] | (one[0] & one[1])))
     return out
 
 
@@ -223,27 +231,36 @@ def _need(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return -(-4 * (a + b) // 9)
 
 
+def _alike(a: np.ndarray, b: np.ndarray, n: np.ndarray, w: int) -> np.ndarray:
+    """Estimated Jaccard similarity of sets with ``n`` entries together, from their first planes of ``w`` bits."""
+    both = np.minimum(_popcount(a[..., : w // 64] | b[..., : w // 64]), w - 1)
+    return n / (-w * np.log1p(-both / w)) - 1  # the union that fills so many bits on average
+
+
 def leader_pairs(n: np.ndarray, bits: list[bytes]) -> list[tuple[int, int]]:
-    """Pairs of a bucket's rows (sorted by size), each row with the first whose bitmap allows a link."""
+    """Pairs of a bucket's rows (sorted by size), each row with the first that it seems to link with by their bitmaps."""
     pairs = []
     for w, rows, own in _classes(n):
         if len(rows) < 2:
             continue
         words, size = _stack([bits[i] for i in rows], w), n[rows]
-        spare = size - _popcount(words)
         free = np.arange(len(rows))
         while len(free) > 1 and free[0] < own:
             a, rest = free[0], free[1:]
             rest_near = rest[4 * size[rest] <= 5 * size[a]]
-            bound = np.minimum(spare[a], spare[rest_near]) + _popcount(words[rest_near] & words[a])
-            linked = rest_near[bound >= _need(size[a], size[rest_near])]
+            linked = rest_near[_alike(words[rest_near], words[a], size[a] + size[rest_near], w) >= SIMILAR]
             pairs += [(rows[a], rows[b]) for b in linked]
             free = rest[~np.isin(rest, linked)] if len(linked) else rest
     return pairs
 
 
 class SignatureTree:
-    """A binary tree over rows sorted by group and size: OR of bitmaps, size range, largest bit sharing, common group."""
+    """A binary tree over rows sorted by group and size: OR of bitmaps, size range, most shingles left out, common group.
+
+    A bitmap has a bit for every first and every second shingle at a place, so it leaves out the third and later ones.
+    What two sets share at a place is at most the smaller of their numbers there, so the bits that both have and the
+    shingles left out bound their overlap.
+    """
 
     def __init__(self, words: np.ndarray, n: np.ndarray, group: np.ndarray) -> None:
         spare = n - _popcount(words)
@@ -281,18 +298,41 @@ class SignatureTree:
             stack.append((level - 1, left[inside], right[inside]))
 
 
-def tree_pairs(n: np.ndarray, bits: list[bytes], group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of a bucket's rows of different groups that their bitmaps allow to link."""
+def tree_pairs(n: np.ndarray, bits: list[bytes], group: np.ndarray, spanning: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a bucket's rows of different groups that their bitmaps allow to link.
+
+    With ``spanning`` a forest of the pairs that look linked, the most similar of those at hand first: fewer than rows.
+    """
+    everyone = np.unique(group, return_inverse=True)[1]
+    sets = UnionFind(int(everyone.max()) + 1) if spanning else None
     for w, rows, own in _classes(n):
         g = np.unique(group[rows], return_inverse=True)[1]
         if len(rows) < 2 or g.max() == 0:
             continue
         order = np.lexsort((n[rows], g))
         rows, mine = rows[order], (np.arange(len(rows)) < own)[order]
-        tree = SignatureTree(_stack([bits[i] for i in rows], w), n[rows], g[order])
-        for i, j in tree.pairs():
+        words = _stack([bits[i] for i in rows], w)
+        for i, j in SignatureTree(words, n[rows], g[order]).pairs():
             here = mine[i] | mine[j]  # two rows of the next width meet in their own class
-            yield rows[i[here]], rows[j[here]]
+            i, j = i[here], j[here]
+            if sets is not None:
+                alike = _alike(words[i], words[j], n[rows[i]] + n[rows[j]], w)
+                best = np.argsort(-alike, kind="stable")[: int((alike >= SIMILAR).sum())]
+                i, j = _forest(sets, i[best], j[best], everyone[rows])
+            yield rows[i], rows[j]
+
+
+def _forest(sets: UnionFind, i: np.ndarray, j: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs, in order, that join two groups not joined before."""
+    kept: list[tuple[int, int]] = []
+    for at in range(0, len(i), 2_000):
+        root = np.array([sets.find(x) for x in range(len(sets.parent))])
+        a, b = i[at : at + 2_000], j[at : at + 2_000]
+        for x, y in zip(a[apart].tolist(), b[apart].tolist(), strict=True) if (apart := root[group[a]] != root[group[b]]).any() else ():
+            if sets.union(int(group[x]), int(group[y])):
+                kept.append((x, y))
+    found = np.array(kept, np.int64).reshape(-1, 2)
+    return found[:, 0], found[:, 1]
 
 
 # ---- the join
@@ -319,25 +359,44 @@ def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _emit(rows.column("id"), np.array(a, np.int64), np.array(b, np.int64))
 
 
+def _mix(x: np.ndarray) -> np.ndarray:
+    """Well-mixed 64-bit numbers for whole numbers."""
+    h = x.astype(np.int64).view(np.uint64) * np.uint64(_BASE)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
 def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of buckets whose nodes are not all in one component."""
+    """The rows (by key and size) that can have a partner, under the number of the bucket they form.
+
+    A bucket ends where the next size is beyond what can link. Buckets whose nodes are all in one component are left out.
+    Buckets of equal nodes get the same number; should other buckets get it by chance, they are visited together, which
+    is no harm.
+    """
     for rows, cuts in _runs(batches):
-        group = rows.column("group").to_numpy()
+        group, ids, n = (rows.column(c).to_numpy() for c in ("group", "id", "n"))
+        cuts = np.union1d(cuts, np.flatnonzero(4 * n[1:] > 5 * n[:-1]) + 1)
+        number = np.add.reduceat(_mix(ids), cuts[:-1])
         mixed = np.minimum.reduceat(group, cuts[:-1]) != np.maximum.reduceat(group, cuts[:-1])
-        keep = np.flatnonzero(np.repeat(mixed, np.diff(cuts)))
-        pairs = np.unique(np.stack([rows.column(c).to_numpy()[keep] for c in ("key", "id")], axis=1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["key", "id"])
-
-
-def _traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows, cuts in _runs(batches, 5_000):
-        n, bits, group, ids = rows.column("n").to_numpy(), rows.column("bits").combine_chunks(), rows.column("group").to_numpy(), rows.column("id")
-        for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
-            if stop - start > 1:
-                for i, j in tree_pairs(n[start:stop], bits.slice(start, stop - start).to_pylist(), group[start:stop]):
+        first = np.zeros(len(number), bool)
+        first[np.unique(number, return_index=True)[1]] = True
+        keep = np.flatnonzero(np.repeat(mixed & first, np.diff(cuts)))
+        numbers = np.repeat(number.view(np.int64), np.diff(cuts))[keep]
+        yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(ids[keep])], ["key", "id"])
+
+
+def _traverse(spanning: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, cuts in _runs(batches, 5_000):
+            n, bits, group, ids = rows.column("n").to_numpy(), rows.column("bits").combine_chunks(), rows.column("group").to_numpy(), rows.column("id")
+            mixed = np.minimum.reduceat(group, cuts[:-1]) != np.maximum.reduceat(group, cuts[:-1])
+            for start, stop in zip(cuts[:-1][mixed], cuts[1:][mixed], strict=True):
+                for i, j in tree_pairs(n[start:stop], bits.slice(start, stop - start).to_pylist(), group[start:stop], spanning):
                     if len(i):
                         yield _emit(ids, i + start, j + start)
 
+    return run
+
 
 def verified(docs: DataFrame, key: str, text: str, pairs: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` whose texts link, compared set by set. A much-wanted ``a`` is checked in several tasks."""
@@ -376,23 +435,38 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rows = stored(sketches(docs, key, text), "sketch")
     known = rows.where("n > 0 and id is not null")
     copies = stored(known.groupBy("digest").agg(F.min("id").alias("node"), F.count("*").alias("rows")).where("rows > 1").select("digest", "node"), "copies")
-    joined = rows.join(small(copies), "digest", "left").withColumn("node", F.coalesce("node", "id"))
+    joined = rows.join(small(copies), "digest", "left").withColumn("node", F.when(F.col("id").isNotNull(), F.coalesce("node", "id")))
     nodes = joined.where("n > 0 and id = node")
 
-    leads = nodes.select(F.explode("leads").alias("key"), "n", "id", "bits").repartition("key").sortWithinPartitions("key", "n", "id")
     kind = docs.schema[key].dataType.simpleString()
-    led = stored(leads.mapInArrow(_lead, f"a {kind}, b {kind}").distinct(), "leads")
+    pair = f"a {kind}, b {kind}"
+
+    def buckets(keyed: DataFrame, name: str) -> DataFrame:
+        by_key = keyed.select("key", "id", "n", "group").repartition("key").sortWithinPartitions("key", "n", "id")
+        return stored(by_key.mapInArrow(_mixed, f"key long, id {kind}").distinct(), name)
+
+    def with_bitmaps(bucket: DataFrame, roots: DataFrame) -> DataFrame:
+        full = bucket.join(_grouped(nodes, roots).select("id", "n", "group", "bits"), "id").select("key", "n", "id", "group", "bits")
+        return full.repartition("key").sortWithinPartitions("key", "n", "id")
+
+    roots = docs.sparkSession.createDataFrame([], f"id {kind}, root {kind}")
+    led = buckets(nodes.select(F.explode("leads").alias("key"), "id", "n", F.col("id").alias("group")), "leads")
+    led = stored(with_bitmaps(led, roots).mapInArrow(_lead, pair).distinct(), "led")
     links = stored(verified(docs, key, text, led), "links")
     roots = stored(components(links), "roots")
 
-    grouped_nodes = nodes.join(small(roots), "id", "left").withColumn("group", F.coalesce("root", "id"))
-    keyed = grouped_nodes.select(F.explode("prefix").alias("key"), "id", "group").repartition("key").sortWithinPartitions("key")
-    mixed = stored(keyed.mapInArrow(_mixed, f"key long, id {kind}"), "mixed")
-    bitmaps = grouped_nodes.select("id", "n", "group", "bits")
-    buckets = mixed.join(bitmaps, "id").select("key", "n", "id", "group", "bits").repartition("key").sortWithinPartitions("key")
-    more = stored(buckets.mapInArrow(_traverse, f"a {kind}, b {kind}").distinct(), "candidates")
-    all_links = links.unionAll(verified(docs, key, text, more))
+    keyed = _grouped(nodes, roots).select(F.explode("prefix").alias("key"), "id", "n", "group")
+    for spanning in (True, False):
+        mixed = buckets(keyed, "mixed")
+        more = stored(with_bitmaps(mixed, roots).mapInArrow(_traverse(spanning), pair).distinct(), "candidates")
+        links = stored(links.unionAll(verified(docs, key, text, more)), "links")
+        roots = stored(components(links), "roots")
+        keyed = mixed.join(_grouped(nodes, roots).select("id", "n", "group"), "id")
 
-    final = components(all_links).withColumnRenamed("id", "node")
     members = joined.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), "node")
-    return members.join(small(stored(final, "components")), "node", "left").select(key, "n_shingles", F.coalesce("root", "node").alias("component_id"))
+    return members.join(small(roots.withColumnRenamed("id", "node")), "node", "left").select(key, "n_shingles", F.coalesce("root", "node").alias("component_id"))
+
+
+def _grouped(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """The nodes with the component each is in so far."""
+    return nodes.join(small(roots), "id", "left").withColumn("group", F.coalesce("root", "id"))

@@ -44,9 +44,13 @@ def term_to_months(term: ColumnOrName) -> Column:
     return F.when(c == " 36 months", F.lit(36)).when(c == " 60 months", F.lit(60))
 
 
+#: What counts as a number in text: no ``NaN``, no ``Infinity``, no type suffix.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def to_numeric(text: ColumnOrName) -> Column:
     """Text to double; text that is no number gives NULL instead of an ANSI cast error."""
-    return col(text).try_cast("double")
+    return F.when(col(text).cast("string").rlike(NUMBER), col(text).try_cast("double"))
 
 
 def parse_rate(rate: ColumnOrName) -> Column:

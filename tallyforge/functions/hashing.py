@@ -12,8 +12,8 @@ from tallyforge.functions.columns import ColumnOrName, col
 
 
 def row_hash(key: ColumnOrName, seed: int | str = 42) -> Column:
-    """32 hex digits from the key and the seed."""
-    return F.md5(F.concat(col(key).cast("string"), F.lit(f":{seed}")))
+    """32 hex digits from the key and the seed; a NULL key counts as an empty text."""
+    return F.md5(F.concat(F.coalesce(col(key).cast("string"), F.lit("")), F.lit(f":{seed}")))
 
 
 def hash_int(key: ColumnOrName, seed: int | str = 42) -> Column:
@@ -26,12 +26,6 @@ def hash_uniform(key: ColumnOrName, seed: int | str = 42) -> Column:
     return (hash_int(key, seed) + 0.5) / 4294967296.0
 
 
-def hash_normal(key: ColumnOrName, seed: int | str = 42) -> Column:
-    """Standard normal value from two uniforms (Box-Muller)."""
-    u, v = hash_uniform(key, f"{seed}u"), hash_uniform(key, f"{seed}v")
-    return F.sqrt(-2.0 * F.log(u)) * F.cos(2.0 * F.pi() * v)
-
-
 def fold_number(key: ColumnOrName, k: int, seed: int | str = 42) -> Column:
     """Cross-validation fold 0..k-1."""
     return (hash_int(key, seed) % k).cast("int")

@@ -24,8 +24,8 @@ def with_unit(text: Column, unit: str) -> Column:
 
 
 def json_row(*cols: str) -> Column:
-    """The named columns of a row as one JSON object."""
-    return F.to_json(F.struct(*cols))
+    """The named columns of a row as one JSON object, NULL ones too."""
+    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
 
 
 def join_rows(df: DataFrame, key: str, value: str, name: str, by: tuple[str, ...] = ()) -> DataFrame:

@@ -40,14 +40,18 @@ def gaps(draws: DataFrame) -> DataFrame:
 
 
 def draws_summary(draws: DataFrame) -> DataFrame:
-    """Mean, sd, standard error and exact quantiles per parameter."""
+    """Mean, sd, standard error and exact quantiles per parameter.
+
+    NaN counts as missing throughout. A parameter without known draws keeps its row, and so does a NULL parameter.
+    """
+    draws = draws.select("param", F.when(~F.isnan("value"), F.col("value")).alias("value"))
     basic = draws.groupBy("param").agg(
         F.count("value").alias("n"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("sd"),
         F.try_divide(F.stddev_samp("value"), F.sqrt(F.count("value"))).alias("se"),
     )
-    return basic.join(exact_quantiles(draws, "value", SUMMARY_QUANTILES, ("param",)), "param")
+    return attach(basic, exact_quantiles(draws, "value", SUMMARY_QUANTILES, ("param",)), ("param",), "left")
 
 
 def split_rhat(draws: DataFrame) -> DataFrame:
@@ -66,15 +70,18 @@ def split_rhat(draws: DataFrame) -> DataFrame:
     return halves.groupBy("param").agg(F.sqrt(F.try_divide((n - 1) / n * within + between, within)).alias("rhat"))
 
 
-def _lag_sums(max_lag: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Per block of one chain: the sum of ``x[i] * x[i + lag]`` for every lag, ``i`` over the block's own draws."""
+def _lag_sums(max_lag: int, block: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Per block of one chain: the sum of ``x[i] * x[i + lag]`` for every lag, ``i`` over the block's own draws.
+
+    Draws are placed by their iteration number; a missing one adds nothing.
+    """
 
     def sums(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_at")
-        x, own = pdf["_x"].to_numpy(), int(pdf["_mine"].sum())
-        products = [float(x[: max(0, min(own, len(x) - t))] @ x[t : t + own]) for t in range(max_lag + 1)]
+        start = int(pdf["_block"].iloc[0]) * block
+        x = np.bincount((pdf["_at"] - start).to_numpy(int), weights=pdf["_x"].to_numpy(float), minlength=block + max_lag)
+        products = [float(x[:block] @ x[t : t + block]) for t in range(max_lag + 1)]
         return pd.DataFrame(
-            {"param": pdf["param"].iloc[0], "chain": pdf["chain"].iloc[0], "_n": pdf["_n"].iloc[0],
+            {"param": pdf["param"].iloc[0], "chain": pdf["chain"].iloc[0], "_n": pdf["_n"].iloc[0], "_mean": pdf["_mean"].iloc[0],
              "lag": np.arange(max_lag + 1, dtype=np.int32), "s": products}
         )
 
@@ -82,72 +89,69 @@ def _lag_sums(max_lag: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
 
 
 def autocovariances(draws: DataFrame, max_lag: int, block: int = 8192) -> DataFrame:
-    """Autocovariance per chain at lags 0..max_lag: ``param, chain, _n, lag, acov``.
+    """Autocovariance per chain at lags 0..max_lag: ``param, chain, _n, _mean, lag, acov``.
 
     Chains are cut into blocks of consecutive iterations. The first ``max_lag`` draws of a block are
     also sent to the block before it, so every product of two draws is formed in exactly one block, a
     task holds at most ``block + max_lag`` draws at a time, and a chain of any length is spread over
     many tasks.
     """
-    if block < max_lag:
-        raise ValueError("a block must be at least as long as the largest lag")
+    block = max(block, max_lag)
     chains = _chains(draws).select(*CHAIN, "_first", "_n", "_mean")
     at = F.col("iter") - F.col("_first")
     own = F.floor(at / block)
     copies = F.when((at % block < max_lag) & (own > 0), F.array(own, own - 1)).otherwise(F.array(own))
-    placed = (
-        attach(draws, chains, CHAIN)
-        .select(
-            *CHAIN,
-            "_n",
-            at.alias("_at"),
-            own.alias("_own"),
-            (F.col("value") - F.col("_mean")).alias("_x"),
-            F.explode(copies).alias("_block"),
-        )
-        .withColumn("_mine", (F.col("_own") == F.col("_block")).cast("int"))
-        .drop("_own")
+    placed = attach(draws, chains, CHAIN).select(
+        *CHAIN, "_n", "_mean", at.alias("_at"), (F.col("value") - F.col("_mean")).alias("_x"), F.explode(copies).alias("_block")
     )
     types = {f.name: f.dataType.simpleString() for f in draws.schema.fields}
-    schema = f"param {types['param']}, chain {types['chain']}, _n bigint, lag int, s double"
-    sums = placed.groupBy(*CHAIN, "_block").applyInPandas(_lag_sums(max_lag), schema)
-    return sums.groupBy(*CHAIN, "_n", "lag").agg((F.sum("s") / F.first("_n")).alias("acov"))
-
+    schema = f"param {types['param']}, chain {types['chain']}, _n bigint, _mean double, lag int, s double"
+    sums = placed.groupBy(*CHAIN, "_block").applyInPandas(_lag_sums(max_lag, block), schema)
+    return sums.groupBy(*CHAIN, "_n", "_mean", "lag").agg((F.sum("s") / F.first("_n")).alias("acov"))
 
-def effective_size(draws: DataFrame, max_lag: int = 50, block: int = 8192) -> DataFrame:
-    """Effective sample size per parameter.
 
-    Autocorrelations pooled over chains are summed in pairs of lags up to, and without, the first pair
-    that is negative, and at most to ``max_lag`` (an odd number of lags leaves the last one out).
-    """
-    acov = autocovariances(draws, max_lag, block)
-    per_lag = acov.groupBy("param", "lag").agg(
+def _effective(draws: DataFrame, max_lag: int, block: int) -> DataFrame:
+    """``param, ess, open``: the size from lags up to ``max_lag``, and whether no pair of them was negative."""
+    per_lag = autocovariances(draws, max_lag, block).groupBy("param", "lag").agg(
         F.avg("acov").alias("acov"),
-        F.avg(F.col("_n")).alias("n"),
+        F.avg("_n").alias("n"),
         F.sum("_n").alias("total"),
-        F.avg(F.when(F.col("lag") == 0, F.try_divide(F.col("acov") * F.col("_n"), F.col("_n") - 1))).alias("w"),
-    )
-    means = draws.groupBy(*CHAIN).agg(F.avg("value").alias("m")).groupBy("param").agg(
-        F.coalesce(F.var_samp("m"), F.lit(0.0)).alias("b")
-    )
-    lag0 = per_lag.where("lag = 0").select("param", F.col("w"), F.col("n"), F.col("total"))
-    base = lag0.join(means, "param").select(
-        "param", "w", "total", ((F.col("n") - 1) / F.col("n") * F.col("w") + F.col("b")).alias("v")
-    )
-    rho = F.when(F.col("lag") == 0, F.lit(1.0)).otherwise(1.0 - F.try_divide(F.col("w") - F.col("acov"), F.col("v")))
-    pairs = (
-        per_lag.select("param", "lag", "acov")
-        .join(base, "param")
-        .groupBy("param", "total", F.floor(F.col("lag") / 2).alias("pair"))
-        .agg(F.sum(rho).alias("r"), F.count(F.lit(1)).alias("c"))
-        .where("c = 2")
-    )
-    first_negative = F.min(F.when(F.col("r") < 0, F.col("pair")))
-    ends = pairs.groupBy("param").agg(first_negative.alias("_end"))
-    kept = pairs.join(ends, "param").where(F.col("_end").isNull() | (F.col("pair") < F.col("_end")))
-    return kept.groupBy("param", "total").agg(F.sum("r").alias("s")).select(
-        "param", F.try_divide(F.col("total"), 2.0 * F.col("s") - 1.0).alias("ess")
+        F.max("_n").alias("longest"),
+        F.avg(F.try_divide(F.col("acov") * F.col("_n"), F.col("_n") - 1)).alias("w"),
+        F.coalesce(F.var_samp("_mean"), F.lit(0.0)).alias("b"),
     )
+    # At most ``max_lag + 1`` values per parameter, in order of their lag.
+    lags = per_lag.groupBy("param").agg(F.sort_array(F.collect_list(F.struct("lag", "acov", "n", "total", "longest", "w", "b"))).alias("l"))
+    zero = F.col("l")[0]
+    v = (zero["n"] - 1) / zero["n"] * zero["w"] + zero["b"]
+    rho = lambda x: F.when(x["lag"] == 0, F.lit(1.0)).otherwise(1.0 - F.try_divide(F.col("_w") - x["acov"], F.col("_v")))
+    known = lags.select("param", zero["w"].alias("_w"), v.alias("_v"), zero["total"].alias("total"), zero["longest"].alias("longest"), "l")
+    known = known.withColumn("_rho", F.transform("l", rho))
+    pairs = F.transform(F.sequence(F.lit(0), F.lit((max_lag + 1) // 2 - 1)), lambda i: F.get("_rho", 2 * i) + F.get("_rho", 2 * i + 1))
+    start = F.struct(F.lit(0.0).alias("s"), F.lit(True).alias("open"))
+    step = lambda acc, r: F.struct((acc["s"] + F.when(acc["open"] & (r >= 0), r).otherwise(0.0)).alias("s"), (acc["open"] & (r >= 0)).alias("open"))
+    done = known.select("param", "total", "longest", F.aggregate(F.transform(pairs, lambda r: F.coalesce(r, F.lit(-1.0))), start, step).alias("a"))
+    return done.select("param", F.try_divide("total", 2.0 * F.col("a.s") - 1.0).alias("ess"), (F.col("a.open") & (F.col("longest") > max_lag)).alias("open"))
+
+
+def effective_size(draws: DataFrame, max_lag: int = 63, block: int = 8192) -> DataFrame:
+    """Effective sample size per parameter.
+
+    Autocorrelations pooled over chains are summed in pairs of lags up to, and without, the first pair that is
+    negative. ``max_lag`` is where the search begins: parameters without a negative pair up to there are looked at
+    again with four times as many lags, until each has one or its lags reach the length of its chains. Each round but
+    the last one is a job that asks only for the parameters that are left.
+    """
+    draws = draws.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    done, left = None, draws
+    while True:
+        found = _effective(left, max_lag, block)
+        open_ones = [r["param"] for r in found.where("open").select("param").collect()]  # one value per parameter
+        closed = found.where("not open").select("param", "ess")
+        done = closed if done is None else done.unionByName(closed)
+        if not open_ones:
+            return done
+        left, max_lag = left.where(F.col("param").isin(open_ones)), 4 * max_lag + 3
 
 
 def waic(loglik: DataFrame, width: float = 50.0) -> DataFrame:

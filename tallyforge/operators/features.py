@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.functions.columns import parse_rate
+from tallyforge.functions.columns import NUMBER, parse_rate
 from tallyforge.sources.naming import safe_name
 
 RECIPE_COLUMNS = ("bc_open_to_buy", "bc_util", "all_util")
@@ -24,6 +24,12 @@ def _number(value: float | None) -> str:
     return "CAST(NULL AS DOUBLE)" if value is None else f"{float(value)!r}D"
 
 
+def _known(column: str) -> Column:
+    """A column for fitted statistics: NaN counts as missing."""
+    value = F.col(f"`{column}`").cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def _stage(columns: dict[str, str], dropped: tuple[str, ...] = ()) -> SQLTransformer:
     """A stage that adds ``columns`` (name to SQL over the input) after removing ``dropped``.
 
@@ -48,7 +54,7 @@ def fit_scaler(train: DataFrame, columns: tuple[str, ...], ddof: int = 0, suffix
     """
     sd = F.stddev_samp if ddof else F.stddev_pop
     stats = train.agg(
-        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)], *[sd(c).alias(f"s{i}") for i, c in enumerate(columns)]
+        *[F.avg(_known(c)).alias(f"m{i}") for i, c in enumerate(columns)], *[sd(_known(c)).alias(f"s{i}") for i, c in enumerate(columns)]
     ).first()
     sql = {
         f"{c}{suffix}": f"(CAST(`{c}` AS DOUBLE) - {_number(stats[f'm{i}'])}) / {_number(stats[f's{i}'] or 1.0)}"
@@ -66,20 +72,26 @@ def levels(train: DataFrame, column: str) -> list[str]:
 
 
 def fit_dummy(train: DataFrame, column: str) -> SQLTransformer:
-    """Indicators for all levels but the first; a NULL stays NULL, an unseen level is all zeros."""
-    sql = {}
+    """Indicators for all levels but the first; a NULL stays NULL, an unseen level is all zeros.
+
+    Levels whose safe names are equal get a number at the end, in alphabetical order of the levels.
+    """
+    sql: dict[str, str] = {}
     for level in levels(train, column)[1:]:
+        name, again = f"{column}_{safe_name(level)}", 2
+        while name in sql:
+            name, again = f"{column}_{safe_name(level)}_{again}", again + 1
         text = level.replace("\\", "\\\\").replace("'", "\\'")
-        sql[f"{column}_{safe_name(level)}"] = (
+        sql[name] = (
             f"CASE WHEN `{column}` IS NULL THEN NULL WHEN `{column}` = '{text}' THEN 1.0D ELSE 0.0D END"
         )
     return _stage(sql, (column,))
 
 
 def fit_impute_mean(train: DataFrame, columns: tuple[str, ...]) -> SQLTransformer:
-    """Fill NULLs by the training mean."""
-    means = train.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)]).first()
-    sql = {c: f"coalesce(`{c}`, {_number(means[f'm{i}'])})" for i, c in enumerate(columns)}
+    """Fill NULL and NaN by the training mean."""
+    means = train.agg(*[F.avg(_known(c)).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    sql = {c: f"coalesce(nanvl(CAST(`{c}` AS DOUBLE), NULL), {_number(means[f'm{i}'])})" for i, c in enumerate(columns)}
     return replace_columns(sql)
 
 
@@ -101,7 +113,8 @@ def fit_recipe(
     for the term, then fill NULLs by the training mean. The mean of a scaled column is 0, so that is the
     fill. A row without a term keeps NULL indicators.
     """
-    cast = replace_columns({c: f"try_cast(`{c}` AS DOUBLE)" for c in numeric})
+    number = NUMBER.replace("\\", "\\\\")
+    cast = replace_columns({c: f"CASE WHEN CAST(`{c}` AS STRING) RLIKE '{number}' THEN try_cast(`{c}` AS DOUBLE) END" for c in numeric})
     numbers = cast.transform(train)
     scale = fit_scaler(numbers, numeric, ddof=1)
     scaled = scale.transform(numbers)

@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 
 def regression_metrics(df: DataFrame, prediction: str, label: str, by: tuple[str, ...] = ()) -> DataFrame:
-    """``rmse``, ``mae`` and ``r2`` (squared correlation; NULL for a constant prediction)."""
-    error = F.col(prediction) - F.col(label)
-    p, y = F.col(prediction).cast("double"), F.col(label).cast("double")
+    """``rmse``, ``mae`` and ``r2`` (squared correlation; NULL for a constant prediction).
+
+    Rows without a prediction or without a label count in none of them.
+    """
+    known = F.col(prediction).isNotNull() & F.col(label).isNotNull()
+    p, y = F.when(known, F.col(prediction).cast("double")), F.when(known, F.col(label).cast("double"))
+    error = p - y
     shared = F.covar_pop(p, y)
     return df.groupBy(*by).agg(
         F.sqrt(F.avg(F.pow(error, F.lit(2.0)))).alias("rmse"),

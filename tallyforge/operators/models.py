@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import RFormula
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import AFTSurvivalRegression, GBTRegressor, LinearRegression
+from pyspark.ml.regression import AFTSurvivalRegression, GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -18,17 +19,22 @@ from tallyforge.operators.features import (
     RECIPE_COLUMNS,
     add_columns,
     assembler,
+    fit_impute_mean,
     fit_recipe,
     fit_scaler,
     replace_columns,
 )
 from tallyforge.operators.metrics import regression_metrics
+from tallyforge.session import work_path
 
 
 @contextmanager
 def _training(df: DataFrame) -> Iterator[DataFrame]:
     """Rows kept for the many passes of an iterative fit, spread over all cores when they lie in few files."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:  # long fits cut their lineage there
+        context.setCheckpointDir(work_path(df.sparkSession, "fits"))
+    cores = context.defaultParallelism
     kept = (df.repartition(cores) if df.rdd.getNumPartitions() < cores else df).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield kept
@@ -41,6 +47,7 @@ def fit_elastic_net(
 ) -> PipelineModel:
     """Linear model with an elastic-net penalty, features not standardised.
 
+    Rows with a missing value are left out of the fit; scored, they get a NULL prediction.
     ``alpha`` mixes L1 (1) and L2 (0), ``lam`` is the penalty weight. Up to 4096 features are solved from
     one pass of second moments.
     """
@@ -48,7 +55,7 @@ def fit_elastic_net(
         labelCol=label, elasticNetParam=alpha, regParam=lam, standardization=False, predictionCol=prediction, tol=1e-9,
         maxIter=1000,
     )
-    return Pipeline(stages=[assembler(features), net]).fit(train)
+    return Pipeline(stages=[assembler(features, "keep"), net]).fit(train.dropna(subset=[*features, label]))
 
 
 def fit_rate_model(
@@ -70,29 +77,49 @@ def fit_rate_model(
     return PipelineModel([copy, *recipe.stages, fill, vector, boosted]), names
 
 
+def shorter(model: PipelineModel, trees: int) -> PipelineModel:
+    """The model that a fit with fewer trees gives: boosting adds trees one by one, so it is the first ones of a longer fit."""
+    long = model.stages[-1]
+    context = SparkContext._active_spark_context
+    java = context._jvm.org.apache.spark.ml
+    some = context._gateway.new_array(java.regression.DecisionTreeRegressionModel, trees)
+    weights = context._gateway.new_array(context._jvm.double, trees)
+    for i, (tree, weight) in enumerate(zip(long._java_obj.trees()[:trees], long.treeWeights[:trees], strict=True)):
+        some[i], weights[i] = tree, float(weight)
+    short = GBTRegressionModel(java.regression.GBTRegressionModel(f"{long.uid}_{trees}", some, weights))
+    return PipelineModel([*model.stages[:-1], short])
+
+
 def fit_boosted_classifier(
     train: DataFrame, features: tuple[str, ...], scaled: tuple[str, ...], label: str = "target", rounds: int = 100,
     seed: int = 42,
 ) -> PipelineModel:
-    """Scaler (population sd) and boosted classification trees as one model."""
+    """Scaler (population sd) and boosted classification trees as one model; a missing value counts as the training mean.
+
+    The last stage works on copies, so scored rows keep their own columns.
+    """
     scaler = fit_scaler(train, scaled, suffix="_scaled")
-    columns = [f"{c}_scaled" if c in scaled else c for c in features]
-    vector = assembler(columns)
-    ready = vector.transform(scaler.transform(train)).select("features", F.col(label).cast("double").alias(label))
+    copy = add_columns({f"{c}_x": f"`{f'{c}_scaled' if c in scaled else c}`" for c in features})
+    columns = tuple(f"{c}_x" for c in features)
+    copied = copy.transform(scaler.transform(train))
+    fill, vector = fit_impute_mean(copied, columns), assembler(columns)
+    ready = vector.transform(fill.transform(copied)).where(F.col(label).isNotNull()).select("features", F.col(label).cast("double").alias(label))
     with _training(ready) as rows:
         boosted = GBTClassifier(labelCol=label, maxIter=rounds, seed=seed).fit(rows)
-    return PipelineModel([scaler, vector, boosted])
+    return PipelineModel([scaler, copy, fill, vector, boosted])
 
 
 def fit_forest(
     train: DataFrame, features: tuple[str, ...], label: str, trees: int = 500, seed: int = 42
 ) -> PipelineModel:
-    """Random forest whose impurity importances are read by :func:`importances`."""
-    vector = assembler(features)
-    ready = vector.transform(train).select("features", F.col(label).cast("double").alias(label))
-    with _training(ready) as rows:
+    """Random forest whose impurity importances are read by :func:`importances`; missing values count as training means."""
+    copy = add_columns({f"{c}_x": f"`{c}`" for c in features})
+    columns = tuple(f"{c}_x" for c in features)
+    fill, vector = fit_impute_mean(copy.transform(train), columns), assembler(columns)
+    ready = vector.transform(fill.transform(copy.transform(train))).where(F.col(label).isNotNull())
+    with _training(ready.select("features", F.col(label).cast("double").alias(label))) as rows:
         forest = RandomForestClassifier(labelCol=label, numTrees=trees, seed=seed).fit(rows)
-    return PipelineModel([vector, forest])
+    return PipelineModel([copy, fill, vector, forest])
 
 
 def fit_survival(
@@ -101,10 +128,10 @@ def fit_survival(
     """Accelerated failure time model of right-censored times.
 
     ``censored = 1`` means the event was not seen; the fit expects the opposite flag, made here. The
-    error is Weibull and there is no random effect per patient.
+    error is Weibull and there is no random effect per patient. Rows with a missing value are left out of the fit.
     """
-    rows = df.withColumn("_seen", 1.0 - F.col(censored).cast("double"))
-    terms = RFormula(formula=formula).fit(rows)
+    rows = df.withColumn("_seen", 1.0 - F.col(censored).cast("double")).where(F.col("_seen").isNotNull())
+    terms = RFormula(formula=formula, handleInvalid="skip").fit(rows)
     with _training(terms.transform(rows).select("features", "label", "_seen")) as ready:
         fit = AFTSurvivalRegression(censorCol="_seen", maxIter=100).fit(ready)
     return PipelineModel([terms, fit])
@@ -135,14 +162,15 @@ def top_importances(frame: DataFrame, n: int = 10, mode: str = "top") -> DataFra
 
 
 def predict(model: PipelineModel, df: DataFrame, name: str = "prediction") -> DataFrame:
-    """The input rows with the prediction as one more column."""
-    return model.transform(df).select(*[F.col(f"`{c}`") for c in df.columns], F.col("prediction").alias(name))
+    """The input rows with the prediction as one more column; NULL where the model needs a value that is missing."""
+    known = F.when(~F.isnan("prediction"), F.col("prediction"))
+    return model.transform(df).select(*[F.col(f"`{c}`") for c in df.columns], known.alias(name))
 
 
 def predict_probability(model: PipelineModel, df: DataFrame, name: str = "probability") -> DataFrame:
     """The input rows with the probability of class 1."""
     out = model.transform(df)
-    return out.select(*df.columns, vector_to_array("probability")[1].alias(name))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], vector_to_array("probability")[1].alias(name))
 
 
 def save_model(model: PipelineModel, uri: str) -> str:

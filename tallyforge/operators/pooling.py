@@ -47,33 +47,33 @@ def tau_posterior(
     return raw.select("tau", "m", "v", (F.col("q") / F.sum("q").over(grid)).alias("p"))
 
 
+def check_grid(posterior: DataFrame, most: float = 1e-3) -> None:
+    """Raises when the largest spread of the grid still has weight: the grid then cuts the posterior off."""
+    last = posterior.agg(F.max_by("p", "tau").alias("p")).first()["p"]
+    if last is not None and last > most:
+        raise ValueError(f"the largest spread has weight {last:.2g}: take a larger tau_max")
+
+
 def pooled_effects(groups: DataFrame, posterior: DataFrame) -> DataFrame:
     """Posterior mean and sd of every group effect: ``id, y, sigma, theta_mean, theta_sd``.
 
-    The posterior has one row per grid value and travels as one array; the sums over it are per group,
-    so groups that already lie together by ``id`` are not shuffled again.
+    The posterior has one row per grid value and travels as one array; each group's sums over it are taken where its row
+    lies, without a shuffle.
     """
     cells = posterior.select(F.struct("tau", "m", "v", "p").alias("g")).agg(F.collect_list("g").alias("gs")).scalar()
-    cell = groups.select("id", "y", "sigma", F.explode(cells).alias("g"))
-    t2, s2 = F.col("g.tau") * F.col("g.tau"), F.col("sigma") * F.col("sigma")
-    keep = t2 / (t2 + s2)
-    mean = keep * (F.col("y") - F.col("g.m")) + F.col("g.m")
-    within = keep * s2 + (1.0 - keep) * (1.0 - keep) * F.col("g.v")
-    p = F.col("g.p")
-    sums = cell.select("id", "y", "sigma", p.alias("p"), (mean - F.col("y")).alias("e"), within.alias("w")).groupBy(
-        "id"
-    ).agg(
-        F.first("y").alias("y"),
-        F.first("sigma").alias("sigma"),
-        F.sum(F.col("p") * F.col("e")).alias("e1"),
-        F.sum(F.col("p") * (F.col("w") + F.col("e") * F.col("e"))).alias("e2"),
-    )
+    t2, s2 = (lambda g: g["tau"] * g["tau"]), F.col("sigma") * F.col("sigma")
+
+    def add(acc: Column, g: Column) -> Column:
+        keep = t2(g) / (t2(g) + s2)
+        e = keep * (F.col("y") - g["m"]) + g["m"] - F.col("y")
+        within = keep * s2 + (1.0 - keep) * (1.0 - keep) * g["v"]
+        return F.struct((acc["e1"] + g["p"] * e).alias("e1"), (acc["e2"] + g["p"] * (within + e * e)).alias("e2"))
+
+    zero = F.struct(F.lit(0.0).alias("e1"), F.lit(0.0).alias("e2"))
+    # One small array, the same beside every row: a subquery that runs once.
+    sums = groups.select("id", "y", "sigma", cells.alias("gs")).select("id", "y", "sigma", F.aggregate("gs", zero, add).alias("s"))
     return sums.select(
-        "id",
-        "y",
-        "sigma",
-        (F.col("y") + F.col("e1")).alias("theta_mean"),
-        F.sqrt(F.col("e2") - F.col("e1") * F.col("e1")).alias("theta_sd"),
+        "id", "y", "sigma", (F.col("y") + F.col("s.e1")).alias("theta_mean"), F.sqrt(F.col("s.e2") - F.col("s.e1") * F.col("s.e1")).alias("theta_sd")
     )
 
 

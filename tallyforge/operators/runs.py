@@ -6,6 +6,9 @@ import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tallyforge.functions.columns import to_numeric
 
 LOG_SCHEMA = "run_id string, kind string, key string, value string, ts timestamp"
 VERSION_SCHEMA = "name string, version bigint, run_id string, uri string"
@@ -43,12 +46,29 @@ def metric_rows(metrics: DataFrame, run_id: str, names: tuple[str, ...], kind: s
 def run_search(log: DataFrame, names: tuple[str, ...], order: str, descending: bool = True) -> DataFrame:
     """One row per run with the named params and metrics as columns, best first.
 
-    Values that are numbers become numbers. Equal metrics are ordered by run id.
+    The value logged last counts (of equal times the larger one). A metric is a number; a parameter is a number when all
+    its values are, else text. A name that is logged as both stands for the metric, and its parameter for
+    ``params.<name>``. Equal metrics are ordered by run id.
     """
-    wide = log.groupBy("run_id").pivot("key", list(names)).agg(F.max("value"))
-    typed = wide.select("run_id", *[F.col(n).try_cast("double").alias(n) for n in names])
-    best = F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_last()
-    return typed.orderBy(best, "run_id")
+    if "ts" not in log.columns:
+        log = log.withColumn("ts", F.lit(None).cast("timestamp"))
+    metric, param = F.col("kind") == "metric", F.col("kind") == "param"
+    last = lambda kind, name: F.max(F.when(kind & (F.col("key") == name), F.struct("ts", "value")))["value"]
+    bare = [(n, n.removeprefix("params.")) for n in names]
+    kinds = {r["key"]: r for r in log.where(F.col("key").isin(*{b for _, b in bare})).groupBy("key").agg(
+        F.coalesce(F.bool_or(metric), F.lit(False)).alias("is_metric"),
+        F.coalesce(F.bool_and(F.when(param, to_numeric("value").isNotNull())), F.lit(True)).alias("numbers"),
+    ).collect()}
+    wide = log.groupBy("run_id").agg(*[last(metric, b).alias(f"_m{i}") for i, (_, b) in enumerate(bare)], *[last(param, b).alias(f"_p{i}") for i, (_, b) in enumerate(bare)])
+    columns = []
+    for i, (n, b) in enumerate(bare):
+        as_metric = n == b and (b not in kinds or kinds[b]["is_metric"])
+        as_number = as_metric or kinds[b]["numbers"]
+        value = F.col(f"_m{i}" if as_metric else f"_p{i}")
+        columns.append((to_numeric(value) if as_number else value).alias(n))
+    typed = wide.select("run_id", *columns)
+    by = F.col(f"`{order}`")
+    return typed.orderBy(by.desc_nulls_last() if descending else by.asc_nulls_last(), "run_id")
 
 
 def top_run(log: DataFrame, names: tuple[str, ...], order: str, descending: bool = True) -> DataFrame:
@@ -61,9 +81,10 @@ def model_uri(artifact_uri: str | Column, name: str | Column) -> Column:
 
 
 def next_versions(registry: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Candidates ``(name, run_id, uri)`` with the version that follows the last one of their name."""
+    """Candidates ``(name, run_id, uri)`` with the versions that follow the last one of their name, by run id."""
     last = registry.groupBy("name").agg(F.max("version").alias("_last"))
-    version = (F.coalesce(F.col("_last"), F.lit(0)) + 1).cast("bigint").alias("version")
+    number = F.row_number().over(Window.partitionBy("name").orderBy("run_id", "uri"))
+    version = (F.coalesce(F.col("_last"), F.lit(0)) + number).cast("bigint").alias("version")
     return candidates.join(last, "name", "left").select("name", version, "run_id", "uri")
 
 

@@ -1,120 +1,127 @@
 """Repeatable samples, splits, folds and global ranks.
 
-Rows are ordered by a hash of their key. A sample of exact size needs only the hash at one rank: a count
-per hash prefix finds the bucket that holds the rank, that one bucket is sorted, and every row is then
-compared with the found hash. No row is shuffled except those of that bucket. ``key`` must be unique.
+Rows are ordered by a hash of their key, rows of one key by a hash of the whole row; rows that are equal throughout are
+told apart only where an edge falls between them. A sample of exact size needs the hash at one rank: counts per prefix
+lead to it in a few steps, each over the rows of the prefix found before, and every row is then compared with it
+where it lies. Null and repeated keys are ordinary rows: no row is lost, and sizes are exact.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyforge.functions.hashing import fold_number, row_hash
+from tallyforge.functions.hashing import fold_number, hash_int, row_hash
 from tallyforge.operators.order_stats import values_at_ranks
 
-#: Hex digits that form a hash bucket. With 16**3 buckets every task sends at most 4096 counts, and of
-#: 10**11 rows about 24 million are sorted in the bucket of the rank; take more digits beyond that.
-PREFIX_DIGITS = 3
+#: Hex digits that form a sort group of :func:`global_rank`.
+PREFIX_DIGITS = 4
 
+#: Lengths of the prefixes that are counted one after the other: 16 bits at a time of the key's hash, then the rest of
+#: it, then the same of the row's hash. A step sends at most 65,536 counts per task, or those of one prefix.
+STEPS = (4, 8, 32, 36, 64)
 
-def _hashed(df: DataFrame, key: str, seed: int | str, digits: int) -> DataFrame:
-    h = row_hash(key, seed)
-    return df.select(F.col(key), h.alias("_h")).withColumn("_p", F.substring("_h", 1, digits))
+#: A prefix with at most this many rows is fetched and sorted on the driver (under 1 MB).
+FETCHED = 10_000
 
 
-def _prefix_spans(hashed: DataFrame) -> DataFrame:
-    """Rows per prefix and rows before it; at most 16**digits rows reach the window."""
-    everything = Window.partitionBy()
-    return (
-        hashed.groupBy("_p")
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_start", F.sum("_c").over(everything.orderBy("_p")) - F.col("_c"))
-        .withColumn("_n", F.sum("_c").over(everything))
-    )
+def _order(df: DataFrame, key: str, seed: int | str) -> Column:
+    """64 hex digits: the hash of the key, then that of the whole row with the places of its NULLs."""
+    values = [F.col(f"`{c}`") for c in df.columns]
+    known = F.concat(*[F.when(c.isNull(), "0").otherwise("1") for c in values])
+    halves = [F.lpad(F.hex(F.xxhash64(F.lit(f"{part}:{seed}"), known, *values)), 16, "0") for part in ("a", "b")]
+    return F.concat(row_hash(key, seed), *halves)
 
 
-def _last_taken(df: DataFrame, key: str, size: Column, seed: int | str, digits: int) -> DataFrame:
-    """One row ``x`` with the hash and key of the ``size``-th row in hash order; none when there are fewer.
+def _edge(df: DataFrame, key: str, fraction: float | None = None, size: int | None = None, seed: int | str = 42) -> tuple[str, int | None]:
+    """The order of the last of the first rows, and how many rows of just that order belong to them; None for all.
 
-    ``size`` is an expression over ``_n``, the number of rows.
+    The order is cut to the key's hash where that settles it, as it does for unique keys. The first rows are ``size`` of them, or ``floor(fraction * n)``; at most all. This is a documented fit: two or three
+    jobs, each counting prefixes or fetching at most :data:`FETCHED` hashes.
     """
-    hashed = _hashed(df, key, seed, digits)
-    spans = _prefix_spans(hashed)
-    bucket = (
-        spans.where((size > F.col("_start")) & (size <= F.col("_start") + F.col("_c")))
-        .select(F.struct("_p", (size - F.col("_start")).cast("bigint").alias("at")).alias("b"))
-        .scalar()
-    )
-    in_bucket = hashed.withColumn("_t", bucket).where(F.col("_p") == F.col("_t")["_p"])
-    ranked = in_bucket.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy("_h", key)))
-    return ranked.where(F.col("_r") == F.col("_t")["at"]).select(F.struct("_h", key).alias("x"))
-
-
-def _pair(key: str, seed: int | str) -> Column:
-    return F.struct(row_hash(key, seed).alias("_h"), F.col(key))
-
-
-def _up_to(df: DataFrame, key: str, size: Column, seed: int | str, digits: int, if_short: bool) -> Column:
-    last = _last_taken(df, key, size, seed, digits).scalar()
-    return F.coalesce(_pair(key, seed) <= last, F.lit(if_short))
-
-
-def sample_n(df: DataFrame, key: str, n: int, seed: int | str = 42, digits: int = PREFIX_DIGITS) -> DataFrame:
+    hashed, prefix, last, at = df.select(_order(df, key, seed).alias("_h")), "", 0, None
+    for length in STEPS:
+        inside = hashed.where(F.substring("_h", 1, last) == prefix) if last else hashed
+        counts = inside.groupBy(F.substring("_h", 1, length).alias("p")).agg(F.count(F.lit(1)).alias("c"))
+        if at is None:
+            n = counts.agg(F.sum("c")).first()[0] or 0
+            at = min(size if fraction is None else math.floor(fraction * n), n)
+            if at < 1:
+                return "", None
+        start = F.sum("c").over(Window.partitionBy().orderBy("p")) - F.col("c")
+        found = counts.withColumn("s", start).where((F.col("s") < at) & (F.col("s") + F.col("c") >= at)).first()
+        prefix, last, at = found["p"], length, at - found["s"]
+        if found["c"] <= FETCHED:
+            rows = [r["_h"] for r in hashed.where(F.col("_h").startswith(prefix)).orderBy("_h").limit(FETCHED).collect()]
+            edge, after = rows[at - 1], rows[at : at + 1]
+            if last <= 32 and not any(r[:32] == edge[:32] for r in after):
+                return edge[:32], None
+            return edge, at - rows.index(edge) if after == [edge] else None
+    return prefix, at
+
+
+def _mark(df: DataFrame, key: str, name: str = "is_train", seed: int | str = 42, **first) -> DataFrame:
+    """``name`` tells whether a row is among the first; of rows that are equal throughout as many are taken as are needed."""
+    edge, among = _edge(df, key, seed=seed, **first)
+    if among is None:
+        return df.withColumn(name, (row_hash(key, seed) if len(edge) <= 32 else _order(df, key, seed)) <= edge)
+    placed = df.withColumn("_h", _order(df, key, seed))
+    apart = placed.where(F.col("_h") != edge).withColumn(name, F.col("_h") < edge)
+    number = F.row_number().over(Window.partitionBy("_h").orderBy("_h"))
+    tied = placed.where(F.col("_h") == edge).withColumn(name, number <= among)
+    return apart.unionByName(tied).drop("_h")
+
+
+def sample_n(df: DataFrame, key: str, n: int, seed: int | str = 42) -> DataFrame:
     """Exactly ``n`` random rows, or the whole frame when it is smaller."""
     if n < 1:
         return df.limit(0)
-    return df.where(_up_to(df, key, F.lit(n), seed, digits, if_short=True))
+    return _mark(df, key, "_taken", seed, size=n).where("_taken").drop("_taken")
 
 
-def mark_split(
-    df: DataFrame, key: str, fraction: float = 0.75, seed: int | str = 42, digits: int = PREFIX_DIGITS
-) -> DataFrame:
+def mark_split(df: DataFrame, key: str, fraction: float = 0.75, seed: int | str = 42) -> DataFrame:
     """Add ``is_train``: true for exactly ``floor(fraction * n)`` random rows."""
-    size = F.floor(F.lit(fraction) * F.col("_n"))
-    return df.withColumn("is_train", _up_to(df, key, size, seed, digits, if_short=False))
-
+    return _mark(df, key, seed=seed, fraction=fraction)
 
-def split_exact(
-    df: DataFrame, key: str, fraction: float = 0.75, seed: int | str = 42, digits: int = PREFIX_DIGITS
-) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows; disjoint, together the whole frame.
 
-    The last training row is looked up once and becomes a constant, so the many passes of a fit over
-    the training rows are plain filtered scans.
-    """
-    size = F.floor(F.lit(fraction) * F.col("_n"))
-    last = _last_taken(df, key, size, seed, digits).first()
-    if last is None:
-        return df.limit(0), df
-    edge = F.struct(F.lit(last["x"]["_h"]).alias("_h"), F.lit(last["x"][key]).cast(df.schema[key].dataType).alias(key))
-    return df.where(_pair(key, seed) <= edge), df.where(_pair(key, seed) > edge)
+def split_exact(df: DataFrame, key: str, fraction: float = 0.75, seed: int | str = 42) -> tuple[DataFrame, DataFrame]:
+    """Train and test rows; disjoint, together the whole frame."""
+    marked = _mark(df, key, "_train", seed, fraction=fraction)
+    return marked.where("_train").drop("_train"), marked.where("not _train").drop("_train")
 
 
-def _ordered_edge(df: DataFrame, key: str, fraction: float) -> DataFrame:
-    last = {"last": (fraction, lambda n: F.floor(F.lit(fraction) * n) - 1)}
-    return values_at_ranks(df, key, last).select("value")
+def mark_split_ordered(df: DataFrame, key: str, fraction: float = 0.7, seed: int | str = 42) -> DataFrame:
+    """Add ``is_train``: true for the first ``floor(fraction * n)`` rows in key order (numeric key), null keys last.
 
-
-def mark_split_ordered(df: DataFrame, key: str, fraction: float = 0.7) -> DataFrame:
-    """Add ``is_train``: true for the first ``floor(fraction * n)`` rows in key order (numeric key)."""
-    return df.withColumn("is_train", F.coalesce(F.col(key) <= _ordered_edge(df, key, fraction).scalar(), F.lit(False)))
+    Rows that share the key at the edge are ordered by their hash. The edge is looked up when the frame is made.
+    """
+    n, known = df.agg(F.count(F.lit(1)), F.count(key)).first()
+    size = math.floor(fraction * n)
+    if size < 1:
+        return df.withColumn("is_train", F.lit(False))
+    value = None
+    if size <= known:
+        value = values_at_ranks(df, key, {"last": (fraction, lambda _: F.lit(size - 1))}).first()["value"]
+        value = F.lit(value).cast(df.schema[key].dataType)
+    before = F.col(key).isNotNull() if value is None else F.coalesce(F.col(key) < value, F.lit(False))
+    tied = F.col(key).isNull() if value is None else F.coalesce(F.col(key) == value, F.lit(False))
+    n_before = df.where(before).count()
+    some = _mark(df.where(tied), key, seed=seed, size=size - n_before)
+    return df.where(~tied).withColumn("is_train", before).unionByName(some)
 
 
 def split_ordered(df: DataFrame, key: str, fraction: float = 0.7) -> tuple[DataFrame, DataFrame]:
-    """The first rows in key order, and the rest; the edge is looked up once."""
-    edge = _ordered_edge(df, key, fraction).first()
-    if edge is None:
-        return df.limit(0), df
-    return df.where(F.col(key) <= F.lit(edge["value"])), df.where(F.col(key) > F.lit(edge["value"]))
+    """The first rows in key order, and the rest; together the whole frame."""
+    marked = mark_split_ordered(df, key, fraction)
+    return marked.where("is_train").drop("is_train"), marked.where("not is_train").drop("is_train")
 
 
 def mark_split_hash(df: DataFrame, key: str, fraction: float = 0.75, seed: int | str = 42) -> DataFrame:
-    """Add ``is_train`` by the first four hex digits of the hash: no sort, sizes approximate."""
-    edge = f"{round(fraction * 65536):04x}"
-    short = F.substring(row_hash(key, seed), 1, 4)
-    return df.withColumn("is_train", short < edge if fraction < 1 else F.lit(True))
+    """Add ``is_train`` by the first 16 bits of the hash: no sort, sizes approximate."""
+    return df.withColumn("is_train", F.floor(hash_int(key, seed) / 65536) < round(fraction * 65536))
 
 
 def with_folds(df: DataFrame, key: str, k: int = 10, seed: int | str = 42) -> DataFrame:
@@ -122,17 +129,14 @@ def with_folds(df: DataFrame, key: str, k: int = 10, seed: int | str = 42) -> Da
 
 
 def global_rank(df: DataFrame, key: str, seed: int | str = 42, digits: int = PREFIX_DIGITS) -> DataFrame:
-    """Add ``rank``: 1..n in hash order, sorted bucket by bucket instead of in one task.
+    """Add ``rank``: 1..n in the order of the samples, sorted group by group instead of in one task.
 
-    The offsets sent to every executor are one row per prefix, at most ``16**digits`` rows.
+    Only the order and the key's hash prefix decide the group; the offsets sent to every executor are one row per prefix, at
+    most ``16**digits`` rows. A key that holds a large share of the rows is one sort group, which spills to disk.
     """
-    h = row_hash(key, seed)
-    rows = df.withColumn("_h", h).withColumn("_p", F.substring("_h", 1, digits))
-    offsets = _prefix_spans(_hashed(df, key, seed, digits)).select("_p", "_start")
-    within = F.row_number().over(Window.partitionBy("_p").orderBy("_h", key))
-    return (
-        rows.withColumn("_r", within)
-        .join(F.broadcast(offsets), "_p")
-        .withColumn("rank", F.col("_start") + F.col("_r"))
-        .drop("_h", "_p", "_r", "_start")
-    )
+    rows = df.withColumn("_h", _order(df, key, seed)).withColumn("_p", F.substring("_h", 1, digits))
+    counts = df.select(F.substring(row_hash(key, seed), 1, digits).alias("_p")).groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
+    offsets = counts.select("_p", (F.sum("_c").over(Window.partitionBy().orderBy("_p")) - F.col("_c")).alias("_start"))
+    within = F.row_number().over(Window.partitionBy("_p").orderBy("_h"))
+    ranked = rows.withColumn("_r", within).join(F.broadcast(offsets), "_p")
+    return ranked.withColumn("rank", F.col("_start") + F.col("_r")).drop("_h", "_p", "_r", "_start")

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import columns as C
 from tallyforge.functions.frames import rounded
-from tallyforge.functions.hashing import hash_uniform
 from tallyforge.functions.text import join_rows
 from tallyforge.operators import draws, features, grids, group_fits, joins, lambda_path, models, pooling, runs, sampling
 from tallyforge.operators.filters import filter_metric, row_slice
@@ -18,8 +17,9 @@ from tallyforge.plans.registry import query
 from tallyforge.session import work_path
 from tallyforge.sources import files, lookups, tables, views
 
-WINE = ("alcohol", "ph", "sulphates")
-BREAST = ("mean_radius", "mean_texture", "mean_area")
+WINE, BREAST = views.WINE, views.BREAST
+#: The numbers of trees of the boosted grid.
+TREE_GRID = (100, 150, 200, 250, 300)
 
 
 # Preparation
@@ -35,7 +35,8 @@ SELECT vec_id, is_train, round((mean_radius - m1) / s1, 6) AS mean_radius, round
     ("breast_like",),
 )
 def agg_scaler(spark, base):
-    marked = sampling.mark_split_ordered(views.breast_like(spark, base), "vec_id")
+    rows = views.breast_like(spark, base).select("vec_id", "mean_radius", "mean_texture")
+    marked = sampling.mark_split_ordered(rows, "vec_id")
     scaler = features.fit_scaler(marked.where("is_train"), ("mean_radius", "mean_texture"))
     return rounded(scaler.transform(marked), 6, "mean_radius", "mean_texture").select(
         "vec_id", "is_train", "mean_radius", "mean_texture"
@@ -85,11 +86,12 @@ def step_impute_mean(spark, base):
     return rounded(features.fit_impute_mean(rows, ("bc_util",)).transform(rows), 6, "bc_util")
 
 
-@query("features_matrix", "SELECT wine_id, round(alcohol + ph + sulphates, 8) AS total FROM wine", ("wine",))
+@query("features_matrix", f"SELECT wine_id, round({' + '.join(WINE)}, 8) AS total FROM wine", ("wine",))
 def features_matrix(spark, base):
-    rows = features.assembler(WINE).transform(views.wine(spark, base))
-    values = F.aggregate(models.vector_to_array("features"), F.lit(0.0), lambda a, x: a + x)
-    return rows.select("wine_id", F.round(values, 8).alias("total"))
+    """The sum over each row's feature vector; NULL where a feature is missing."""
+    rows = features.assembler(WINE, "keep").transform(views.wine(spark, base))
+    total = F.aggregate(models.vector_to_array("features"), F.lit(0.0), lambda a, x: a + x)
+    return rows.select("wine_id", F.round(F.when(~F.isnan(total), total), 8).alias("total"))
 
 
 # Fits
@@ -116,7 +118,7 @@ def predict_append(spark, base):
 @query("cv_lambda_curve")
 def cv_lambda_curve(spark, base):
     return lambda_path.error_curve(
-        lambda_path.fold_errors(views.wine(spark, base), WINE, "quality", "wine_id", alpha=0.14)
+        lambda_path.fold_errors(wine_split(spark, base)[0], WINE, "quality", "wine_id", alpha=0.14)
     )
 
 
@@ -133,6 +135,7 @@ def elastic_runs(spark, base) -> tuple[str, str]:
         model = models.fit_elastic_net(train, WINE, "quality", alpha, lam)
         artifacts = work_path(spark, "artifacts")
         models.save_model(model, f"{artifacts}/{name}")
+        files.write_results(tables.signature_json(train.select(*WINE)), f"{artifacts}/signature")
         found = models.evaluate(model, test, "quality")
         runs.log_run(spark, log, uuid.uuid4().hex, {"alpha": alpha, "lambda": lam}, found, artifacts)
     return log, name
@@ -158,6 +161,29 @@ def score_saved(spark, base):
     return models.score_saved(uri.first()["uri"], wine, "wine_quality_pred").select("wine_id", "wine_quality_pred")
 
 
+def register_best(spark, base) -> str:
+    """From the runs to a version: the best run's model becomes the next version of its name; the path of the versions."""
+    log, name = elastic_runs(spark, base)
+    rows, versions = run_table(spark, log), work_path(spark, "versions")
+    best = runs.top_run(rows, ("r2",), "r2").select("run_id")
+    found = rows.where("kind = 'artifact'").join(best, "run_id").select("run_id", runs.model_uri(F.col("value"), F.lit(name)).alias("uri")).first()
+    runs.register_version(spark, versions, name, found["run_id"], found["uri"])
+    return versions
+
+
+@query("register_version")
+def register_version(spark, base):
+    return spark.read.schema(runs.VERSION_SCHEMA).parquet(register_best(spark, base)).select("name", "version")
+
+
+@query("score_registered")
+def score_registered(spark, base):
+    """All wine rows scored with the model of the last registered version."""
+    versions = spark.read.schema(runs.VERSION_SCHEMA).parquet(register_best(spark, base))
+    uri = versions.orderBy(F.desc("version")).first()["uri"]
+    return models.score_saved(uri, views.wine(spark, base).drop("quality"), "wine_quality_pred").select("wine_id", "wine_quality_pred")
+
+
 @query("score_text")
 def score_text(spark, base):
     train, _ = wine_split(spark, base)
@@ -169,19 +195,33 @@ def score_text(spark, base):
 @query("fit_gbt_reg")
 def fit_gbt_reg(spark, base):
     train, test = sampling.split_exact(features.rate_rows(views.loans(spark, base)), "member_id")
-    model, _ = models.fit_rate_model(train, trees=10)
+    model, _ = models.fit_rate_model(train)
     return models.predict(model, test, "rate_pred").select("member_id", "int_rate", "rate_pred")
 
 
 @query("fit_gbt_grid")
 def fit_gbt_grid(spark, base):
-    """Boosted trees for a short grid of tree numbers, held-out metrics, best run first."""
-    log = work_path(spark, "runs")
+    """Boosted trees for the grid of tree numbers, held-out metrics, best run first.
+
+    One fit of the largest number gives all the others, which are its first trees. Each run is logged with its
+    parameters, metrics, model and signature.
+    """
+    log, name = work_path(spark, "runs"), "rate-model"
     train, test = sampling.split_exact(features.rate_rows(views.loans(spark, base)), "member_id")
-    for trees in (5, 10):
-        model, _ = models.fit_rate_model(train, trees=trees)
-        runs.log_run(spark, log, f"trees-{trees}", {"trees": trees, "engine": "gbt"}, models.evaluate(model, test, "int_rate"))
-    return runs.run_search(run_table(spark, log), ("trees", "rmse", "mae", "r2"), "r2")
+    whole, _ = models.fit_rate_model(train, trees=max(TREE_GRID))
+    scored, fits = test, {}
+    for trees in TREE_GRID:
+        fits[trees] = models.shorter(whole, trees)
+        scored = models.predict(fits[trees], scored, f"p{trees}")
+    long = scored.unpivot(["int_rate"], [f"p{t}" for t in TREE_GRID], "trees", "prediction")
+    found = {r["trees"]: r.asDict() for r in regression_metrics(long, "prediction", "int_rate", ("trees",)).collect()}
+    for trees, model in fits.items():
+        artifacts = work_path(spark, "artifacts")
+        models.save_model(model, f"{artifacts}/{name}")
+        files.write_results(tables.signature_json(train), f"{artifacts}/signature")
+        values = {k: v for k, v in found[f"p{trees}"].items() if k != "trees"}
+        runs.log_run(spark, log, f"trees-{trees}", {"trees": trees, "engine": "gbt"}, values, artifacts)
+    return runs.run_search(run_table(spark, log), ("trees", "engine", "rmse", "mae", "r2"), "r2")
 
 
 def breast_split(spark, base) -> tuple[DataFrame, DataFrame]:
@@ -191,7 +231,7 @@ def breast_split(spark, base) -> tuple[DataFrame, DataFrame]:
 @query("fit_gbt_cls")
 def fit_gbt_cls(spark, base):
     train, valid = breast_split(spark, base)
-    model = models.fit_boosted_classifier(train, BREAST, BREAST[:2], rounds=10)
+    model = models.fit_boosted_classifier(train, BREAST, BREAST[:2])
     scored = [
         models.predict_probability(model, part).select(F.lit(name).alias("part"), "probability", "target")
         for name, part in (("train", train), ("valid", valid))
@@ -201,7 +241,7 @@ def fit_gbt_cls(spark, base):
 
 def breast_forest(spark, base) -> DataFrame:
     rows = views.breast_like(spark, base)
-    return models.importances(models.fit_forest(rows, BREAST, "target", trees=40), BREAST, rows)
+    return models.importances(models.fit_forest(rows, BREAST, "target"), BREAST, rows)
 
 
 @query("fit_forest_importance")
@@ -211,7 +251,7 @@ def fit_forest_importance(spark, base):
 
 @query("topk_importance")
 def topk_importance(spark, base):
-    return models.top_importances(breast_forest(spark, base), 2)
+    return models.top_importances(breast_forest(spark, base))
 
 
 @query("fit_survival")
@@ -344,13 +384,8 @@ def _count_labels(pdf):
 
 @query("rowwise_side_effect", MONTHLY_SQL + "SELECT run_id || ' rmse ' || CAST(rmse AS STRING) AS line FROM r", ("wine",))
 def rowwise_side_effect(spark, base):
-    """One text line per metric row, made for every Arrow batch of rows."""
-    lines = group_fits.task_map(
-        filter_metric(monthly_runs(spark, base), "key", "rmse"),
-        lambda pdf: (pdf["run_id"] + " " + pdf["key"] + " " + pdf["value"]).to_frame("line"),
-        "line string",
-    )
-    return lines
+    """One text line per metric row."""
+    return filter_metric(monthly_runs(spark, base), "key", "rmse").select(F.concat_ws(" ", "run_id", "key", "value").alias("line"))
 
 
 @query("udf_task_map", "SELECT quality, count(*) AS n, max(alcohol) AS top FROM wine GROUP BY quality", ("wine",))
@@ -409,25 +444,6 @@ def agg_batch_ratio(spark, base):
     return rounded(group_fits.batch_ratio(batches, 100.0), 9, "estimate", "se")
 
 
-UNIFORM_SQL = "(CAST('0x' || substr(md5(CAST(l_orderkey * 8 + l_linenumber AS STRING) || ':{seed}'), 1, 8) AS BIGINT) + 0.5) / 4294967296"
-
-
-@query(
-    "agg_batch_ratio_points",
-    RATIO_SQL.format(scale=4)
-    + f" FROM (SELECT l_suppkey AS batch, sum(CASE WHEN sqrt(x * x + y * y) <= 1 THEN 1 ELSE 0 END) AS hits, count(*) AS n FROM"
-    f" (SELECT l_suppkey, {UNIFORM_SQL.format(seed='x')} AS x, {UNIFORM_SQL.format(seed='y')} AS y FROM lineitem) GROUP BY 1)",
-)
-def agg_batch_ratio_points(spark, base):
-    """Estimate of pi from one hashed point per line item, counted per supplier."""
-    key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    points = views.table(spark, base, "lineitem").select(
-        "l_suppkey", hash_uniform(key, "x").alias("x"), hash_uniform(key, "y").alias("y")
-    )
-    inside = F.sqrt(F.col("x") * F.col("x") + F.col("y") * F.col("y")) <= 1
-    return rounded(group_fits.batch_ratio(group_fits.batch_hits(points, F.col("l_suppkey"), inside)), 9, "estimate", "se")
-
-
 # Posterior checks
 
 
@@ -460,20 +476,20 @@ def agg_rhat(spark, base):
     "agg_ess",
     """
 WITH d AS (SELECT param, chain, iter, value - avg(value) OVER (PARTITION BY param, chain) AS x, count(*) OVER (PARTITION BY param, chain) AS n FROM draws),
-lags AS (SELECT a.param, a.chain, a.n, t.lag, sum(a.x * b.x) / a.n AS acov FROM d a, (SELECT unnest(range(51)) AS lag) t, d b
+lags AS (SELECT a.param, a.chain, a.n, t.lag, sum(a.x * b.x) / a.n AS acov FROM d a, (SELECT unnest(range((SELECT max(n) FROM d))) AS lag) t, d b
   WHERE b.param = a.param AND b.chain = a.chain AND b.iter = a.iter + t.lag GROUP BY 1, 2, 3, 4),
 cm AS (SELECT param, var_samp(m) AS b FROM (SELECT param, chain, avg(value) AS m FROM draws GROUP BY 1, 2) GROUP BY 1),
 pl AS (SELECT param, lag, avg(acov) AS acov, avg(n) AS n, sum(n) AS total, avg(acov * n / (n - 1)) AS w FROM lags GROUP BY 1, 2),
 z AS (SELECT pl.param, w, total, (n - 1) / n * w + b AS v FROM pl JOIN cm ON cm.param = pl.param WHERE lag = 0),
 rho AS (SELECT pl.param, pl.lag, z.total, CASE WHEN lag = 0 THEN 1 ELSE 1 - (z.w - acov) / v END AS rho FROM pl JOIN z ON z.param = pl.param),
-pr AS (SELECT param, any_value(total) AS total, lag // 2 AS pair, sum(rho) AS r FROM rho WHERE lag < 50 GROUP BY param, lag // 2),
+pr AS (SELECT param, any_value(total) AS total, lag // 2 AS pair, sum(rho) AS r FROM rho GROUP BY param, lag // 2 HAVING count(*) = 2),
 cut AS (SELECT *, min(CASE WHEN r < 0 THEN pair END) OVER (PARTITION BY param) AS stop FROM pr)
 SELECT param, round(any_value(total) / (2 * sum(r) - 1), 4) AS ess FROM cut WHERE stop IS NULL OR pair < stop GROUP BY param
 """,
     ("draws",),
 )
 def agg_ess(spark, base):
-    return rounded(draws.effective_size(views.draws(spark, base), max_lag=50), 4, "ess")
+    return rounded(draws.effective_size(views.draws(spark, base)), 4, "ess")
 
 
 @query(
@@ -547,8 +563,7 @@ def src_csv(spark, base):
 
 @query("src_csv_object", WINE_SQL, ("wine",))
 def src_csv_object(spark, base):
-    rows = files.read_csv(spark, wine_file(spark, base, ","))
-    return rows.withColumn("wine_id", F.col("wine_id").cast("bigint"))
+    return files.read_csv(spark, wine_file(spark, base, ","), ",", WINE_CSV)
 
 
 def linked_orders(spark, base) -> str:

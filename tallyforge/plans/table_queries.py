@@ -18,9 +18,12 @@ def profit_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
 
 
 PROFIT_FROM = """
-FROM part, supplier, lineitem, partsupp, orders, nation
-WHERE s_suppkey = l_suppkey AND ps_suppkey = l_suppkey AND ps_partkey = l_partkey AND p_partkey = l_partkey
-  AND o_orderkey = l_orderkey AND s_nationkey = n_nationkey AND (p_name LIKE 'b%' OR p_name LIKE 'a%')
+FROM lineitem li
+JOIN (SELECT p_partkey FROM part WHERE left(p_name, 1) IN ('a', 'b')) chosen ON chosen.p_partkey = li.l_partkey
+JOIN partsupp ps ON ps.ps_partkey = li.l_partkey AND ps.ps_suppkey = li.l_suppkey
+JOIN orders o ON o.o_orderkey = li.l_orderkey
+JOIN supplier s ON s.s_suppkey = li.l_suppkey
+JOIN nation n ON n.n_nationkey = s.s_nationkey
 """
 AMOUNT = "l_extendedprice * (1 - l_discount) - ps_supplycost * l_quantity"
 REPORT_SQL = f"""
@@ -50,13 +53,20 @@ def topk_q9(spark, base):
 
 
 SQL_TEXT = """
-SELECT nation, o_year, sum(amount) AS sum_profit
-FROM (SELECT n_name AS nation, extract(year FROM o_orderdate) AS o_year,
-        l_extendedprice * (1 - l_discount) - ps_supplycost * l_quantity AS amount
-      FROM {part}, {supplier}, {lineitem}, {partsupp}, {orders}, {nation}
-      WHERE s_suppkey = l_suppkey AND ps_suppkey = l_suppkey AND ps_partkey = l_partkey AND p_partkey = l_partkey
-        AND o_orderkey = l_orderkey AND s_nationkey = n_nationkey AND (p_name LIKE 'b%' OR p_name LIKE 'a%')) AS profit
-GROUP BY nation, o_year ORDER BY nation, o_year DESC
+WITH chosen AS (SELECT p_partkey FROM {part} WHERE startswith(p_name, 'a') OR startswith(p_name, 'b')),
+priced AS (
+  SELECT li.l_orderkey, li.l_suppkey, li.l_extendedprice * (1 - li.l_discount) - ps.ps_supplycost * li.l_quantity AS gain
+  FROM {lineitem} li
+  JOIN chosen ON chosen.p_partkey = li.l_partkey
+  JOIN {partsupp} ps ON ps.ps_partkey = li.l_partkey AND ps.ps_suppkey = li.l_suppkey
+)
+SELECT n.n_name AS nation, year(o.o_orderdate) AS o_year, sum(priced.gain) AS sum_profit
+FROM priced
+JOIN {orders} o ON o.o_orderkey = priced.l_orderkey
+JOIN {supplier} s ON s.s_suppkey = priced.l_suppkey
+JOIN {nation} n ON n.n_nationkey = s.s_nationkey
+GROUP BY n.n_name, year(o.o_orderdate)
+ORDER BY nation, o_year DESC
 """
 
 
@@ -183,28 +193,6 @@ def choice_param(spark, base):
     return views.table(spark, base, "orders").select("o_orderkey", H.pick("o_orderkey", [1, 2, 3], "b").alias("b"))
 
 
-NORMAL_SQL = (
-    "round(sqrt(-2 * ln(({u} + 0.5) / 4294967296)) * cos(2 * pi() * (({v} + 0.5) / 4294967296)), 6)"
-)
-
-
-@query(
-    "src_generated",
-    "SELECT o_orderkey, "
-    + ", ".join(
-        NORMAL_SQL.format(
-            u=HASH_INT_SQL.format(key="o_orderkey", seed=f"x{i}u"), v=HASH_INT_SQL.format(key="o_orderkey", seed=f"x{i}v")
-        )
-        + f" AS x{i}"
-        for i in range(3)
-    )
-    + f", CAST({HASH_INT_SQL.format(key='o_orderkey', seed='y')} % 2 AS INT) AS y FROM orders",
-)
-def src_generated(spark, base):
-    rows = tables.generated_features(views.table(spark, base, "orders").select("o_orderkey"), "o_orderkey", 3)
-    return rows.withColumns({f"x{i}": F.round(f"x{i}", 6) for i in range(3)})
-
-
 @query(
     "metric_rmse_mae_r2",
     "SELECT color, round(sqrt(avg((p - quality) * (p - quality))), 6) AS rmse, round(avg(abs(p - quality)), 6) AS mae,"

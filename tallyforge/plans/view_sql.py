@@ -34,6 +34,7 @@ SELECT o_orderkey AS member_id,
   CASE WHEN o_orderkey % 47 = 0 THEN NULL ELSE CAST((o_orderkey*3) % 110 AS STRING) END AS all_util
 FROM orders
 """,
+    # Titles of the purpose codes.
     "purpose_lookup": """
 SELECT * FROM (SELECT * FROM (VALUES ('credit_card','Credit card refinancing'),('medical','Medical expenses'),('major_purchase','Major purchase'),
  ('renewable_energy','Green loan'),('small_business','Business'),('debt_consolidation','Debt consolidation'),('vacation','Vacation'),
@@ -53,8 +54,17 @@ SELECT o_orderkey AS wine_id, CASE WHEN o_orderstatus='F' THEN 'red' ELSE 'white
   o_totalprice/CAST(100000 AS DOUBLE) AS alcohol,
   CAST(o_custkey % 97 AS DOUBLE)/CAST(10 AS DOUBLE) AS ph,
   CAST(extract(month FROM o_orderdate) AS DOUBLE) AS sulphates,
+  CAST(o_custkey % 53 AS DOUBLE)/CAST(10 AS DOUBLE) AS fixed_acidity,
+  CAST(o_orderkey % 31 AS DOUBLE)/CAST(20 AS DOUBLE) AS volatile_acidity,
+  CASE WHEN o_orderkey % 59 <> 0 THEN CAST(o_custkey % 13 AS DOUBLE)/CAST(15 AS DOUBLE) END AS citric_acid,
+  CAST(o_orderkey % 101 AS DOUBLE)/CAST(7 AS DOUBLE) AS residual_sugar,
+  CAST(o_custkey % 7 AS DOUBLE)/CAST(70 AS DOUBLE) AS chlorides,
+  CAST(o_orderkey % 61 AS DOUBLE) AS free_so2,
+  CAST(o_custkey % 41 AS DOUBLE) AS total_so2,
+  CAST(0.99 AS DOUBLE) + CAST(o_orderkey % 17 AS DOUBLE)/CAST(1000 AS DOUBLE) AS density,
+  CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey % 7 END AS cellar,
   CAST(3 + floor(o_totalprice/CAST(100000 AS DOUBLE)) + o_custkey % 2 AS INT) AS quality
-FROM orders WHERE o_orderstatus IN ('F','O')
+FROM orders
 """,
     "partsupp": """
 SELECT DISTINCT l_partkey AS ps_partkey, l_suppkey AS ps_suppkey,
@@ -65,10 +75,9 @@ FROM lineitem
 SELECT p_partkey AS id, p_type AS species, CAST(p_size AS DOUBLE)/CAST(10 AS DOUBLE) AS sepal_width,
   p_retailprice/CAST(100 AS DOUBLE) AS sepal_length FROM part
 """,
-    "breast_like": """
-SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS mean_radius, CAST(embedding[2] AS DOUBLE) AS mean_texture,
-  CAST(embedding[3] AS DOUBLE) AS mean_area, label % 2 AS target FROM embeddings
-""",
+    "breast_like": "SELECT vec_id, "
+    + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS {name}" for i, name in enumerate(("mean_radius", "mean_texture", "mean_area", *(f"measure_{i}" for i in range(3, 64)))))
+    + ", label % 2 AS target FROM embeddings",
     "kidney_like": """
 SELECT o_orderkey AS id, o_custkey AS patient, o_totalprice/CAST(1000 AS DOUBLE) AS time,
   CASE WHEN o_orderkey % 4 = 0 THEN 1 ELSE 0 END AS censored, CAST(20 + o_custkey % 60 AS INT) AS age,
@@ -98,9 +107,8 @@ WHERE zip_code IN (SELECT zip_code FROM office_lookup) AND purpose IN (SELECT pu
   AND sub_grade IN (SELECT g || CAST(s AS STRING) FROM (SELECT unnest(['A','B','C','D','E','F','G']) AS g) AS gs, (SELECT unnest([1,2,3,4,5]) AS s) AS ss)
 """,
     "customer_effects": """
-SELECT id, y, sigma FROM (SELECT o_custkey AS id, avg(o_totalprice/1000.0) AS y,
-    stddev_samp(o_totalprice/1000.0)/sqrt(count(*)) AS sigma, count(*) AS n FROM orders GROUP BY o_custkey)
-WHERE n > 1 AND sigma > 0
+SELECT id, y, sqrt(CASE WHEN v > 0 THEN v ELSE sum((n - 1) * v) OVER () / sum(CASE WHEN v IS NOT NULL THEN n - 1 END) OVER () END / n) AS sigma
+FROM (SELECT o_custkey AS id, avg(o_totalprice/1000.0) AS y, var_samp(o_totalprice/1000.0) AS v, count(*) AS n FROM orders GROUP BY o_custkey)
 """,
 }
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -18,6 +20,10 @@ SESSION_CONF = {
 }
 
 
+#: Where the work folder of a local session is remembered; it is removed when the program ends.
+WORK_KEY = "tallyforge.work.dir"
+
+
 def build_session(master: str | None = None, app: str = "tallyforge", **conf: str) -> SparkSession:
     """A session with :data:`SESSION_CONF`; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
@@ -39,9 +45,12 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="tallyforge-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    if spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-"):
+        root = spark.conf.get(WORK_KEY, None)
+        if root is None:
+            root = tempfile.mkdtemp(prefix="tallyforge-")
+            atexit.register(shutil.rmtree, root, ignore_errors=True)
+            spark.conf.set(WORK_KEY, root)
         return root
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
 

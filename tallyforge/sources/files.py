@@ -10,10 +10,10 @@ from tallyforge.sources.naming import safe_columns
 def read_csv(spark: SparkSession, path: str, sep: str = ",", schema: str | None = None) -> DataFrame:
     """A delimited file with a header, on any file system Spark can read.
 
-    With a schema the file is read once; without one the types are inferred in an extra pass.
+    With a schema the file is read once and its header must have the schema's names in their order; without one the types are inferred in an extra pass.
     """
     reader = spark.read.option("header", True).option("sep", sep)
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
+    reader = reader.schema(schema).option("enforceSchema", False) if schema else reader.option("inferSchema", True)
     return safe_columns(reader.csv(path))
 
 

@@ -1,11 +1,9 @@
-"""Catalog tables, SQL text and rows made on the cluster."""
+"""Catalog tables and SQL text."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tallyforge.functions.hashing import hash_normal, pick
 from tallyforge.functions.text import json_row
 
 
@@ -67,13 +65,3 @@ def schema_frame(df: DataFrame) -> DataFrame:
 def signature_json(df: DataFrame) -> DataFrame:
     """One JSON object per column: its type and name."""
     return schema_frame(df).select("name", json_row("type", "name").alias("json"))
-
-
-def generated_features(keys: DataFrame, key: str, n_columns: int, seed: str = "") -> DataFrame:
-    """Standard normal columns ``x0..`` and a random 0/1 label ``y`` for every key.
-
-    All values are hashes of the key, so a lost task is recomputed to the same rows. Keys for a table
-    of a given size come from ``spark.range(n)``.
-    """
-    columns = [hash_normal(key, f"{seed}x{i}").alias(f"x{i}") for i in range(n_columns)]
-    return keys.select(F.col(key), *columns, pick(key, [0, 1], f"{seed}y").alias("y"))

@@ -14,7 +14,7 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 
-# Purpose code by ``key % 13``; the last one is not in the lookup.
+# Purpose code by ``key % 13``; the last one is not in the lookup.
 _CODES = (
     "credit_card", "medical", "major_purchase", "renewable_energy", "small_business", "debt_consolidation",
     "vacation", "house", "other", "home_improvement", "moving", "car", "wedding",
@@ -77,19 +77,28 @@ def office_lookup(spark: SparkSession, base: str) -> DataFrame:
 
 
 def wine(spark: SparkSession, base: str) -> DataFrame:
-    """Wine measurements with a quality score; key ``wine_id``, ``color`` red or white."""
-    price, cust = F.col("o_totalprice"), F.col("o_custkey")
-    return (
-        table(spark, base, "orders")
-        .where(F.col("o_orderstatus").isin("F", "O"))
-        .select(
-            F.col("o_orderkey").alias("wine_id"),
-            F.when(F.col("o_orderstatus") == "F", "red").otherwise("white").alias("color"),
-            (price / 100000.0).alias("alcohol"),
-            ((cust % 97).cast("double") / 10.0).alias("ph"),
-            F.month("o_orderdate").cast("double").alias("sulphates"),
-            (3 + F.floor(price / 100000.0) + cust % 2).cast("int").alias("quality"),
-        )
+    """Wine measurements with a quality score; key ``wine_id``, ``color`` red or white.
+
+    ``citric_acid`` is sometimes missing; ``cellar`` is a key that many rows share and some lack.
+    """
+    price, cust, key = F.col("o_totalprice"), F.col("o_custkey"), F.col("o_orderkey")
+    share = lambda c, n, by: (c % n).cast("double") / by
+    return table(spark, base, "orders").select(
+        key.alias("wine_id"),
+        F.when(F.col("o_orderstatus") == "F", "red").otherwise("white").alias("color"),
+        (price / 100000.0).alias("alcohol"),
+        share(cust, 97, 10.0).alias("ph"),
+        F.month("o_orderdate").cast("double").alias("sulphates"),
+        share(cust, 53, 10.0).alias("fixed_acidity"),
+        share(key, 31, 20.0).alias("volatile_acidity"),
+        F.when(key % 59 != 0, share(cust, 13, 15.0)).alias("citric_acid"),
+        share(key, 101, 7.0).alias("residual_sugar"),
+        share(cust, 7, 70.0).alias("chlorides"),
+        share(key, 61, 1.0).alias("free_so2"),
+        share(cust, 41, 1.0).alias("total_so2"),
+        (0.99 + share(key, 17, 1000.0)).alias("density"),
+        F.when(key % 5 != 0, key % 7).alias("cellar"),
+        (3 + F.floor(price / 100000.0) + cust % 2).cast("int").alias("quality"),
     )
 
 
@@ -116,6 +125,11 @@ def partsupp(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+#: The predictors of the wine fits and of the diagnosis fits.
+WINE = ("fixed_acidity", "volatile_acidity", "citric_acid", "residual_sugar", "chlorides", "free_so2", "total_so2", "density", "ph", "sulphates", "alcohol")
+BREAST = ("mean_radius", "mean_texture", "mean_area", *(f"measure_{i}" for i in range(3, 64)))
+
+
 def iris_like(spark: SparkSession, base: str) -> DataFrame:
     return table(spark, base, "part").select(
         F.col("p_partkey").alias("id"),
@@ -126,14 +140,8 @@ def iris_like(spark: SparkSession, base: str) -> DataFrame:
 
 
 def breast_like(spark: SparkSession, base: str) -> DataFrame:
-    item = F.col("embedding")
-    return table(spark, base, "embeddings").select(
-        "vec_id",
-        item[0].cast("double").alias("mean_radius"),
-        item[1].cast("double").alias("mean_texture"),
-        item[2].cast("double").alias("mean_area"),
-        (F.col("label") % 2).alias("target"),
-    )
+    values = [F.get("embedding", F.lit(i)).cast("double").alias(name) for i, name in enumerate(BREAST)]
+    return table(spark, base, "embeddings").select("vec_id", *values, (F.col("label") % 2).alias("target"))
 
 
 def kidney_like(spark: SparkSession, base: str) -> DataFrame:
@@ -164,16 +172,15 @@ def schools(spark: SparkSession) -> DataFrame:
 
 
 def customer_effects(spark: SparkSession, base: str) -> DataFrame:
-    """Mean order value and its standard error per customer, in thousands: ``id, y, sigma``."""
+    """Mean order value and its standard error per customer, in thousands: ``id, y, sigma``.
+
+    A customer with one order or without spread gets the error that the pooled within-customer variance gives.
+    """
     price = F.col("o_totalprice") / 1000.0
-    n = F.count(price)
-    return (
-        table(spark, base, "orders")
-        .groupBy(F.col("o_custkey").alias("id"))
-        .agg(F.avg(price).alias("y"), (F.stddev_samp(price) / F.sqrt(n)).alias("sigma"), n.alias("n"))
-        .where((F.col("n") > 1) & (F.col("sigma") > 0))
-        .select("id", "y", "sigma")
-    )
+    per = table(spark, base, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.avg(price).alias("y"), F.var_samp(price).alias("v"), F.count(price).alias("n"))
+    pooled = per.agg((F.sum((F.col("n") - 1) * F.col("v")) / F.sum(F.when(F.col("v").isNotNull(), F.col("n") - 1))).alias("v")).scalar()
+    variance = F.when(F.col("v") > 0, F.col("v")).otherwise(pooled)
+    return per.select("id", "y", F.sqrt(variance / F.col("n")).alias("sigma"))
 
 
 def draws(spark: SparkSession, base: str) -> DataFrame:

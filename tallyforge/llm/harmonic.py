@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -109,7 +110,9 @@ def pack_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str =
         for part, texts in grouped(batches, "_text"):
             key_type = part.schema.field(0).type
             if len(table) > KEEP_WORDS:
+                first = list(islice(table.items(), KEEP_WORDS // 3))
                 table.clear()
+                table.update(first)
             done: list[tuple] = []
             for doc, t in zip(part.column(0).to_pylist(), texts, strict=True):
                 ids = _ids(bpe, table, t) + end

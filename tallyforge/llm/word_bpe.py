@@ -24,8 +24,8 @@ UNUSUAL = re.compile("[^\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ‐
 PRETOKEN = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 #: Longer words are not kept.
 KEEP_CHARS = 64
-#: A worker's table is emptied of its misses beyond this many.
-KEEP_WORDS = 1_000_000
+#: Beyond this many words a worker's table goes back to the third that came first, in which the frequent ones are.
+KEEP_WORDS = 300_000
 #: Very long texts are worked through in pieces cut at white space.
 PIECE_CHARS = 1 << 20
 

@@ -127,7 +127,7 @@ def _effective(draws: DataFrame, max_lag: int, block: int) -> DataFrame:
     rho = lambda x: F.when(x["lag"] == 0, F.lit(1.0)).otherwise(1.0 - F.try_divide(F.col("_w") - x["acov"], F.col("_v")))
     known = lags.select("param", zero["w"].alias("_w"), v.alias("_v"), zero["total"].alias("total"), zero["longest"].alias("longest"), "l")
     known = known.withColumn("_rho", F.transform("l", rho))
-    pairs = F.transform(F.sequence(F.lit(0), F.lit((max_lag + 1) // 2 - 1)), lambda i: F.get("_rho", 2 * i) + F.get("_rho", 2 * i + 1))
+    pairs = F.transform(F.sequence(F.lit(0), F.lit((max_lag + 1) // 2 - 1)), lambda i: F.when(2 * i + 1 < F.col("longest"), F.get("_rho", 2 * i) + F.get("_rho", 2 * i + 1)))
     start = F.struct(F.lit(0.0).alias("s"), F.lit(True).alias("open"))
     step = lambda acc, r: F.struct((acc["s"] + F.when(acc["open"] & (r >= 0), r).otherwise(0.0)).alias("s"), (acc["open"] & (r >= 0)).alias("open"))
     done = known.select("param", "total", "longest", F.aggregate(F.transform(pairs, lambda r: F.coalesce(r, F.lit(-1.0))), start, step).alias("a"))

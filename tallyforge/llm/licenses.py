@@ -1,7 +1,7 @@
 """Licence scan: texts reduced to a canonical form and looked up among the digests of known licences.
 
-The canonical form leaves out copyright lines, takes equivalent spellings for one, and drops case, punctuation and the
-amount of white space. Whole texts are looked up, and, as notices stand inside longer texts, every line as a text of its
+The canonical form leaves out copyright notices and a licence's title, takes equivalent spellings for one, and drops case,
+punctuation and the amount of white space. Whole texts are looked up, and, as notices stand inside longer texts, every line as a text of its
 own. The lookup is a hash join on the digest.
 """
 
@@ -67,17 +67,36 @@ SPELLINGS = (
     ("version", "v"),
     ("copyright owner", "copyright holder"),
 )
+#: What the SQL twin takes for a copyright line; it has no lookahead and also drops lines of a wrapped licence text.
 COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*$"
+# Words that follow "copyright" and "(c)" inside licence texts, where a wrap can put them first on a line.
+AFTER_COPYRIGHT = (
+    "also|and|are|disclaimers?|doctrines?|holders?|if|in|interests?|is|laws?|licen[cs]es?|like|lines?|notices?|of|on|or|owners?|ownership|"
+    "patents?|permissions?|resulting|statements?|the (?:software|library|program)|those|to|treaty|treaties"
+)
+AFTER_MARK = "all|representations|the licen[cs]es|under|you"
+#: A copyright notice, in lower case: the word or mark and then a year or holder; d: only \n ends a line.
+NOTICE = (
+    r"(?md)^[^a-z0-9\n]*(?:"
+    rf"copyright\b[^\p{{L}}\p{{N}}\n]*+(?!(?:{AFTER_COPYRIGHT})\b)[\p{{L}}\p{{N}}][^\n]*|"
+    rf"(?:\(c\)|©)[^\p{{L}}\p{{N}}\n]*+(?!(?:{AFTER_MARK})\b)[\p{{L}}\p{{N}}][^\n]*|"
+    r"all rights reserved[^a-z0-9\n]*)$"
+)
+#: Titles that may stand before a licence text, in canonical form.
+TITLE = (
+    r"^(?:the )?(?:unlicense|(?:mit|expat|isc|zlib|zlib libpng|bsd|bsd [23] clause(?: simplified| new or revised| new| revised)?|"
+    r"[23] clause bsd|(?:simplified|new|modified|revised) bsd) license(?: mit| isc| zlib| bsd [23] clause)?) "
+)
 OTHER = r"[^\p{L}\p{N}]+"
 
 
 def canonical(text: Column) -> Column:
     """The canonical form: words parted by one space; empty for null."""
-    form = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE.replace("(?m)", "(?md)"), " ")  # d: only \n ends a line
+    form = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), NOTICE, " ")
     form = F.concat(F.lit(" "), F.trim(F.regexp_replace(form, OTHER, " ")), F.lit(" "))
     for a, b in SPELLINGS:
         form = F.replace(form, F.lit(f" {a} "), F.lit(f" {b} "))
-    return F.trim(form)
+    return F.regexp_replace(F.trim(form), TITLE, "")
 
 
 def _canonical_sql(text: str) -> str:

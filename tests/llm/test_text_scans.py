@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import string
+import textwrap
 
 import pytest
 
@@ -159,3 +160,19 @@ def test_licenses(spark):
     found = licenses.scan(H.documents(spark, docs).withColumnRenamed("lang", "digest"), licenses.known_digests(spark)).collect()
     got = sorted((r.doc_id, r.n_lines, r.whole, r.licenses) for r in found)
     assert got == [(1, 1, ["MIT"], ["MIT"]), (2, 2, [], ["CC-BY-NC-4.0", "MIT"]), (3, 0, [], []), (4, 0, [], []), (5, 1, ["MIT"], ["MIT"]), (5, 1, ["MIT"], ["MIT"]), (6, 0, [], [])]
+
+
+WRAPS = {
+    "MIT": "MIT License\n\nCopyright (c) 2020 A. Person\n\n",
+    "ISC": "ISC License\r\n\r\nCopyright A. Person <a@b.c>\r\n\r\n",
+    "Zlib": "The zlib License (Zlib)\n\n(C) 2001 A. Person\nAll rights reserved.\n\n",
+}
+
+
+def test_licence_files_with_title_and_notice_in_any_wrap(spark):
+    full = {name: t for name, t in licenses.KNOWN if len(t) > 500}
+    files = [(name, WRAPS[name] + "\n".join(textwrap.wrap(t, n, initial_indent=" * ", subsequent_indent=" * "))) for name, t in full.items() for n in range(24, 100)]
+    assert any("\n * copyright notice and this" in f for _, f in files) and any("\n * COPYRIGHT HOLDERS" in f for _, f in files)
+    files.append(("none", "MIT License\n\nCopyright holders are not named here."))
+    found = licenses.scan(H.documents(spark, [(i, f) for i, (_, f) in enumerate(files)]), licenses.known_digests(spark)).collect()
+    assert {r.doc_id: r.whole for r in found} == {i: [] if name == "none" else [name] for i, (name, _) in enumerate(files)}

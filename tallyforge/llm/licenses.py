@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyforge.llm import license_texts
+
 # Licence notices and short licence texts by name. Each is one known text.
 KNOWN = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -106,9 +108,12 @@ def _canonical_sql(text: str) -> str:
     return f"trim({form})"
 
 
-def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
-    """``(digest, license)`` of the known texts."""
-    return spark.createDataFrame(list(known), "license string, text string").select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "license").distinct()
+def known_digests(
+    spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN + license_texts.TEXTS, digests: tuple[tuple[str, str], ...] = license_texts.DIGESTS
+) -> DataFrame:
+    """``(digest, license)`` of the known texts, and the digests of those that are held without their text."""
+    texts = spark.createDataFrame(list(known), "license string, text string").select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "license")
+    return texts.unionByName(spark.createDataFrame(list(digests), "license string, digest string")).distinct()
 
 
 def scan(docs: DataFrame, known: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,6 +1,7 @@
 """Secrets, benchmark passages, languages and licences."""
 
 import hashlib
+import os
 import random
 import re
 import string
@@ -176,3 +177,19 @@ def test_licence_files_with_title_and_notice_in_any_wrap(spark):
     files.append(("none", "MIT License\n\nCopyright holders are not named here."))
     found = licenses.scan(H.documents(spark, [(i, f) for i, (_, f) in enumerate(files)]), licenses.known_digests(spark)).collect()
     assert {r.doc_id: r.whole for r in found} == {i: [] if name == "none" else [name] for i, (name, _) in enumerate(files)}
+
+
+COMMON = "/usr/share/common-licenses"
+INSTALLED = {"Apache-2.0": "Apache-2.0", "CC0-1.0": "CC0-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0", "BSD": "BSD-3-Clause"}
+
+
+@pytest.mark.skipif(not os.path.isdir(COMMON), reason="no licence files on this machine")
+def test_entire_licence_files(spark):
+    files = []
+    for name, license in INSTALLED.items():
+        with open(f"{COMMON}/{name}", encoding="utf-8") as f:
+            files.append((license, f.read()))
+    files += [(name, t.replace("2. Redis", "\n2. Redis").replace("http:", "https:")) for name, t in licenses.license_texts.TEXTS]
+    files += [("none", files[0][1] + " more"), ("none", files[3][1][:9000])]
+    found = licenses.scan(H.documents(spark, [(i, t) for i, (_, t) in enumerate(files)]), licenses.known_digests(spark)).collect()
+    assert {r.doc_id: r.whole for r in found} == {i: [] if name == "none" else [name] for i, (name, _) in enumerate(files)}

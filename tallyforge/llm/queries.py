@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import chat_template, decontaminate, harmonic, language_codes, licenses, secret_scan, signature_tree, subspace_join, token_counts, warc
+from tallyforge.llm import chat_template, decontaminate, harmonic, language_codes, licenses, merkle, mixing, periodic_runs, secret_scan, signature_tree, subspace_join, token_counts, warc
 from tallyforge.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,3 +108,52 @@ ORACLES["op9_license_digests"] = licenses.scan_sql()
 @query
 def op10_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signature_tree.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_low_discrepancy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, documents = mixing.mix(table(spark, sf_dir, "documents"), "doc_id", "source")
+    return documents.select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op11_low_discrepancy_mix"] = mixing.mix_sql()
+
+
+def planted_period(key: tuple, n: int) -> np.ndarray | None:
+    """The periodic rewriting of a tenth of the documents, chosen and shaped by the checksum of their id."""
+    if n == 0 or key[0] is None:
+        return None
+    g, last = divmod(zlib.crc32(str(key[0]).encode()), 10)
+    if last:
+        return None
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return np.r_[np.arange(a), a + np.arange(n - a) % p]
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(table(spark, sf_dir, "documents"), ["doc_id"], rewrite=planted_period)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    best = found.withColumn("b", longest)
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("b.start")).alias("start"),
+        F.col("b.length").alias("length"),
+        (-F.col("b.period")).alias("period"),
+        F.floor(1000 * F.col("b.length") / -F.col("b.period")).alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+        "collapsed_sha256",
+    )
+
+
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    altered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return merkle.manifest(table(spark, sf_dir, "documents"), "doc_id", "source", LEAF, {"text": lowered}, altered)

@@ -95,6 +95,23 @@ def fit_impute_mean(train: DataFrame, columns: tuple[str, ...]) -> SQLTransforme
     return replace_columns(sql)
 
 
+def fit_filled(train: DataFrame, columns: tuple[str, ...], scaled: tuple[str, ...] = (), suffix: str = "_x") -> SQLTransformer:
+    """Copies ``<column><suffix>`` as numbers without a gap: NULL and NaN become the training mean, ``scaled`` ones are centred
+    by it and divided by the population sd.
+
+    One step and not several on top of each other: each further projection of many columns multiplies what the optimizer
+    derives from them.
+    """
+    stats = train.agg(
+        *[F.avg(_known(c)).alias(f"m{i}") for i, c in enumerate(columns)], *[F.stddev_pop(_known(c)).alias(f"s{i}") for i, c in enumerate(columns) if c in scaled]
+    ).first()
+    sql = {}
+    for i, c in enumerate(columns):
+        mean, known = _number(stats[f"m{i}"]), f"nanvl(CAST(`{c}` AS DOUBLE), NULL)"
+        sql[f"{c}{suffix}"] = f"coalesce(({known} - {mean}) / {_number(stats[f's{i}'] or 1.0)}, 0.0D)" if c in scaled else f"coalesce({known}, {mean})"
+    return add_columns(sql)
+
+
 def rate_rows(loans: DataFrame) -> DataFrame:
     """Rows for the rate model: numeric rate (rows without one are dropped), term and utilisation columns."""
     return (

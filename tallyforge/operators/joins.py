@@ -79,9 +79,14 @@ def code_label(df: DataFrame, lookup: DataFrame, code: str, label: str, name: st
     return df.join(small, code, "left")
 
 
-def except_rows(df: DataFrame, taken: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is not among the taken ones; duplicates in ``df`` stay."""
-    return df.join(taken.select(key), key, "left_anti")
+def except_rows(df: DataFrame, taken: DataFrame) -> DataFrame:
+    """The rows of ``df`` without those of ``taken``: whole rows are matched, nulls with nulls, one for one.
+
+    A key does not tell rows apart when it is null or repeated, so none is asked for. Equal rows become one row with
+    their number before the shuffle. The rest of a sample is cheaper from its mark, see
+    :func:`tallyforge.operators.sampling.split_exact`; this is for frames that come from elsewhere.
+    """
+    return df.exceptAll(taken.select(*[F.col(f"`{c}`") for c in df.columns]))
 
 
 def union_all(first: DataFrame, *others: DataFrame) -> DataFrame:

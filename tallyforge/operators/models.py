@@ -1,4 +1,4 @@
-"""Model fits with Spark ML: elastic net, boosted trees, forest, survival; scoring and importances."""
+"""Model fits with Spark ML: elastic net, boosted trees, forest; scoring and importances."""
 
 from __future__ import annotations
 
@@ -8,9 +8,8 @@ from contextlib import contextmanager
 from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import RFormula
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import AFTSurvivalRegression, GBTRegressionModel, GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -19,27 +18,35 @@ from tallyforge.operators.features import (
     RECIPE_COLUMNS,
     add_columns,
     assembler,
-    fit_impute_mean,
+    fit_filled,
     fit_recipe,
-    fit_scaler,
     replace_columns,
 )
 from tallyforge.operators.metrics import regression_metrics
-from tallyforge.session import work_path
+from tallyforge.session import remove_path, work_path
 
 
 @contextmanager
 def _training(df: DataFrame) -> Iterator[DataFrame]:
-    """Rows kept for the many passes of an iterative fit, spread over all cores when they lie in few files."""
-    context = df.sparkSession.sparkContext
+    """Rows kept for the many passes of an iterative fit, spread over all cores when they lie in few files.
+
+    They are written once to the shared folder, so that the passes plan a scan and not the whole preparation again, and
+    a lost executor reads them there; the folder is removed after the fit.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:  # long fits cut their lineage there
-        context.setCheckpointDir(work_path(df.sparkSession, "fits"))
+        context.setCheckpointDir(work_path(spark, "fits"))
+    path = work_path(spark, "training")
+    df.write.parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
     cores = context.defaultParallelism
-    kept = (df.repartition(cores) if df.rdd.getNumPartitions() < cores else df).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = (written.repartition(cores) if written.rdd.getNumPartitions() < cores else written).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield kept
     finally:
         kept.unpersist()
+        remove_path(spark, path)
 
 
 def fit_elastic_net(
@@ -70,7 +77,7 @@ def fit_rate_model(
     copied = copy.transform(train)
     recipe, names = fit_recipe(copied, tuple(f"{c}_x" for c in RECIPE_COLUMNS), "term_x")
     fill = replace_columns({c: f"coalesce(`{c}`, 0.0D)" for c in names})
-    vector = assembler(names)
+    vector = assembler(names, "keep")  # no gap is left
     ready = vector.transform(fill.transform(recipe.transform(copied))).select("features", label)
     with _training(ready) as rows:
         boosted = GBTRegressor(labelCol=label, maxIter=trees, maxDepth=5, seed=seed).fit(rows)
@@ -96,55 +103,26 @@ def fit_boosted_classifier(
 ) -> PipelineModel:
     """Scaler (population sd) and boosted classification trees as one model; a missing value counts as the training mean.
 
-    The last stage works on copies, so scored rows keep their own columns.
+    The preparation works on copies, so scored rows keep their own columns.
     """
-    scaler = fit_scaler(train, scaled, suffix="_scaled")
-    copy = add_columns({f"{c}_x": f"`{f'{c}_scaled' if c in scaled else c}`" for c in features})
-    columns = tuple(f"{c}_x" for c in features)
-    copied = copy.transform(scaler.transform(train))
-    fill, vector = fit_impute_mean(copied, columns), assembler(columns)
-    ready = vector.transform(fill.transform(copied)).where(F.col(label).isNotNull()).select("features", F.col(label).cast("double").alias(label))
+    fill, vector = fit_filled(train, features, scaled), assembler([f"{c}_x" for c in features], "keep")
+    labelled = train.where(F.col(label).isNotNull()).select(*dict.fromkeys([*features, label]))
+    ready = vector.transform(fill.transform(labelled)).select("features", F.col(label).cast("double").alias(label))
     with _training(ready) as rows:
         boosted = GBTClassifier(labelCol=label, maxIter=rounds, seed=seed).fit(rows)
-    return PipelineModel([scaler, copy, fill, vector, boosted])
+    return PipelineModel([fill, vector, boosted])
 
 
 def fit_forest(
     train: DataFrame, features: tuple[str, ...], label: str, trees: int = 500, seed: int = 42
 ) -> PipelineModel:
     """Random forest whose impurity importances are read by :func:`importances`; missing values count as training means."""
-    copy = add_columns({f"{c}_x": f"`{c}`" for c in features})
-    columns = tuple(f"{c}_x" for c in features)
-    fill, vector = fit_impute_mean(copy.transform(train), columns), assembler(columns)
-    ready = vector.transform(fill.transform(copy.transform(train))).where(F.col(label).isNotNull())
+    fill, vector = fit_filled(train, features), assembler([f"{c}_x" for c in features], "keep")
+    labelled = train.where(F.col(label).isNotNull()).select(*dict.fromkeys([*features, label]))
+    ready = vector.transform(fill.transform(labelled))
     with _training(ready.select("features", F.col(label).cast("double").alias(label))) as rows:
         forest = RandomForestClassifier(labelCol=label, numTrees=trees, seed=seed).fit(rows)
-    return PipelineModel([copy, fill, vector, forest])
-
-
-def fit_survival(
-    df: DataFrame, formula: str = "time ~ age * sex + disease", censored: str = "censored"
-) -> PipelineModel:
-    """Accelerated failure time model of right-censored times.
-
-    ``censored = 1`` means the event was not seen; the fit expects the opposite flag, made here. The
-    error is Weibull and there is no random effect per patient. Rows with a missing value are left out of the fit.
-    """
-    rows = df.withColumn("_seen", 1.0 - F.col(censored).cast("double")).where(F.col("_seen").isNotNull())
-    terms = RFormula(formula=formula, handleInvalid="skip").fit(rows)
-    with _training(terms.transform(rows).select("features", "label", "_seen")) as ready:
-        fit = AFTSurvivalRegression(censorCol="_seen", maxIter=100).fit(ready)
-    return PipelineModel([terms, fit])
-
-
-def survival_terms(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Coefficients of a survival model by term, with its intercept and scale."""
-    fit = model.stages[-1]
-    meta = model.transform(df).schema["features"].metadata["ml_attr"]["attrs"]
-    named = sorted((a["idx"], a["name"]) for group in meta.values() for a in group)
-    rows = [(name, float(fit.coefficients[i])) for i, name in named]
-    rows += [("(intercept)", float(fit.intercept)), ("(scale)", float(fit.scale))]
-    return df.sparkSession.createDataFrame(rows, "term string, estimate double")
+    return PipelineModel([fill, vector, forest])
 
 
 def importances(model: PipelineModel, features: list[str] | tuple[str, ...], df: DataFrame) -> DataFrame:

@@ -1,15 +1,19 @@
 """Repeatable samples, splits, folds and global ranks.
 
-Rows are ordered by a hash of their key, rows of one key by a hash of the whole row; rows that are equal throughout are
-told apart only where an edge falls between them. A sample of exact size needs the hash at one rank: counts per prefix
-lead to it in a few steps, each over the rows of the prefix found before, and every row is then compared with it
-where it lies. Null and repeated keys are ordinary rows: no row is lost, and sizes are exact.
+Rows are ordered by a hash of their key alone; only rows that share that hash with the row at an edge are told apart, by
+a hash of the whole row, and rows that are equal throughout by their number. A sample of exact size needs the hash at
+one rank: counts per prefix lead to it in a few steps, each over the rows of the prefix found before, and every row is
+then compared with it where it lies. For unique keys only the key column is read. Null and repeated keys are ordinary
+rows: no row is lost, and sizes are exact.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -20,66 +24,77 @@ from tallyforge.operators.order_stats import values_at_ranks
 #: Hex digits that form a sort group of :func:`global_rank`.
 PREFIX_DIGITS = 4
 
-#: Lengths of the prefixes that are counted one after the other: 16 bits at a time of the key's hash, then the rest of
-#: it, then the same of the row's hash. A step sends at most 65,536 counts per task, or those of one prefix.
-STEPS = (4, 8, 32, 36, 64)
+#: Lengths of the prefixes that are counted one after the other. A step brings at most 65,536 counts to the driver, the
+#: last ones those of the hashes that share 48 bits.
+STEPS = (4, 8, 12, 32)
 
 #: A prefix with at most this many rows is fetched and sorted on the driver (under 1 MB).
 FETCHED = 10_000
 
 
-def _order(df: DataFrame, key: str, seed: int | str) -> Column:
-    """64 hex digits: the hash of the key, then that of the whole row with the places of its NULLs."""
+def _content(df: DataFrame, seed: int | str) -> Column:
+    """32 hex digits: the hash of the whole row with the places of its NULLs."""
     values = [F.col(f"`{c}`") for c in df.columns]
     known = F.concat(*[F.when(c.isNull(), "0").otherwise("1") for c in values])
     halves = [F.lpad(F.hex(F.xxhash64(F.lit(f"{part}:{seed}"), known, *values)), 16, "0") for part in ("a", "b")]
-    return F.concat(row_hash(key, seed), *halves)
+    return F.concat(*halves)
 
 
-def _edge(df: DataFrame, key: str, fraction: float | None = None, size: int | None = None, seed: int | str = 42) -> tuple[str, int | None]:
-    """The order of the last of the first rows, and how many rows of just that order belong to them; None for all.
-
-    The order is cut to the key's hash where that settles it, as it does for unique keys. The first rows are ``size`` of them, or ``floor(fraction * n)``; at most all. This is a documented fit: two or three
-    jobs, each counting prefixes or fetching at most :data:`FETCHED` hashes.
-    """
-    hashed, prefix, last, at = df.select(_order(df, key, seed).alias("_h")), "", 0, None
+def _at_rank(hashed: DataFrame, rank: Callable[[int], int]) -> tuple[str, int, int]:
+    """Of one column ``h`` of 32 hex digits: the value at the wanted 1-based rank (given the number of rows; below 1 for
+    none), which of its equals that is, and how many there are."""
+    prefix, last, at = "", 0, None
     for length in STEPS:
-        inside = hashed.where(F.substring("_h", 1, last) == prefix) if last else hashed
-        counts = inside.groupBy(F.substring("_h", 1, length).alias("p")).agg(F.count(F.lit(1)).alias("c"))
+        inside = hashed.where(F.substring("h", 1, last) == prefix) if last else hashed
+        counts = inside.groupBy(F.substring("h", 1, length).alias("p")).agg(F.count(F.lit(1)).alias("c")).toArrow().sort_by("p")
+        upto = np.cumsum(counts.column("c").to_numpy())
         if at is None:
-            n = counts.agg(F.sum("c")).first()[0] or 0
-            at = min(size if fraction is None else math.floor(fraction * n), n)
+            at = rank(int(upto[-1]) if len(upto) else 0)
             if at < 1:
-                return "", None
-        start = F.sum("c").over(Window.partitionBy().orderBy("p")) - F.col("c")
-        found = counts.withColumn("s", start).where((F.col("s") < at) & (F.col("s") + F.col("c") >= at)).first()
-        prefix, last, at = found["p"], length, at - found["s"]
-        if found["c"] <= FETCHED:
-            rows = [r["_h"] for r in hashed.where(F.col("_h").startswith(prefix)).orderBy("_h").limit(FETCHED).collect()]
-            edge, after = rows[at - 1], rows[at : at + 1]
-            if last <= 32 and not any(r[:32] == edge[:32] for r in after):
-                return edge[:32], None
-            return edge, at - rows.index(edge) if after == [edge] else None
-    return prefix, at
-
-
-def _mark(df: DataFrame, key: str, name: str = "is_train", seed: int | str = 42, **first) -> DataFrame:
-    """``name`` tells whether a row is among the first; of rows that are equal throughout as many are taken as are needed."""
-    edge, among = _edge(df, key, seed=seed, **first)
-    if among is None:
-        return df.withColumn(name, (row_hash(key, seed) if len(edge) <= 32 else _order(df, key, seed)) <= edge)
-    placed = df.withColumn("_h", _order(df, key, seed))
-    apart = placed.where(F.col("_h") != edge).withColumn(name, F.col("_h") < edge)
+                return "", 0, 0
+        i = int(np.searchsorted(upto, at))
+        here = counts.column("c")[i].as_py()
+        prefix, last, at = counts.column("p")[i].as_py(), length, int(at - (upto[i] - here))
+        if last < STEPS[-1] and here <= FETCHED:
+            found = hashed.where(F.col("h").startswith(prefix)).toArrow().column("h")
+            found = found.take(pc.array_sort_indices(found))
+            edge = found[at - 1]
+            equal = np.flatnonzero(pc.equal(found, edge).to_numpy())
+            return edge.as_py(), int(at - equal[0]), len(equal)
+    return prefix, at, here
+
+
+def _mark(df: DataFrame, key: str, name: str = "is_train", seed: int | str = 42, fraction: float | None = None, size: int | None = None) -> DataFrame:
+    """``name`` tells whether a row is among the first, ``size`` of them or ``floor(fraction * n)``, at most all.
+
+    The edge is looked up when the frame is made, by two or three jobs over the key. Where it falls among rows of one
+    key, the same is done once more over those rows; of rows that are equal throughout as many are taken as are needed.
+    """
+    wanted = (lambda n: min(size, n)) if fraction is None else (lambda n: math.floor(fraction * n))
+    edge, at, equal = _at_rank(df.select(row_hash(key, seed).alias("h")), wanted)
+    own = row_hash(key, seed)
+    if at == equal:  # also when nothing is taken: no hash is below an empty one
+        return df.withColumn(name, own <= edge)
+    tied = df.where(own == edge)
+    inner, among, same = _at_rank(tied.select(_content(df, seed).alias("h")), lambda _: at)
+    apart = F.when(own == edge, _content(df, seed) <= inner).otherwise(own < edge)
+    if among == same:
+        return df.withColumn(name, apart)
+    last = (own == edge) & (_content(df, seed) == inner)
     number = F.row_number().over(Window.partitionBy("_h").orderBy("_h"))
-    tied = placed.where(F.col("_h") == edge).withColumn(name, number <= among)
-    return apart.unionByName(tied).drop("_h")
+    cut = df.where(last).withColumn("_h", F.lit(inner)).withColumn(name, number <= among).drop("_h")
+    return df.where(~last).withColumn(name, apart).unionByName(cut)
 
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int | str = 42) -> DataFrame:
     """Exactly ``n`` random rows, or the whole frame when it is smaller."""
-    if n < 1:
-        return df.limit(0)
-    return _mark(df, key, "_taken", seed, size=n).where("_taken").drop("_taken")
+    return split_n(df, key, n, seed)[0]
+
+
+def split_n(df: DataFrame, key: str, n: int, seed: int | str = 42) -> tuple[DataFrame, DataFrame]:
+    """Exactly ``n`` random rows and the rest; disjoint, together the whole frame."""
+    marked = _mark(df, key, "_taken", seed, size=n)
+    return marked.where("_taken").drop("_taken"), marked.where("not _taken").drop("_taken")
 
 
 def mark_split(df: DataFrame, key: str, fraction: float = 0.75, seed: int | str = 42) -> DataFrame:
@@ -96,19 +111,23 @@ def split_exact(df: DataFrame, key: str, fraction: float = 0.75, seed: int | str
 def mark_split_ordered(df: DataFrame, key: str, fraction: float = 0.7, seed: int | str = 42) -> DataFrame:
     """Add ``is_train``: true for the first ``floor(fraction * n)`` rows in key order (numeric key), null keys last.
 
-    Rows that share the key at the edge are ordered by their hash. The edge is looked up when the frame is made.
+    Rows that share the key at the edge are ordered by their hash; where all of them are taken, the mark is a comparison
+    with the key. The edge is looked up when the frame is made.
     """
-    n, known = df.agg(F.count(F.lit(1)), F.count(key)).first()
+    keys = df.select(key)
+    n, known = keys.agg(F.count(F.lit(1)), F.count(key)).first()
     size = math.floor(fraction * n)
     if size < 1:
         return df.withColumn("is_train", F.lit(False))
-    value = None
     if size <= known:
-        value = values_at_ranks(df, key, {"last": (fraction, lambda _: F.lit(size - 1))}).first()["value"]
-        value = F.lit(value).cast(df.schema[key].dataType)
-    before = F.col(key).isNotNull() if value is None else F.coalesce(F.col(key) < value, F.lit(False))
-    tied = F.col(key).isNull() if value is None else F.coalesce(F.col(key) == value, F.lit(False))
-    n_before = df.where(before).count()
+        value = values_at_ranks(keys, key, {"last": (fraction, lambda _: F.lit(size - 1))}).first()["value"]
+        edge = F.lit(value).cast(df.schema[key].dataType)
+        before, tied = F.coalesce(F.col(key) < edge, F.lit(False)), F.coalesce(F.col(key) == edge, F.lit(False))
+    else:
+        before, tied = F.col(key).isNotNull(), F.col(key).isNull()
+    n_before, n_tied = keys.agg(F.count(F.when(before, 1)), F.count(F.when(tied, 1))).first()
+    if n_before + n_tied == size:
+        return df.withColumn("is_train", before | tied)
     some = _mark(df.where(tied), key, seed=seed, size=size - n_before)
     return df.where(~tied).withColumn("is_train", before).unionByName(some)
 
@@ -128,15 +147,17 @@ def with_folds(df: DataFrame, key: str, k: int = 10, seed: int | str = 42) -> Da
     return df.withColumn("fold", fold_number(key, k, seed))
 
 
-def global_rank(df: DataFrame, key: str, seed: int | str = 42, digits: int = PREFIX_DIGITS) -> DataFrame:
+def global_rank(df: DataFrame, key: str, seed: int | str = 42, digits: int = PREFIX_DIGITS, unique: bool = False) -> DataFrame:
     """Add ``rank``: 1..n in the order of the samples, sorted group by group instead of in one task.
 
-    Only the order and the key's hash prefix decide the group; the offsets sent to every executor are one row per prefix, at
-    most ``16**digits`` rows. A key that holds a large share of the rows is one sort group, which spills to disk.
+    Only the key's hash prefix decides the group; the offsets sent to every executor are one row per prefix, at most
+    ``16**digits`` rows. A key that holds a large share of the rows is one sort group, which spills to disk. With
+    ``unique`` keys rows are not hashed as a whole, so only the columns that are asked for are read.
     """
-    rows = df.withColumn("_h", _order(df, key, seed)).withColumn("_p", F.substring("_h", 1, digits))
+    rows = df.withColumn("_h", row_hash(key, seed)).withColumn("_p", F.substring("_h", 1, digits))
     counts = df.select(F.substring(row_hash(key, seed), 1, digits).alias("_p")).groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
     offsets = counts.select("_p", (F.sum("_c").over(Window.partitionBy().orderBy("_p")) - F.col("_c")).alias("_start"))
-    within = F.row_number().over(Window.partitionBy("_p").orderBy("_h"))
+    order = ["_h"] if unique else ["_h", _content(df, seed)]
+    within = F.row_number().over(Window.partitionBy("_p").orderBy(*order))
     ranked = rows.withColumn("_r", within).join(F.broadcast(offsets), "_p")
     return ranked.withColumn("rank", F.col("_start") + F.col("_r")).drop("_h", "_p", "_r", "_start")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions import columns as C
 from tallyforge.functions.frames import rounded
 from tallyforge.functions.text import join_rows
-from tallyforge.operators import draws, features, grids, group_fits, joins, lambda_path, models, pooling, runs, sampling
+from tallyforge.operators import boosted, draws, features, grids, group_fits, joins, lambda_path, models, pooling, runs, sampling, survival
 from tallyforge.operators.filters import filter_metric, row_slice
 from tallyforge.operators.metrics import binary_metrics, regression_metrics
 from tallyforge.plans.registry import query
@@ -228,15 +230,23 @@ def breast_split(spark, base) -> tuple[DataFrame, DataFrame]:
     return sampling.split_ordered(views.breast_like(spark, base), "vec_id")
 
 
-@query("fit_gbt_cls")
-def fit_gbt_cls(spark, base):
+def breast_classifier(spark, base):
     train, valid = breast_split(spark, base)
     model = models.fit_boosted_classifier(train, BREAST, BREAST[:2])
-    scored = [
-        models.predict_probability(model, part).select(F.lit(name).alias("part"), "probability", "target")
-        for name, part in (("train", train), ("valid", valid))
-    ]
-    return binary_metrics(joins.union_all(*scored), "probability", "target", ("part",))
+    return model, joins.union_all(train.withColumn("part", F.lit("train")), valid.withColumn("part", F.lit("valid")))
+
+
+@query("fit_gbt_cls")
+def fit_gbt_cls(spark, base):
+    model, rows = breast_classifier(spark, base)
+    return binary_metrics(models.predict_probability(model, rows).select("part", "probability", "target"), "probability", "target", ("part",))
+
+
+@query("fit_gbt_cls_rounds")
+def fit_gbt_cls_rounds(spark, base):
+    """Log loss and error of both parts after each round."""
+    model, rows = breast_classifier(spark, base)
+    return boosted.round_curve(model, rows, "target", ("part",))
 
 
 def breast_forest(spark, base) -> DataFrame:
@@ -257,7 +267,7 @@ def topk_importance(spark, base):
 @query("fit_survival")
 def fit_survival(spark, base):
     rows = views.kidney_like(spark, base)
-    return models.survival_terms(models.fit_survival(rows), rows)
+    return survival.fit_survival(rows).frame(rows)
 
 
 # Run tables
@@ -566,22 +576,30 @@ def src_csv_object(spark, base):
     return files.read_csv(spark, wine_file(spark, base, ","), ",", WINE_CSV)
 
 
-def linked_orders(spark, base) -> str:
+@contextmanager
+def linked_orders(spark, base) -> Iterator[str]:
+    """The name of a catalog table over the orders; it is dropped afterwards, the files stay."""
     name = f"orders_{uuid.uuid4().hex}"
     tables.clone_parquet(spark, f"{base}/orders.parquet", name)
-    return name
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP TABLE `{name}`")
 
 
 @query("src_parquet_clone", "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1")
 def src_parquet_clone(spark, base):
-    return spark.table(linked_orders(spark, base)).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    with linked_orders(spark, base) as name:
+        counts = spark.table(name).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+        return spark.read.parquet(files.write_results(counts, work_path(spark, "counts")))
 
 
 @query("src_table", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
 def src_table(spark, base):
-    name = linked_orders(spark, base)
-    rows = tables.read_table(spark, "spark_catalog", spark.catalog.currentDatabase(), name)
-    return rows.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    with linked_orders(spark, base) as name:
+        rows = tables.read_table(spark, "spark_catalog", spark.catalog.currentDatabase(), name)
+        counts = rows.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+        return spark.read.parquet(files.write_results(counts, work_path(spark, "counts")))
 
 
 @query("sink_results", "SELECT color, quality, count(*) AS n FROM wine GROUP BY ALL", ("wine",))

@@ -137,7 +137,7 @@ def split_exact(spark, base):
 
 @query("global_rank", f"SELECT wine_id, r AS rank FROM ({RANK_SQL})", ("wine",))
 def global_rank(spark, base):
-    return sampling.global_rank(views.wine(spark, base), "wine_id").select("wine_id", "rank")
+    return sampling.global_rank(views.wine(spark, base), "wine_id", unique=True).select("wine_id", "rank")
 
 
 @query(
@@ -162,7 +162,7 @@ def split_hash(spark, base):
 def except_rows(spark, base):
     wine = views.wine(spark, base)
     train, _ = sampling.split_exact(wine, "wine_id")
-    return joins.except_rows(wine, train, "wine_id").select("wine_id", "quality")
+    return joins.except_rows(wine.select("wine_id", "quality"), train.select("wine_id", "quality"))
 
 
 HASH_INT_SQL = "CAST('0x' || substr(md5(CAST({key} AS STRING) || ':{seed}'), 1, 8) AS BIGINT)"
@@ -250,8 +250,27 @@ def filter_equi(spark, base):
 
 @query("join_anti_split", f"SELECT wine_id, color FROM ({RANK_SQL}) WHERE r > 2000", ("wine",))
 def join_anti_split(spark, base):
-    wine = views.wine(spark, base)
-    return joins.except_rows(wine, sampling.sample_n(wine, "wine_id", 2000), "wine_id").select("wine_id", "color")
+    """The rest of a sample, from the sample's own mark."""
+    _, rest = sampling.split_n(views.wine(spark, base), "wine_id", 2000)
+    return rest.select("wine_id", "color")
+
+
+CELLAR_SQL = """
+WITH counted AS (SELECT cellar, count(*) AS c FROM wine GROUP BY cellar),
+ordered AS (SELECT cellar, c, coalesce(sum(c) OVER (ORDER BY md5(coalesce(CAST(cellar AS STRING), '') || ':42') ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+  (SELECT floor(0.75 * count(*)) FROM wine) AS size FROM counted)
+SELECT cellar, CAST(c AS BIGINT) AS n, CAST(greatest(0, least(c, size - before)) AS BIGINT) AS n_train FROM ordered
+"""
+
+
+@query("split_repeated_keys", CELLAR_SQL, ("wine",))
+def split_repeated_keys(spark, base):
+    """A split by a key that many rows share and some lack: sizes per key of both parts, the rest taken by subtraction."""
+    wine = views.wine(spark, base).select("wine_id", "cellar", "quality")
+    train, _ = sampling.split_exact(wine, "cellar")
+    rest = joins.except_rows(wine, train)
+    marked = joins.union_all(train.withColumn("t", F.lit(1)), rest.withColumn("t", F.lit(0)))
+    return marked.groupBy("cellar").agg(F.count(F.lit(1)).alias("n"), F.sum("t").alias("n_train"))
 
 
 @query("as_label", "SELECT vec_id, CASE WHEN target = 1 THEN 1 ELSE 0 END AS label FROM breast_like", ("breast_like",))

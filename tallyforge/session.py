@@ -58,3 +58,9 @@ def shared_root(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_root(spark)}/tallyforge/{name}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared file system, once nothing reads it any more; a missing one is no error."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

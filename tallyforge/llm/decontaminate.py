@@ -4,7 +4,8 @@ A window is ten consecutive words of an item, or all words of a shorter one. Its
 (fewer in shorter windows). A document contains a window exactly when it has all the window's shingles in a row, so one
 necessary prefix token is enough to find it: the window's rarest shingle, by number of occurrences in the documents.
 One pass over the documents keeps the places of the shingles that the benchmark has, compared word by word; rarity,
-candidates, bounds and the check of the whole window then work on those narrow rows.
+candidates, bounds and the check of the whole window then work on those narrow rows. A candidate must have room in its
+document: the document is as long as the window, and neither end of the window lies outside it.
 """
 
 from __future__ import annotations
@@ -67,11 +68,11 @@ def occurrences(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: st
     split = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("mark"), words(F.col(text)).alias("words"))
     places = []
     for size in sorted(sizes):
-        at = split.where(F.size("words") >= size).select("id", "mark", "words", F.explode(F.sequence(F.lit(0), F.size("words") - size)).alias("pos"))
-        grams = at.select("id", "mark", "pos", F.xxhash64(_gram(F.col("pos"), size), F.lit(size)).alias("gram_id"), _gram(F.col("pos"), size).alias("found"))
+        at = split.where(F.size("words") >= size).select("id", "mark", "words", F.size("words").alias("n"), F.explode(F.sequence(F.lit(0), F.size("words") - size)).alias("pos"))
+        grams = at.select("id", "mark", "pos", "n", F.xxhash64(_gram(F.col("pos"), size), F.lit(size)).alias("gram_id"), _gram(F.col("pos"), size).alias("found"))
         known = vocabulary.where(F.col("size") == size)
         met = grams.join(_small(known, BROADCAST_SHINGLES), "gram_id").where("found = gram")
-        places.append(met.select("id", "mark", "pos", "size", "gram_id"))
+        places.append(met.select("id", "mark", "pos", "size", "gram_id", "n"))
     if not places:
         return docs.sparkSession.createDataFrame([], f"id {docs.schema[key].dataType.simpleString()}, mark long, start int, length int, window_id string")
     found = places[0]
@@ -84,7 +85,7 @@ def occurrences(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: st
     ranked = coded.join(rarity, "gram_id")  # a window with a shingle that no document has can't occur
     prefix = ranked.groupBy("window_id", "n_shingles", "length").agg(F.min(F.struct("places", "gram_id", "k")).alias("rarest"), F.count("*").alias("present"))
     prefix = stored(prefix.where("present = n_shingles").select("window_id", "n_shingles", "length", "rarest.gram_id", "rarest.k"), "prefix")
-    candidates = found.join(_small(prefix, BROADCAST_ROWS), "gram_id").where("pos >= k").select("id", "mark", (F.col("pos") - F.col("k")).alias("start"), "length", "n_shingles", "window_id")
+    candidates = found.join(_small(prefix, BROADCAST_ROWS), "gram_id").where("n >= length and pos >= k and pos - k + length <= n").select("id", "mark", (F.col("pos") - F.col("k")).alias("start"), "length", "n_shingles", "window_id")
     steps = coded.select("window_id", "k", "gram_id")
     wanted = candidates.join(_small(stored(steps, "steps"), BROADCAST_ROWS), "window_id").withColumn("pos", F.col("start") + F.col("k"))
     matched = wanted.alias("w").join(found.alias("f"), (F.col("w.id").eqNullSafe(F.col("f.id"))) & (F.col("w.mark") == F.col("f.mark")) & (F.col("w.pos") == F.col("f.pos")) & (F.col("w.gram_id") == F.col("f.gram_id")), "left_semi")

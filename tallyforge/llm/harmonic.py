@@ -107,7 +107,7 @@ def pack_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str =
             kinds = [key_type] + [pa.int64()] * 6 + ([pa.list_(pa.int32())] if with_ids else [])
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
-        for part, texts in grouped(batches, "_text"):
+        for part, texts in grouped(batches, "_text", keep=(("bpe", path), ("ids", path))):
             key_type = part.schema.field(0).type
             if len(table) > KEEP_WORDS:
                 first = list(islice(table.items(), KEEP_WORDS // 3))

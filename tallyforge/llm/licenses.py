@@ -108,12 +108,20 @@ def _canonical_sql(text: str) -> str:
     return f"trim({form})"
 
 
+#: Known texts up to this many are broadcast (under 10 MB).
+BROADCAST_ROWS = 50_000
+#: Texts that are held by their digest alone have a canonical form of at least this many characters.
+LONG = 1_000
+
+
 def known_digests(
     spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN + license_texts.TEXTS, digests: tuple[tuple[str, str], ...] = license_texts.DIGESTS
 ) -> DataFrame:
-    """``(digest, license)`` of the known texts, and the digests of those that are held without their text."""
-    texts = spark.createDataFrame(list(known), "license string, text string").select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "license")
-    return texts.unionByName(spark.createDataFrame(list(digests), "license string, digest string")).distinct()
+    """``(digest, license, length)`` of the known texts, and the digests of those that are held without their text, which
+    have at least :data:`LONG` characters and a null length."""
+    texts = spark.createDataFrame(list(known), "license string, text string").withColumn("form", canonical(F.col("text")))
+    texts = texts.select(F.sha2("form", 256).alias("digest"), "license", F.length("form").alias("length"))
+    return texts.unionByName(spark.createDataFrame([(*d, None) for d in digests], "license string, digest string, length int")).distinct()
 
 
 def scan(docs: DataFrame, known: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -124,10 +132,15 @@ def scan(docs: DataFrame, known: DataFrame, key: str = "doc_id", text: str = "te
     line is both a line and a whole text. Repeated rows get equal answers, other columns are not looked at.
     """
     mark = F.xxhash64(text)
+    table = known if known.count() > BROADCAST_ROWS else F.broadcast(known)
+    lengths = sorted({r["length"] for r in known.where(F.col("length") < LONG).select("length").distinct().collect()})  # fewer than LONG
     rows = docs.select(F.col(key).alias("id"), mark.alias("mark"), F.col(text).alias("text")).where(F.col("text").isNotNull())
-    line = F.posexplode(F.concat(F.array("text"), F.split("text", "\n"))).alias("at", "unit")  # the whole text comes first
-    units = rows.select("id", "mark", line).select("id", "mark", "at", F.sha2(canonical(F.col("unit")), 256).alias("digest"))
-    met = units.join(known, "digest").select("id", "mark", "at", "license").distinct()  # repeated rows have the same units
+    unit = lambda t, at: F.struct(at.alias("at"), canonical(t).alias("form"))
+    every = F.concat(F.array(unit(F.col("text"), F.lit(0))), F.transform(F.split("text", "\n"), lambda t, i: unit(t, i + 1)))
+    likely = lambda u: F.length(u["form"]).isin(lengths) | (F.length(u["form"]) >= LONG)  # noqa: E731  (others need no digest)
+    some = rows.select("id", "mark", F.explode_outer(F.filter(every, likely)).alias("u")).where("u is not null")
+    units = some.select("id", "mark", "u.at", F.sha2("u.form", 256).alias("digest"))
+    met = units.join(table, "digest").select("id", "mark", "at", "license").distinct()  # repeated rows have the same units
     of_row = met.groupBy("id", "mark").agg(
         F.count_distinct(F.when(F.col("at") > 0, F.col("at"))).alias("n_lines"),
         F.sort_array(F.collect_set(F.when(F.col("at") == 0, F.col("license")))).alias("whole"),

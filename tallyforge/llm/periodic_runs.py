@@ -35,6 +35,8 @@ SHORTEST = 12
 FIRST = (1, 8, 6)
 #: Words that a tile's boundaries span, at least one boundary.
 TILE_WORDS = 4096
+#: Tiles that one task solves, about: a few seconds.
+TASK_TILES = 2_000
 ID_BITS = 36
 
 RUNS = "array<struct<start:bigint,period:bigint,length:bigint>>"
@@ -277,7 +279,8 @@ def find_runs(
             row += len(texts)
 
     spread = stored(source.mapInArrow(tile, schema), "run-tiles")
-    pieces = spread.where("_low is not null").select("_row", "_low", "_first", "_ids", "_marks").repartition("_row", "_low", "_first")
+    pieces = spread.where("_low is not null").select("_row", "_low", "_first", "_ids", "_marks")
+    pieces = pieces.repartition(1 + pieces.count() // TASK_TILES, "_row", "_low", "_first")  # their bytes say little about their work
     parts = pieces.mapInArrow(_solve, "_row long, q long, a long, b long")
     runs = stitch(parts).groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("start", "period", "length"))).alias("runs"))
     whole = spread.where("_low is null").drop("_low", "_first", "_ids", "_marks")

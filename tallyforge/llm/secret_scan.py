@@ -26,16 +26,15 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # the run after AKIA is as long as it
 HEX = re.compile(r"[0-9a-f]{16,}")
 ASSIGN_LEAST = 12
 
-#: A candidate for the models: a run of key characters of at least this length with both a letter and a digit.
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-MIXED = re.compile(r"(?=.*[A-Za-z])(?=.*[0-9])")
+#: A candidate for the models: a run of key characters of at least this length with a letter.
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
+LETTER = re.compile(r"[A-Za-z]")
 ORDINARY = re.compile(r"[A-Za-z_][A-Za-z0-9_-]{5,}")
-#: Ordinary words taken from one training text.
-WORDS_PER_TEXT = 200
 #: Training texts: those with the smallest hash of their id, at most this many; the whole text is read.
 TRAIN_TEXTS = 4_000
-#: Log-likelihood ratio per character above which a run is a secret.
-THRESHOLD = 1.2
+#: Log-likelihood ratio per character above which a run of SURE characters or more is a secret. A shorter one shows less, so
+#: it needs as much in all as one of that length would.
+THRESHOLD, SURE = 1.2, 20
 #: Added to every transition count.
 SMOOTH = 0.5
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
@@ -102,8 +101,6 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int =
                         at += 1
                     if at == len(spans) or m.end() <= spans[at][0]:
                         ordinary.append(m.group())
-                        if len(ordinary) == WORDS_PER_TEXT:
-                            break
                 for i, strings in enumerate((random, ordinary)):
                     if strings:
                         totals[i] += transitions(strings)
@@ -117,17 +114,33 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int =
     return MarkovPair.of_counts(totals[0], totals[1])
 
 
+def needed(length: int, threshold: float = THRESHOLD) -> float:
+    """The least mean log-likelihood ratio of a secret of this length."""
+    return threshold * max(1.0, SURE / length)
+
+
+def candidates(text: str, spans: list[tuple[int, int, int]]) -> Iterator[re.Match]:
+    """The runs that the models are asked about: all with a letter that do not lie wholly inside one of the spans (sorted).
+    A run that a span touches or splits is scored whole."""
+    at = 0
+    for m in RUN.finditer(text):
+        while at < len(spans) and spans[at][2] <= m.start():
+            at += 1
+        inside = any(s <= m.start() and m.end() <= e for s, _, e in spans[max(0, at - len(KINDS)) : at + len(KINDS)])
+        if not inside and LETTER.search(m.group()):
+            yield m
+
+
 def find(texts: list[str], models: MarkovPair, threshold: float = THRESHOLD) -> list[list[tuple[int, int, int]]]:
-    """``(start, kind number, end)`` of every secret of every text; runs that only the models find have kind 3."""
+    """``(start, kind number, end)`` of every secret of every text; what only the models find has kind 3 and may reach beyond
+    the spans of the patterns, which stay as they are."""
     found, runs = [], []
     for i, t in enumerate(texts):
         spans = base_spans(t)
-        for m in RUN.finditer(t):
-            if MIXED.match(m.group()) and not any(s < m.end() and m.start() < e for s, _, e in spans):
-                runs.append((i, m.start(), m.end(), m.group()))
+        runs += [(i, m.start(), m.end(), m.group()) for m in candidates(t, spans)]
         found.append(spans)
-    for (i, start, end, _), score in zip(runs, models.scores([r[3] for r in runs]), strict=True):
-        if score > threshold:
+    for (i, start, end, run), score in zip(runs, models.scores([r[3] for r in runs]), strict=True):
+        if score > needed(len(run), threshold):
             found[i].append((start, len(KINDS), end))
     return [sorted(spans) for spans in found]
 

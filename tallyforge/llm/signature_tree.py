@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.components import UnionFind, components
-from tallyforge.llm.frames import grouped, stored
+from tallyforge.llm.frames import grouped, scratch, stored
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -39,12 +39,12 @@ LEADS = 3
 FREQUENT = 2e-6
 #: Set entries a task counts at a time to find them, and the least count it reports.
 COUNTED, REPORTED = 2_000_000, 3
-#: Words hashed at a time; a longer word than LONG_WORD bytes is replaced by its digest.
-WORDS, LONG_WORD = 100_000, 1_000
+#: Bytes of words hashed at a time; a longer word than LONG_WORD bytes is replaced by its digest.
+PART_BYTES, LONG_WORD = 1 << 20, 1_000
 #: Rows of a leader bucket that are compared with each other; the first of each such block meets the next block's.
 LEADER_BLOCK = 4_096
-#: Node pairs a tree visits at a time.
-FRONTIER = 32_768
+#: Bytes of bitmaps a tree compares at a time.
+FRONTIER = 8 << 20
 #: Members of a leader that one task checks.
 SPLIT = 500
 #: Tables of ids up to this many rows (16 MB) are broadcast; larger ones are shuffled.
@@ -74,9 +74,12 @@ def shingle_set(text: str, size: int = SHINGLE) -> np.ndarray:
         return np.zeros(0, np.uint64)
     if max(map(len, words)) > LONG_WORD:
         words = [b"\0" + hashlib.blake2b(w).digest() if len(w) > LONG_WORD else w for w in words]
-    k, parts = min(size, len(words)), []
-    for at in range(0, len(words) - k + 1, WORDS):
-        own = words[at : at + WORDS + k - 1]
+    k, parts, at = min(size, len(words)), [], 0
+    upto = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    while at < len(words) - k + 1:
+        stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PART_BYTES)))
+        own = words[at : stop + k - 1]
+        at = stop
         raw = np.frombuffer(b" ".join(own), np.uint8)
         lengths = np.fromiter(map(len, own), np.int64, len(own))
         ends = np.cumsum(lengths + 1) - 1
@@ -139,7 +142,7 @@ def frequent_shingles(docs: DataFrame, text: str) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """A row per document: id, set size ``n``, digest of the set, smallest hashes, prefix shingles, bitmap."""
+    """A row per document: id, set size ``n``, digest of the set, smallest hashes, prefix shingles, bitmap; written."""
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, text))
     kind = docs.schema[key].dataType.simpleString()
 
@@ -161,7 +164,10 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
             arrays = [part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), _lists(leads), _lists(prefixes), pa.array(bits, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["id", "n", "digest", "leads", "prefix", "bits"])
 
-    return docs.select(F.col(key), F.col(text).alias("_text")).mapInArrow(sketch, f"id {kind}, n long, digest binary, leads array<long>, prefix array<long>, bits binary")
+    out = docs.select(F.col(key), F.col(text).alias("_text")).mapInArrow(sketch, f"id {kind}, n long, digest binary, leads array<long>, prefix array<long>, bits binary")
+    written = stored(out, "sketch")
+    frequent.destroy()
+    return written
 
 
 def _lists(values: list[np.ndarray]) -> pa.ListArray:
@@ -275,9 +281,10 @@ class SignatureTree:
     def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs of rows of different groups whose largest possible overlap allows a link."""
         stack = [(len(self.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+        most_pairs = max(64, FRONTIER // (8 * self.levels[0][0].shape[1]))
         while stack:
             level, i, j = stack.pop()
-            if len(i) > FRONTIER:
+            if len(i) > most_pairs:
                 half = len(i) // 2
                 stack += [(level, i[:half], j[:half]), (level, i[half:], j[half:])]
                 continue
@@ -432,11 +439,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     are one document with several texts, linked where any of them links; a row without an id stands alone with a null
     component. Equal sets are always linked. Other columns are not looked at; an empty table gives an empty one.
     """
-    rows = stored(sketches(docs, key, text), "sketch")
+    with scratch() as keep:
+        members, roots = _linked(docs, key, text)
+        members, roots = keep(members), keep(roots)
+    return members.join(small(roots.withColumnRenamed("id", "node")), "node", "left").select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("root", "node").alias("component_id"))
+
+
+def _linked(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """``id, n, node`` of every row, and ``id, root`` of the nodes that are linked with a smaller one; both written."""
+    rows = sketches(docs, key, text)
     known = rows.where("n > 0 and id is not null")
     copies = stored(known.groupBy("digest").agg(F.min("id").alias("node"), F.count("*").alias("rows")).where("rows > 1").select("digest", "node"), "copies")
-    joined = rows.join(small(copies), "digest", "left").withColumn("node", F.when(F.col("id").isNotNull(), F.coalesce("node", "id")))
-    nodes = joined.where("n > 0 and id = node")
+    # sets without a shingle have no digest and no copy: they stay out of the join, where they would meet under one key
+    joined = known.join(small(copies), "digest", "left").withColumn("node", F.coalesce("node", "id"))
+    nodes = joined.where("id = node")
+    alone = rows.where("n = 0 or id is null").select("id", "n", F.col("id").alias("node"))
+    members = stored(joined.select("id", "n", "node").unionAll(alone), "members")
 
     kind = docs.schema[key].dataType.simpleString()
     pair = f"a {kind}, b {kind}"
@@ -449,22 +467,43 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         full = bucket.join(_grouped(nodes, roots).select("id", "n", "group", "bits"), "id").select("key", "n", "id", "group", "bits")
         return full.repartition("key").sortWithinPartitions("key", "n", "id")
 
-    roots = docs.sparkSession.createDataFrame([], f"id {kind}, root {kind}")
-    led = buckets(nodes.select(F.explode("leads").alias("key"), "id", "n", F.col("id").alias("group")), "leads")
-    led = stored(with_bitmaps(led, roots).mapInArrow(_lead, pair).distinct(), "led")
-    links = stored(verified(docs, key, text, led), "links")
-    roots = stored(components(links), "roots")
+    with scratch() as keep:
+        roots = docs.sparkSession.createDataFrame([], f"id {kind}, root {kind}")
+        led = buckets(nodes.select(F.explode("leads").alias("key"), "id", "n", F.col("id").alias("group")), "leads")
+        led = stored(with_bitmaps(led, roots).mapInArrow(_lead, pair).distinct(), "led")
+        links = keep(stored(verified(docs, key, text, led), "links"))
+        roots = keep(stored(components(links), "roots"))
 
     keyed = _grouped(nodes, roots).select(F.explode("prefix").alias("key"), "id", "n", "group")
     for spanning in (True, False):
-        mixed = buckets(keyed, "mixed")
-        more = stored(with_bitmaps(mixed, roots).mapInArrow(_traverse(spanning), pair).distinct(), "candidates")
-        links = stored(links.unionAll(verified(docs, key, text, more)), "links")
-        roots = stored(components(links), "roots")
+        with scratch() as keep:
+            mixed = keep(buckets(keyed, "mixed"))
+            more = stored(with_bitmaps(mixed, roots).mapInArrow(_traverse(spanning), pair).distinct(), "candidates")
+            links = keep(stored(links.unionAll(verified(docs, key, text, more)), "links"))
+            roots = keep(stored(components(links), "roots"))
         keyed = mixed.join(_grouped(nodes, roots).select("id", "n", "group"), "id")
+    return members, roots
+
 
-    members = joined.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), "node")
-    return members.join(small(roots.withColumnRenamed("id", "node")), "node", "left").select(key, "n_shingles", F.coalesce("root", "node").alias("component_id"))
+def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of linked texts, that with the smallest key (null last); columns as they are.
+
+    Rows are told apart by a number of their own and not by their key, so rows of one key with unrelated texts stay, and
+    rows without a key are treated like any other. Of repeated rows one stays. Rows without a word are linked with
+    nothing and all stay. An empty table gives an empty one.
+    """
+    number = "_row"
+    while number in docs.columns:
+        number += "_"
+    numbered = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    with scratch() as keep:
+        found = near_duplicates(numbered.select(F.col(number).alias("_row"), F.col(text).alias("text")), "_row")
+        keys = numbered.select(F.col(number).alias("_row"), F.col(f"`{key}`").alias("_key"))
+        several = stored(found.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id"), "groups")
+        members = found.join(small(several), "component_id").select("component_id", "_row").join(keys, "_row")
+        first = members.groupBy("component_id").agg(F.min(F.struct(F.col("_key").isNull().alias("none"), "_key", "_row"))["_row"].alias("first"))
+        others = keep(stored(members.join(first, "component_id").where("_row <> first").select(F.col("_row").alias(number)), "near-copies"))
+    return numbered.join(small(others), number, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _grouped(nodes: DataFrame, roots: DataFrame) -> DataFrame:

@@ -1,9 +1,9 @@
 """Token counts by a two-tier table of pre-token lengths.
 
-First tier: the pre-tokens that are frequent in the corpus, with their numbers of tokens, as a small broadcast
-table. Every task counts its own pre-tokens and offers only its most frequent ones, so no pre-token of the corpus is
-shuffled. Second tier: what the table lacks is given to the library once per worker and kept there, within a bound.
-The table decides how often the library is asked, never what is counted.
+First tier: pre-tokens that are frequent, with their numbers of tokens, as a small broadcast table. It is learned from a
+bounded sample of the texts, chosen by a hash of their keys, in one task: the table only steers how often the library
+is asked, so nothing that is counted depends on it and no pre-token of the corpus is shuffled. Second tier: what the
+table lacks is given to the library once per worker and kept there, within a bound.
 """
 
 from __future__ import annotations
@@ -19,29 +19,33 @@ from pyspark.sql import functions as F
 from tallyforge.llm.frames import grouped, records, worker_value
 from tallyforge.llm.word_bpe import KEEP_CHARS, KEEP_WORDS, WordBpe, pieces
 
-#: Pre-tokens in the broadcast table (about 1 MB), and how many each task offers for it.
+#: Pre-tokens in the broadcast table (about 1 MB).
 TABLE_WORDS = 16_384
-OFFERED = 4_096
-#: A task's counter is cut back to its most frequent half beyond this many pre-tokens.
+#: Texts the table is learned from, about, and at most twice as many.
+SAMPLE_TEXTS = 2_000
+#: The counter is cut back to its most frequent half beyond this many pre-tokens.
 COUNTED = 200_000
 
 
-def frequent_pretokens(docs: DataFrame, path: str, text: str = "text", size: int = TABLE_WORDS) -> dict[str, int]:
-    """The lengths in tokens of the ``size`` most frequent pre-tokens (ties by the pre-token)."""
+def frequent_pretokens(docs: DataFrame, path: str, keys: list[str], text: str = "text", size: int = TABLE_WORDS) -> dict[str, int]:
+    """The lengths in tokens of the ``size`` most frequent pre-tokens of a sample of the texts (ties by the pre-token)."""
+    rows = docs.count()
+    share = min(1.0, SAMPLE_TEXTS / max(rows, 1))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, seen = worker_value(("bpe", path), lambda: WordBpe(path)), Counter()
-        for _, texts in grouped(batches, text):
+        for _, texts in grouped(batches, "_text", keep=(("bpe", path),)):
             for t in texts:
                 for piece in pieces(t):
                     seen.update(bpe.pretokens(piece))
             if len(seen) > COUNTED:
                 seen = Counter(dict(seen.most_common(COUNTED // 2)))
-        top = [(w, n) for w, n in seen.most_common(OFFERED) if len(w) <= KEEP_CHARS]
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], ["word", "n"])
+        top = sorted(((w, n) for w, n in seen.items() if len(w) <= KEEP_CHARS), key=lambda x: (-x[1], x[0]))[:size]
+        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string())], ["word"])
 
-    offered = docs.select(F.col(text).alias(text)).mapInArrow(count, "word string, n long")
-    top = offered.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size).collect()
+    low = F.pmod(F.xxhash64(*keys), F.lit(1 << 30)) < int(share * (1 << 30))
+    sample = docs.where(low).select(F.col(text).alias("_text")).limit(2 * SAMPLE_TEXTS).repartition(1)
+    top = sample.mapInArrow(count, "word string").collect()  # at most ``size`` words
     return {w: len(ids) // 4 for w, ids in WordBpe(path).encode([r["word"] for r in top])}
 
 
@@ -53,13 +57,13 @@ def count_tokens(docs: DataFrame, path: str, keys: list[str], text: str = "text"
     """
     source = docs.select(*keys, F.col(text).alias("_text"))
     name = uuid.uuid4().hex
-    frequent = docs.sparkSession.sparkContext.broadcast(frequent_pretokens(docs, path, text))
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_pretokens(docs, path, keys, text))
     out = source.select(*keys, F.lit(0).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_tokens"), F.lit(False).alias("over_limit")).schema
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = worker_value(("bpe", path), lambda: WordBpe(path))
         table = worker_value(("lengths", name), lambda: dict(frequent.value))
-        for part, texts in grouped(batches, "_text"):
+        for part, texts in grouped(batches, "_text", keep=(("bpe", path), ("lengths", name))):
             if len(table) > KEEP_WORDS:
                 table.clear()
                 table.update(frequent.value)

@@ -69,7 +69,7 @@ def test_odd_rows(spark):
 def test_hashes_do_not_depend_on_how_a_text_is_cut(monkeypatch):
     text = " ".join(f"w{i % 977} é" for i in range(3000))
     whole = S.shingle_set(text)
-    monkeypatch.setattr(S, "WORDS", 64)
+    monkeypatch.setattr(S, "PART_BYTES", 300)
     assert np.array_equal(whole, S.shingle_set(text))
     assert len(whole) == len(H.shingles(text))
 

@@ -1,11 +1,13 @@
 """Secrets, benchmark passages, languages and licences."""
 
 import hashlib
+import math
 import os
 import random
 import re
 import string
 import textwrap
+from collections import Counter
 
 import pytest
 
@@ -63,6 +65,53 @@ def test_models_tell_random_strings_from_identifiers(spark, base):
     assert found == [(4, 3, 36)]
 
 
+def plain_training(texts):
+    """The ratios of both models, counted pair by pair."""
+    names = secret_scan.SYMBOLS
+    counts = [Counter(), Counter()]
+    for t in texts:
+        spans = [(m.start(), m.end(), m[2]) for m in ASSIGN.finditer(t) if len(m[2]) >= 12]
+        spans += [(m.start(), m.end(), m[0]) for p, least in (("AKIA[A-Z0-9]+", 18), ("[0-9a-f]+", 16)) for m in re.finditer(p, t) if len(m[0]) >= least]
+        words = [m[0] for m in re.finditer("[A-Za-z_][A-Za-z0-9_-]{5,}", t) if not any(s < m.end() and m.start() < e for s, e, _ in spans)]
+        for n, strings in zip(counts, ([x for _, _, x in spans], words)):
+            for x in strings:
+                n.update(zip("~" + x, x + "~"))
+    def log(n, a, b):
+        return math.log((n[a, b] + 0.5) / (sum(n[a, c] for c in names + "~") + 0.5 * (len(names) + 1)))
+    return {(a, b): log(counts[0], a, b) - log(counts[1], a, b) for a in names + "~" for b in names + "~"}
+
+
+def plain_model_spans(text, ratio, threshold):
+    base = [tuple(map(int, x.split(":")[1:])) for x in brute_spans(text)]
+    out = []
+    for m in re.finditer("[A-Za-z0-9+/_=-]{12,}", text):
+        pairs = list(zip("~" + m[0], m[0] + "~"))
+        score = sum(ratio[p] for p in pairs) / len(pairs)
+        if re.search("[A-Za-z]", m[0]) and not any(s <= m.start() and m.end() <= e for s, e in base) and score > threshold * max(1, 20 / len(m[0])):
+            out.append((m.start(), m.end()))
+    return out
+
+
+def test_model_spans_equal_a_plain_scorer(spark):
+    r = random.Random(6)
+    key = lambda n: "".join(r.choices(string.ascii_letters + string.digits, k=n))
+    words = ["introduction", "configuration", "section", "background-process", "handle_request", "documentation", "international"]
+    texts = [" ".join(f"{r.choice(words)} {r.choice(words)} token={key(24)}" for _ in range(60)) for _ in range(30)]
+    hidden = "0123456789abcdef0123456789abcdef-Zx81QpLm-9aK2mQ7T"
+    texts += [f"see {key(13)} and {key(17)}, {key(40)} or {''.join(r.choices(string.ascii_letters, k=18))} {hidden} 123456789012345", "qZ8xK2mLw9Tr4VbN1 internationalization", "", None]
+    docs = H.documents(spark, list(enumerate(texts)))
+    models = secret_scan.train(docs)
+    ratio = plain_training([t or "" for t in texts])
+    n = 0
+    for row in secret_scan.scan(docs.repartition(3), ["doc_id"], models, threshold=0.8).collect():
+        spans = [(s.start, s.end) for s in row.secrets if s.kind == "model"]
+        assert spans == plain_model_spans(texts[row.doc_id] or "", ratio, 0.8)
+        n += len(spans)
+    assert n >= 4
+    out = {r.doc_id: r.text for r in secret_scan.redact(docs, models, threshold=0.8).collect()}
+    assert "Zx81QpLm" not in out[30] and "qZ8xK2mLw9Tr4VbN1" not in out[31] and "internationalization" in out[31]
+
+
 def test_redaction_keeps_all_else(spark):
     docs = H.documents(spark, SECRETS)
     out = secret_scan.redact(docs, secret_scan.train(docs)).collect()
@@ -129,6 +178,37 @@ def test_languages_held_out(spark, base):
     assert all(r.ambiguous is False for r in rows if r.score > 0.9)
 
 
+def plain_decoder(model, text):
+    """Language and score of a text, 3-gram by 3-gram and bit by bit."""
+    if not re.search(r"[^\W\d_]", text):
+        return "und", 0.0
+    raw = [b if b >= 128 or ord("a") <= b <= ord("z") else 32 for b in f" {text.lower()} ".encode()]
+    grams = []
+    for a, b, c in zip(raw, raw[1:], raw[2:]):
+        if b != 32:
+            h = ((a * 0x9E3779B1 + b * 0x85EBCA6B + c * 0xC2B2AE35) % 2**32) >> 7
+            grams.append((h ^ (h >> 12)) % 4096)
+    losses = []
+    for code in model.codes:
+        loss = 0.0
+        for bit, sign in enumerate(code):
+            margin = sum(float(model.weights[g, bit]) for g in grams) / max(len(grams), 1)
+            loss += model.reliability[bit] * math.log1p(math.exp(-margin * sign))
+        losses.append(loss)
+    best = min(range(len(losses)), key=losses.__getitem__)
+    return model.languages[best], 1 / sum(math.exp(losses[best] - x) for x in losses)
+
+
+def test_decoding_equals_a_plain_decoder(spark, base):
+    docs = table(spark, base, "documents").limit(60)
+    model = language_codes.train(docs)
+    texts = {r.doc_id: (r.text or "")[:400] for r in docs.collect()} | {-1: "", -2: "12 .", -3: "Ä", -4: "zz qq"}
+    frame = H.documents(spark, list(texts.items()))
+    for row in language_codes.identify(frame, ["doc_id"], model).collect():
+        lang, score = plain_decoder(model, texts[row.doc_id])
+        assert row.lang_pred == lang and row.score == pytest.approx(score, abs=1e-4)
+
+
 def test_language_odd_rows(spark):
     docs = spark.createDataFrame([(1, "the cat and the dog", "en"), (2, "der hund und die katze", "de"), (3, "der der der", None), (4, None, "de"), (5, "", None), (6, "12 ... 34", None), (6, "12 ... 34", None), (7, "the " * 400_000, None)], "doc_id long, text string, lang string")
     model = language_codes.train(docs)

@@ -2,20 +2,24 @@
 
 import gzip
 import hashlib
+import os
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tallyforge.llm import chat_template as T
-from tallyforge.llm import harmonic, queries, subspace_join, token_counts, warc, word_bpe
+from tallyforge.llm import harmonic, queries, signature_tree, subspace_join, token_counts, warc, word_bpe
 from tallyforge.llm.frames import table
+from tallyforge.session import shared_root
 from tests.llm import helpers as H
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -279,8 +283,44 @@ def test_pipeline(spark, base):
     assert check_packing(corpus_pipeline.run(spark, base).collect(), last) > 0.95
 
 
-def test_repeated_rows_stay_once(spark, base):
+def test_near_copies_lose_no_text(spark, base):
+    r = random.Random(2)
+    a, b, c, d = (" ".join(f"{x}{r.randrange(10**6)}" for _ in range(50)) for x in "abcd")
+    docs = H.documents(spark, [(1, a), (2, a), (2, b), (3, b + " tail"), (4, c), (4, d)])
+    kept = corpus_pipeline.drop_near_copies(spark, docs.repartition(3), base)
+    assert kept.columns == docs.columns and sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, a), (2, b), (4, c), (4, d)]
+
+
+def test_near_copies_of_odd_rows(spark, base):
     text = " ".join(f"w{i}" for i in range(50))
-    docs = H.documents(spark, [(1, text), (1, text), (2, text + " x"), (3, "other words"), (None, text)])
+    docs = H.documents(spark, [(1, text), (1, text), (2, text + " x"), (3, "other words"), (None, text), (None, "alone"), (5, ""), (5, ""), (6, None)])
+    docs = docs.withColumn("_row", F.lit(7)).withColumn("node", F.lit("x"))
     kept = corpus_pipeline.drop_near_copies(spark, docs, base)
-    assert kept.columns == docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3]
+    assert kept.columns == docs.columns
+    assert sorted((str(r.doc_id), str(r.text), r._row) for r in kept.collect()) == sorted([("1", text, 7), ("3", "other words", 7), ("None", "alone", 7), ("5", "", 7), ("5", "", 7), ("6", "None", 7)])
+    assert corpus_pipeline.drop_near_copies(spark, docs.limit(0), base).count() == 0
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path, base):
+    for name in ("documents", "benchmark"):
+        table(spark, base, name).limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_steps_are_removed(spark):
+    before = set(os.listdir(f"{shared_root(spark)}/tallyforge-llm"))
+    text = " ".join(f"w{i}" for i in range(50))
+    found = signature_tree.near_duplicates(H.documents(spark, [(1, text), (2, text + " x"), (3, "other words")]))
+    left = set(os.listdir(f"{shared_root(spark)}/tallyforge-llm")) - before
+    assert sorted(n.rsplit("-", 1)[0] for n in left) == ["members", "roots"] and found.count() == 3
+
+
+def test_token_table_is_a_bounded_sample(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "SAMPLE_TEXTS", 3)
+    docs = H.documents(spark, [(i, f"common w{i}") for i in range(300)] + [(None, "hot key")] * 100).repartition(4)
+    words = token_counts.frequent_pretokens(docs, PATH, ["doc_id"])
+    assert len(words) <= 2 * 3 * 3
+    found = token_counts.count_tokens(docs, PATH, ["doc_id"]).collect()
+    assert Counter((r.doc_id, r.n_tokens) for r in found) == Counter((r.doc_id, len(ids(r.text))) for r in docs.collect())
+    plan = token_counts.count_tokens(docs, PATH, ["doc_id"])._jdf.queryExecution().toString()
+    assert "Exchange hash" not in plan

@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyforge.llm import decontaminate, harmonic, language_codes, secret_scan, signature_tree
 from tallyforge.llm.frames import stored, table
@@ -20,19 +19,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of linked ones, once if its row is repeated.
-
-    Rows without an id stand alone and stay.
-    """
-    found = stored(signature_tree.near_duplicates(docs).where("doc_id is not null"), "components")
-    others = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
-    repeated = stored(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    kept = docs.join(signature_tree.small(others), "doc_id", "left_anti").select(docs.columns)
-    if repeated.isEmpty():
-        return kept
-    repeated = signature_tree.small(repeated)
-    once = kept.join(repeated, "doc_id", "left_semi").select(docs.columns).groupBy("doc_id").agg(F.min(F.struct(docs.columns)).alias("row")).select("row.*")
-    return kept.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(once)
+    """Keeps of each group of linked texts the document with the smallest id; rows of one id are told apart by their text."""
+    return signature_tree.drop_near_copies(docs)
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,15 +8,18 @@ sorts or gathers a whole chain.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallyforge.functions.normal import inverse_normal_sql
 from tallyforge.operators.joins import attach
-from tallyforge.operators.order_stats import exact_quantiles
+from tallyforge.operators.order_stats import average_ranks, exact_quantiles
+from tallyforge.session import remove_path, written
 
 #: Quantiles of the printed summary.
 SUMMARY_QUANTILES = {"q2_5": 0.025, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q97_5": 0.975}
@@ -54,104 +57,139 @@ def draws_summary(draws: DataFrame) -> DataFrame:
     return attach(basic, exact_quantiles(draws, "value", SUMMARY_QUANTILES, ("param",)), ("param",), "left")
 
 
-def split_rhat(draws: DataFrame) -> DataFrame:
-    """Split R-hat per parameter: every chain is halved, an odd last iteration is dropped."""
+def _halves(draws: DataFrame) -> DataFrame:
+    """Draws with ``half``: every chain is halved, an odd last iteration is dropped."""
     chains = _chains(draws).select(*CHAIN, "_first", F.floor((F.col("_last") - F.col("_first") + 1) / 2).alias("_half"))
     placed = attach(draws, chains.where("_half > 0"), CHAIN)
     half = F.floor((F.col("iter") - F.col("_first")) / F.col("_half"))
-    halves = (
-        placed.select(*CHAIN, half.alias("half"), "value")
-        .where(F.col("half") < 2)
-        .groupBy(*CHAIN, "half")
-        .agg(F.count("value").alias("n"), F.avg("value").alias("m"), F.var_samp("value").alias("v"))
-    )
+    return placed.select(*CHAIN, half.alias("half"), "value").where(F.col("half") < 2)
+
+
+def _rhat(halves: DataFrame, name: str = "rhat") -> DataFrame:
+    """R-hat per parameter of ``(param, chain, half, n, m, v)``: numbers, means and variances of the halves."""
     n = F.avg("n")
     within, between = F.avg("v"), F.var_samp("m")
-    return halves.groupBy("param").agg(F.sqrt(F.try_divide((n - 1) / n * within + between, within)).alias("rhat"))
+    return halves.groupBy("param").agg(F.sqrt(F.try_divide((n - 1) / n * within + between, within)).alias(name))
+
+
+def split_rhat(draws: DataFrame) -> DataFrame:
+    """Split R-hat per parameter: every chain is halved, an odd last iteration is dropped."""
+    known = F.count("value").alias("n"), F.avg("value").alias("m"), F.var_samp("value").alias("v")
+    return _rhat(_halves(draws).groupBy(*CHAIN, "half").agg(*known))
 
 
-def _lag_sums(max_lag: int, block: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Per block of one chain: the sum of ``x[i] * x[i + lag]`` for every lag, ``i`` over the block's own draws.
+def rank_rhat(draws: DataFrame) -> DataFrame:
+    """``param, rhat_bulk, rhat_tail, rhat``: split R-hat of rank-normalised draws, and of their distances from the median.
+
+    Draws are replaced by the normal quantiles of their average ranks among all draws of the parameter, so neither heavy
+    tails nor chains that differ in spread alone go unseen; ``rhat`` is the larger of both. Ranks are exact, see
+    :func:`tallyforge.operators.order_stats.average_ranks`. NULL and NaN draws count nowhere; a NULL parameter keeps its row.
+    """
+    known = draws.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    halves = _halves(known)
+    middle = exact_quantiles(halves, "value", {"_median": 0.5}, ("param",))
+    folded = attach(halves, middle, ("param",)).withColumn("value", F.abs(F.col("value") - F.col("_median"))).drop("_median")
+    found = []
+    for rows, name in ((halves, "rhat_bulk"), (folded, "rhat_tail")):
+        ranks = average_ranks(rows, "value", ("param",), ("chain", "half")).withColumn("p", (F.col("rank") - 0.375) / (F.col("n") + 0.25))
+        scores = ranks.withColumn("z", F.expr(inverse_normal_sql("p")))
+        m, z, n = F.col("m"), F.col("z"), F.sum("m")
+        sums = scores.groupBy("param", "chain", "half").agg(n.alias("n"), (F.sum(m * z) / n).alias("m"), (F.try_divide(F.sum(m * z * z) - F.sum(m * z) * F.sum(m * z) / n, n - 1)).alias("v"))
+        found.append(_rhat(sums, name))
+    both = attach(found[0], found[1], ("param",), "left")
+    return both.withColumn("rhat", F.greatest("rhat_bulk", "rhat_tail"))
+
+
+#: Draws of a block. A block meets two others at a time, whatever the lag.
+BLOCK = 8192
+
+
+def _pair_sums(block: int, low: int, high: int) -> Callable[[pa.Table], pa.Table]:
+    """For a block of a chain and the two blocks ``k`` further on: the sums of ``x[i] * x[i + lag]`` for the lags ``k * block``
+    up to, and without, ``(k + 1) * block``, ``i`` over the block's own draws; by a Fourier transform of four blocks.
 
     Draws are placed by their iteration number; a missing one adds nothing.
     """
 
-    def sums(pdf: pd.DataFrame) -> pd.DataFrame:
-        start = int(pdf["_block"].iloc[0]) * block
-        x = np.bincount((pdf["_at"] - start).to_numpy(int), weights=pdf["_x"].to_numpy(float), minlength=block + max_lag)
-        products = [float(x[:block] @ x[t : t + block]) for t in range(max_lag + 1)]
-        return pd.DataFrame(
-            {"param": pdf["param"].iloc[0], "chain": pdf["chain"].iloc[0], "_n": pdf["_n"].iloc[0], "_mean": pdf["_mean"].iloc[0],
-             "lag": np.arange(max_lag + 1, dtype=np.int32), "s": products}
-        )
+    def sums(table: pa.Table) -> pa.Table:
+        k = table.column("_k")[0].as_py()
+        role, at, x = (table.column(c).to_numpy() for c in ("_role", "_at", "_x"))
+        own = np.bincount(at[role == 0], weights=x[role == 0], minlength=block)
+        others = np.zeros(2 * block)
+        for r in (1, 2):
+            others[(r - 1) * block : r * block] = np.bincount(at[role == r], weights=x[role == r], minlength=block)
+        if k == 0:
+            others[:block] = own
+        size = 4 * block
+        products = np.fft.irfft(np.conj(np.fft.rfft(own, size)) * np.fft.rfft(others, size), size)[:block]
+        lags = k * block + np.arange(block)
+        wanted = (lags >= low) & (lags < min(high, table.column("_n")[0].as_py()))
+        again = pa.array(np.zeros(int(wanted.sum()), np.int64))
+        columns = [table.column(c).take(again) for c in ("param", "chain", "_n", "_mean")]
+        return pa.table([*columns, pa.array(lags[wanted]), pa.array(products[wanted])], names=["param", "chain", "_n", "_mean", "lag", "s"])
 
     return sums
 
 
-def autocovariances(draws: DataFrame, max_lag: int, block: int = 8192) -> DataFrame:
-    """Autocovariance per chain at lags 0..max_lag: ``param, chain, _n, _mean, lag, acov``.
+def autocovariances(draws: DataFrame, high: int, low: int = 0, block: int = BLOCK) -> DataFrame:
+    """Autocovariance per chain at the lags from ``low`` up to, and without, ``high`` that are shorter than the chain:
+    ``param, chain, _n, _mean, lag, acov``.
 
-    Chains are cut into blocks of consecutive iterations. The first ``max_lag`` draws of a block are
-    also sent to the block before it, so every product of two draws is formed in exactly one block, a
-    task holds at most ``block + max_lag`` draws at a time, and a chain of any length is spread over
-    many tasks.
+    Chains are cut into blocks of consecutive iterations. For the lags of ``k`` blocks each block meets the two blocks ``k``
+    and ``k + 1`` further on, so every product of two draws is formed once, a task holds three blocks whatever the lag,
+    and a chain of any length is spread over many tasks.
     """
-    block = max(block, max_lag)
-    chains = _chains(draws).select(*CHAIN, "_first", "_n", "_mean")
+    chains = _chains(draws).select(*CHAIN, "_first", F.floor((F.col("_last") - F.col("_first")) / block).alias("_end"), "_n", "_mean")
     at = F.col("iter") - F.col("_first")
-    own = F.floor(at / block)
-    copies = F.when((at % block < max_lag) & (own > 0), F.array(own, own - 1)).otherwise(F.array(own))
+    own, first, last = F.floor(at / block), low // block, (high - 1) // block
+    entry = lambda j, k, role: F.struct(j.cast("long").alias("j"), k.cast("long").alias("k"), F.lit(role).alias("role"))
+    roles = F.flatten(F.transform(F.sequence(F.lit(first), F.lit(last)), lambda k: F.array(entry(own, k, 0), entry(own - k, k, 1), entry(own - k - 1, k, 2))))
+    meets = lambda e: (e["j"] >= 0) & (e["j"] + e["k"] <= F.col("_end")) & ((e["k"] > 0) | (e["role"] != 1))
     placed = attach(draws, chains, CHAIN).select(
-        *CHAIN, "_n", "_mean", at.alias("_at"), (F.col("value") - F.col("_mean")).alias("_x"), F.explode(copies).alias("_block")
-    )
+        *CHAIN, "_n", "_mean", (at % block).alias("_at"), (F.col("value") - F.col("_mean")).alias("_x"), F.explode(F.filter(roles, meets)).alias("_e")
+    ).select(*CHAIN, "_n", "_mean", "_at", "_x", F.col("_e.j").alias("_j"), F.col("_e.k").alias("_k"), F.col("_e.role").alias("_role"))
     types = {f.name: f.dataType.simpleString() for f in draws.schema.fields}
-    schema = f"param {types['param']}, chain {types['chain']}, _n bigint, _mean double, lag int, s double"
-    sums = placed.groupBy(*CHAIN, "_block").applyInPandas(_lag_sums(max_lag, block), schema)
+    schema = f"param {types['param']}, chain {types['chain']}, _n bigint, _mean double, lag bigint, s double"
+    sums = placed.groupBy(*CHAIN, "_j", "_k").applyInArrow(_pair_sums(block, low, high), schema)
     return sums.groupBy(*CHAIN, "_n", "_mean", "lag").agg((F.sum("s") / F.first("_n")).alias("acov"))
 
 
-def _effective(draws: DataFrame, max_lag: int, block: int) -> DataFrame:
-    """``param, ess, open``: the size from lags up to ``max_lag``, and whether no pair of them was negative."""
-    per_lag = autocovariances(draws, max_lag, block).groupBy("param", "lag").agg(
-        F.avg("acov").alias("acov"),
-        F.avg("_n").alias("n"),
-        F.sum("_n").alias("total"),
-        F.max("_n").alias("longest"),
-        F.avg(F.try_divide(F.col("acov") * F.col("_n"), F.col("_n") - 1)).alias("w"),
-        F.coalesce(F.var_samp("_mean"), F.lit(0.0)).alias("b"),
-    )
-    # At most ``max_lag + 1`` values per parameter, in order of their lag.
-    lags = per_lag.groupBy("param").agg(F.sort_array(F.collect_list(F.struct("lag", "acov", "n", "total", "longest", "w", "b"))).alias("l"))
-    zero = F.col("l")[0]
-    v = (zero["n"] - 1) / zero["n"] * zero["w"] + zero["b"]
-    rho = lambda x: F.when(x["lag"] == 0, F.lit(1.0)).otherwise(1.0 - F.try_divide(F.col("_w") - x["acov"], F.col("_v")))
-    known = lags.select("param", zero["w"].alias("_w"), v.alias("_v"), zero["total"].alias("total"), zero["longest"].alias("longest"), "l")
-    known = known.withColumn("_rho", F.transform("l", rho))
-    pairs = F.transform(F.sequence(F.lit(0), F.lit((max_lag + 1) // 2 - 1)), lambda i: F.when(2 * i + 1 < F.col("longest"), F.get("_rho", 2 * i) + F.get("_rho", 2 * i + 1)))
-    start = F.struct(F.lit(0.0).alias("s"), F.lit(True).alias("open"))
-    step = lambda acc, r: F.struct((acc["s"] + F.when(acc["open"] & (r >= 0), r).otherwise(0.0)).alias("s"), (acc["open"] & (r >= 0)).alias("open"))
-    done = known.select("param", "total", "longest", F.aggregate(F.transform(pairs, lambda r: F.coalesce(r, F.lit(-1.0))), start, step).alias("a"))
-    return done.select("param", F.try_divide("total", 2.0 * F.col("a.s") - 1.0).alias("ess"), (F.col("a.open") & (F.col("longest") > max_lag)).alias("open"))
-
-
-def effective_size(draws: DataFrame, max_lag: int = 63, block: int = 8192) -> DataFrame:
-    """Effective sample size per parameter.
+def effective_size(draws: DataFrame, first: int = 64, block: int = BLOCK) -> DataFrame:
+    """Effective sample size per parameter; a NULL parameter keeps its row.
 
     Autocorrelations pooled over chains are summed in pairs of lags up to, and without, the first pair that is
-    negative. ``max_lag`` is where the search begins: parameters without a negative pair up to there are looked at
-    again with four times as many lags, until each has one or its lags reach the length of its chains. Each round but
-    the last one is a job that asks only for the parameters that are left.
+    negative. The search goes through ranges of lags, each four times as long as all before: only the parameters that had
+    no negative pair so far are looked at again, only at the new lags, until each has one or its chains end. Each range
+    is a job that leaves one row per parameter; its lags are written and removed again.
     """
-    draws = draws.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    done, left = None, draws
+    left = draws.where(F.col("value").isNotNull() & ~F.isnan("value")).select("param", "chain", "iter", "value")
+    low, high, base, state, done = 0, first, None, None, []
     while True:
-        found = _effective(left, max_lag, block)
-        open_ones = [r["param"] for r in found.where("open").select("param").collect()]  # one value per parameter
-        closed = found.where("not open").select("param", "ess")
-        done = closed if done is None else done.unionByName(closed)
-        if not open_ones:
-            return done
-        left, max_lag = left.where(F.col("param").isin(open_ones)), 4 * max_lag + 3
+        lags = written(autocovariances(left, high, low, block), "lags")
+        if base is None:
+            zero = lags.where("lag = 0").groupBy("param").agg(
+                F.avg("_n").alias("n"), F.sum("_n").alias("total"), F.max("_n").alias("longest"),
+                F.avg(F.try_divide(F.col("acov") * F.col("_n"), F.col("_n") - 1)).alias("w"), F.coalesce(F.var_samp("_mean"), F.lit(0.0)).alias("b"),
+            )
+            base = written(zero.select("param", "total", "longest", "w", ((F.col("n") - 1) / F.col("n") * F.col("w") + F.col("b")).alias("v")), "chains")
+        pooled = attach(lags.groupBy("param", "lag").agg(F.avg("acov").alias("acov")), base, ("param",))
+        rho = F.when(F.col("lag") == 0, F.lit(1.0)).otherwise(1.0 - F.try_divide(F.col("w") - F.col("acov"), F.col("v")))
+        pairs = pooled.groupBy("param", F.floor(F.col("lag") / 2).alias("pair")).agg(F.sum(F.coalesce(rho, F.lit(-1.0))).alias("r"), F.count(F.lit(1)).alias("c")).where("c = 2")
+        stops = pairs.groupBy("param").agg(F.min(F.when(F.col("r") < 0, F.col("pair"))).alias("stop"))
+        kept = attach(pairs, stops, ("param",)).where("stop is null or pair < stop").groupBy("param").agg(F.sum("r").alias("s"))
+        found = attach(attach(attach(left.select("param").distinct(), base, ("param",)), stops, ("param",), "left"), kept, ("param",), "left")
+        if state is not None:
+            found = attach(found, state.select("param", F.col("s").alias("_s")), ("param",), "left")
+        total = F.coalesce("s", F.lit(0.0)) + (F.lit(0.0) if state is None else F.coalesce("_s", F.lit(0.0)))
+        state = written(found.select("param", "total", total.alias("s"), (F.col("stop").isNull() & (F.col("longest") > high)).alias("open")), "sizes")
+        remove_path(draws.sparkSession, lags.tallyforge_path)
+        done.append(state.where("not open").select("param", F.try_divide("total", 2.0 * F.col("s") - 1.0).alias("ess")))
+        going = state.where("open").select("param")
+        if going.isEmpty():
+            remove_path(draws.sparkSession, base.tallyforge_path)
+            return reduce(lambda a, b: a.unionByName(b), done)
+        left = attach(left, going, ("param",))
+        low, high = high, 4 * high
 
 
 def waic(loglik: DataFrame, width: float = 50.0) -> DataFrame:

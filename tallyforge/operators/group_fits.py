@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallyforge.functions.columns import as_label
 from tallyforge.operators.moments import moments, stack
@@ -58,6 +62,48 @@ def task_map(df: DataFrame, task: Callable[[pd.DataFrame], pd.DataFrame], schema
     return df.mapInPandas(run, schema)
 
 
+def group_stream(
+    df: DataFrame, key: str, start: Callable[[Any], Any], step: Callable[[Any, pa.RecordBatch], Any], finish: Callable[[Any, Any], dict], schema: str,
+    batch: int = 10_000, order: tuple[str, ...] = (),
+) -> DataFrame:
+    """One task per group whose rows stream past in batches, with a state that is carried from one to the next.
+
+    ``start(key)`` makes the state, ``step(state, rows)`` returns the next one for at most ``batch`` rows of the group, by ``order``
+    if it is given, and ``finish(key, state)`` a row of the result. A task holds a batch and one state at a time, so a group of any size is
+    bounded in memory; a null key is a group. Groups share tasks; the rows of a key pass through one.
+    """
+    keys = F.col(f"`{key}`")
+    dealt = df.repartition(keys).sortWithinPartitions(keys, *order)
+    at = df.columns.index(key)
+    out = df.sparkSession.createDataFrame([], schema).schema
+    arrow = to_arrow_schema(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, state, rows = None, None, []
+        for whole in batches:
+            codes = pc.dictionary_encode(whole.column(at), null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            edges = np.r_[0, np.flatnonzero(codes[1:] != codes[:-1]) + 1, len(codes)]
+            for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                if low == high:
+                    continue
+                value = whole.column(at)[low].as_py()
+                if now is None or now[0] != value:
+                    if now is not None:
+                        rows.append(finish(now[0], state))
+                    now, state = (value,), start(value)
+                for i in range(low, high, batch):
+                    state = step(state, whole.slice(i, min(batch, high - i)))
+                if len(rows) >= batch:
+                    yield pa.RecordBatch.from_pylist(rows, arrow)
+                    rows = []
+        if now is not None:
+            rows.append(finish(now[0], state))
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, arrow)
+
+    return dealt.mapInArrow(run, out)
+
+
 def linear_scorer(intercept: float, coefficients: tuple[float, ...]) -> Callable[..., Column]:
     """A scoring function that carries its fitted numbers; takes one column per coefficient."""
 

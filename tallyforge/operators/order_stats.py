@@ -122,6 +122,27 @@ def values_at_ranks(
     )
 
 
+def average_ranks(
+    df: DataFrame, value: str, by: tuple[str, ...], also: tuple[str, ...] = (), parts: int = 8, accuracy: int = ACCURACY
+) -> DataFrame:
+    """Average 1-based ranks within the groups ``by``: rows ``(*by, *also, value, m, rank, n)``, ``m`` equal rows each.
+
+    Rows are merged by value (and ``also``) before the shuffle. A group is cut at about ``parts`` of its quantiles, each part again
+    into equal steps; counts per step tell where it begins, so a group that holds most rows is sorted by many tasks and a
+    value that holds most rows is one row. NULL and NaN are left out.
+    """
+    x = F.col(value)
+    kept = df.where(x.isNotNull() & ~F.isnan(x.cast("double"))).select(*by, *also, value)
+    cut = _in_segments(kept, value, [i / parts for i in range(1, parts)], by, accuracy)
+    cells = cut.groupBy(*by, *also, "_b", value).agg(F.count(F.lit(1)).alias("m"))
+    upto = F.sum("m").over(Window.partitionBy(*by, "_b").orderBy(value).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    same = F.sum("m").over(Window.partitionBy(*by, "_b", value))
+    ranked = cells.withColumn("_rank", upto - same + (same + 1) / 2.0)
+    spans = segment_spans(cut, by).select(*by, "_b", "_start", F.col("_n").alias("n"))
+    placed = attach(ranked, spans, (*by, "_b"))
+    return placed.select(*by, *also, value, "m", (F.col("_start") + F.col("_rank")).alias("rank"), "n")
+
+
 def exact_quantiles(
     df: DataFrame, value: str, probabilities: dict[str, float], by: tuple[str, ...] = (), accuracy: int = ACCURACY
 ) -> DataFrame:

@@ -6,13 +6,19 @@ Given tau everything is closed form, so the posterior is a sum over a grid of ta
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: Groups summed at a time.
+BATCH = 8_192
+
+
 def _grid(tau_max: float, points: int) -> Column:
     step = tau_max / points
     return F.transform(F.sequence(F.lit(1), F.lit(points)), lambda i: (i - 0.5) * F.lit(step))
@@ -57,24 +63,27 @@ def check_grid(posterior: DataFrame, most: float = 1e-3) -> None:
 def pooled_effects(groups: DataFrame, posterior: DataFrame) -> DataFrame:
     """Posterior mean and sd of every group effect: ``id, y, sigma, theta_mean, theta_sd``.
 
-    The posterior has one row per grid value and travels as one array; each group's sums over it are taken where its row
-    lies, without a shuffle.
+    The posterior has one row per grid value, a number the caller has fixed, and travels with the tasks; each group's sums
+    over it are taken where its row lies, many groups at once and without a shuffle.
     """
-    cells = posterior.select(F.struct("tau", "m", "v", "p").alias("g")).agg(F.collect_list("g").alias("gs")).scalar()
-    t2, s2 = (lambda g: g["tau"] * g["tau"]), F.col("sigma") * F.col("sigma")
-
-    def add(acc: Column, g: Column) -> Column:
-        keep = t2(g) / (t2(g) + s2)
-        e = keep * (F.col("y") - g["m"]) + g["m"] - F.col("y")
-        within = keep * s2 + (1.0 - keep) * (1.0 - keep) * g["v"]
-        return F.struct((acc["e1"] + g["p"] * e).alias("e1"), (acc["e2"] + g["p"] * (within + e * e)).alias("e2"))
-
-    zero = F.struct(F.lit(0.0).alias("e1"), F.lit(0.0).alias("e2"))
-    # One small array, the same beside every row: a subquery that runs once.
-    sums = groups.select("id", "y", "sigma", cells.alias("gs")).select("id", "y", "sigma", F.aggregate("gs", zero, add).alias("s"))
-    return sums.select(
-        "id", "y", "sigma", (F.col("y") + F.col("s.e1")).alias("theta_mean"), F.sqrt(F.col("s.e2") - F.col("s.e1") * F.col("s.e1")).alias("theta_sd")
-    )
+    tau2, m, v, p = np.array([(r["tau"] ** 2, r["m"], r["v"], r["p"]) for r in posterior.select("tau", "m", "v", "p").collect()], float).reshape(-1, 4).T
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH):
+                batch = whole.slice(at, BATCH)
+                y, sigma = (batch.column(i).cast(pa.float64()).to_numpy(zero_copy_only=False)[:, None] for i in (1, 2))
+                keep = tau2 / (tau2 + sigma * sigma)
+                e = keep * (y - m) + m - y
+                within = keep * sigma * sigma + (1.0 - keep) ** 2 * v
+                first, second = (p * e).sum(axis=1), (p * (within + e * e)).sum(axis=1)
+                mean, sd = y[:, 0] + first, np.sqrt(second - first * first)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(mean, mask=np.isnan(mean)), pa.array(sd, mask=np.isnan(sd))], names)
+
+    kind = groups.schema["id"].dataType.simpleString()
+    names = ["id", "y", "sigma", "theta_mean", "theta_sd"]
+    rows = groups.select("id", F.col("y").cast("double").alias("y"), F.col("sigma").cast("double").alias("sigma"))
+    return rows.mapInArrow(add, f"id {kind}, y double, sigma double, theta_mean double, theta_sd double")
 
 
 def pooled_hyper(posterior: DataFrame) -> DataFrame:

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import datetime
+import hashlib
+import os
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -23,12 +27,7 @@ def log_run(
     artifact_uri: str | None = None,
 ) -> None:
     """Append parameters, metrics and the artifact address of one run; absent values are skipped."""
-    now = datetime.datetime.now()
-    items = [("param", k, v) for k, v in (params or {}).items()]
-    items += [("metric", k, v) for k, v in (metrics or {}).items()]
-    items += [("artifact", "uri", artifact_uri)]
-    rows = [(run_id, kind, k, str(v), now) for kind, k, v in items if v is not None]
-    spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    log_runs(spark, path, [(run_id, params or {}, metrics or {}, artifact_uri)])
 
 
 def append_rows(rows: DataFrame, path: str) -> None:
@@ -88,16 +87,58 @@ def next_versions(registry: DataFrame, candidates: DataFrame) -> DataFrame:
     return candidates.join(last, "name", "left").select("name", version, "run_id", "uri")
 
 
+def claim(spark: SparkSession, path: str) -> bool:
+    """Creates an empty file that did not exist; False when it did. Only one of several writers gets True."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(where.getParent())
+    if system.getUri().getScheme() == "file":  # Spark's local file system looks first and creates then
+        try:
+            os.close(os.open(where.toUri().getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+        except FileExistsError:
+            return False
+        return True
+    try:
+        system.create(where, False).close()
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName() or system.exists(where):
+            return False
+        raise
+    return True
+
+
 def register_version(spark: SparkSession, path: str, name: str, run_id: str, uri: str) -> int:
-    """Append the next version of a model to the version table; one writer at a time."""
+    """Append the next version of a model to the version table; any number of writers at a time.
+
+    A writer claims the version after the last one known by creating its file, and tries the next one if another writer has it
+    already. Each version is a file of its own, so writers do not meet in the table either.
+    """
     try:
-        known = spark.read.schema(VERSION_SCHEMA).parquet(path)
-    except Exception as e:  # the first version creates the table
+        known = spark.read.schema(VERSION_SCHEMA).option("recursiveFileLookup", True).parquet(path)
+        last = known.where(F.col("name") == name).agg(F.max("version").alias("v")).first()["v"]
+    except AnalysisException as e:  # the first version creates the table
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        known = spark.createDataFrame([], VERSION_SCHEMA)
-    last = known.where(F.col("name") == name).agg(F.max("version").alias("v")).first()["v"]
+        last = None
     version = (last or 0) + 1
+    mark = hashlib.sha256(name.encode()).hexdigest()
+    while not claim(spark, f"{path}/_claims/{mark}/{version}"):
+        version += 1
     row = spark.createDataFrame([(name, version, run_id, uri)], VERSION_SCHEMA)
-    row.coalesce(1).write.mode("append").parquet(path)
+    row.coalesce(1).write.parquet(f"{path}/{mark}-{version}")
     return version
+
+
+def versions(spark: SparkSession, path: str) -> DataFrame:
+    """The version table."""
+    return spark.read.schema(VERSION_SCHEMA).option("recursiveFileLookup", True).parquet(path)
+
+
+def log_runs(spark: SparkSession, path: str, found: list[tuple[str, dict, dict, str | None]]) -> None:
+    """Append several runs ``(run_id, params, metrics, artifact_uri)`` in one write."""
+    now = datetime.datetime.now()
+    rows = []
+    for run_id, params, metrics, uri in found:
+        items = [("param", k, v) for k, v in params.items()] + [("metric", k, v) for k, v in metrics.items()] + [("artifact", "uri", uri)]
+        rows += [(run_id, kind, k, str(v), now) for kind, k, v in items if v is not None]
+    spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(path)

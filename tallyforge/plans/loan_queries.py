@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from tallyforge.functions import columns as C
 from tallyforge.functions.frames import rounded
 from tallyforge.functions.text import json_row
-from tallyforge.operators import dashboard, filters, joins
+from tallyforge.operators import dashboard, filters, joins, rollup
 from tallyforge.operators.filters import Selection, filter_multiselect, loan_base
 from tallyforge.plans.registry import query
+from tallyforge.session import work_path
 from tallyforge.sources import lookups, tables, views
 
 REGION_SQL = """CASE WHEN substr(zip_code,1,1) IN ('8','9') THEN 'West' WHEN substr(zip_code,1,1) IN ('4','5','6') THEN 'Midwest'
@@ -349,3 +350,36 @@ def src_local(spark, base):
         " LEFT JOIN (SELECT purpose, count(*) AS n FROM {loans} GROUP BY purpose) c ON c.purpose = t.purpose",
         loans=views.loans(spark, base),
     )
+
+
+# The same figures from a rollup
+
+
+def rolled_up(spark, base) -> rollup.Rollup:
+    """A rollup of the loans, refreshed in two batches, the second of them twice."""
+    path, loans = work_path(spark, "rollup"), views.loans(spark, base)
+    odd = F.col("member_id") % 2 == 1
+    for batch, rows in (("first", loans.where(~odd)), ("second", loans.where(odd)), ("second", loans.where(odd))):
+        rollup.append_batch(rows, path, batch)
+    return rollup.Rollup(spark, path, views.office_lookup(spark, base))
+
+
+@query("rollup_principal", "SELECT region, grade, sum(out_prncp) AS out_prncp FROM base GROUP BY region, grade", ("base",))
+def rollup_principal(spark, base):
+    return rolled_up(spark, base).principal(None)
+
+
+@query("rollup_risk_share", RISK_SQL, ("picked",))
+def rollup_risk_share(spark, base):
+    return rolled_up(spark, base).risk_share().withColumn("prncp_per_risk", F.round("prncp_per_risk", 6))
+
+
+@query(
+    "rollup_key_figures",
+    """SELECT count(*) AS loans, round(avg(try_cast(replace(int_rate,'%','') AS DOUBLE)), 6) AS avg_rate,
+  round(avg(CASE term WHEN ' 36 months' THEN 36 WHEN ' 60 months' THEN 60 END)/12, 6) AS avg_years,
+  median(try_cast(loan_amnt AS DOUBLE)) AS median_amt FROM picked WHERE region = 'West' AND purpose IN ('car','house')""",
+    ("picked",),
+)
+def rollup_key_figures(spark, base):
+    return rounded(rolled_up(spark, base).key_figures(Selection(regions=("West",), purposes=("car", "house"))), 6, "avg_rate", "avg_years")

@@ -5,18 +5,20 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions import columns as C
 from tallyforge.functions.frames import rounded
+from tallyforge.functions.normal import inverse_normal_sql
 from tallyforge.functions.text import join_rows
 from tallyforge.operators import boosted, draws, features, grids, group_fits, joins, lambda_path, models, pooling, runs, sampling, survival
 from tallyforge.operators.filters import filter_metric, row_slice
 from tallyforge.operators.metrics import binary_metrics, regression_metrics
 from tallyforge.plans.registry import query
-from tallyforge.session import work_path
+from tallyforge.session import remove_path, work_path, written
 from tallyforge.sources import files, lookups, tables, views
 
 WINE, BREAST = views.WINE, views.BREAST
@@ -103,43 +105,127 @@ def wine_split(spark, base) -> tuple[DataFrame, DataFrame]:
     return sampling.split_exact(views.wine(spark, base), "wine_id")
 
 
-@query("fit_elastic_net")
+def net_sql(runs_wanted: tuple[tuple[float, float], ...], sweeps: int = 60) -> str:
+    """SQL of the elastic-net fits: the split, the moments of the training rows, coordinate descent over the coefficients one
+    after the other, and ``scored``, every wine row with its prediction by each run."""
+    p = len(WINE)
+    gram = ", ".join("[" + ", ".join(f"covar_pop({a}, {b})" for b in WINE) + "]" for a in WINE)
+    known = " AND ".join(f"{c} IS NOT NULL" for c in WINE)
+    values = ", ".join(f"({i}, CAST({a} AS DOUBLE), CAST({x} AS DOUBLE))" for i, (a, x) in enumerate(runs_wanted))
+    rest = "t[k] - list_dot_product(g[k], b) + g[k][k] * b[k]"
+    soft = f"sign({rest}) * greatest(abs({rest}) - l1, 0) / (g[k][k] + l2)"
+    prediction = " + ".join(f"b[{i + 1}] * (w.{c} - m[{i + 1}])" for i, c in enumerate(WINE))
+    return f"""
+WITH RECURSIVE split AS (SELECT *, row_number() OVER (ORDER BY md5(CAST(wine_id AS STRING) || ':42'), wine_id) <= floor(0.75 * count(*) OVER ()) AS is_train FROM wine),
+mom AS (SELECT [{gram}] AS g, [{", ".join(f"covar_pop({c}, quality)" for c in WINE)}] AS t, [{", ".join(f"avg({c})" for c in WINE)}] AS m, avg(quality) AS my, stddev_pop(quality) AS sy
+  FROM split WHERE is_train AND {known}),
+wanted AS (SELECT run, alpha, lam, g, t, m, my, lam * alpha AS l1, lam * (1 - alpha) / sy AS l2 FROM (VALUES {values}) AS v(run, alpha, lam), mom),
+cd AS (SELECT run, 0 AS i, [{", ".join(["0::DOUBLE"] * p)}] AS b FROM wanted
+  UNION ALL SELECT cd.run, i + 1, list_transform(b, lambda old, place: CASE WHEN place = k THEN step ELSE old END)
+  FROM (SELECT run, i, b, k, {soft} AS step FROM (SELECT cd.run, i, b, i % {p} + 1 AS k, g, t, l1, l2 FROM cd JOIN wanted ON wanted.run = cd.run WHERE i < {p * sweeps})) cd),
+scored AS (SELECT w.*, v.run, alpha, lam, my + {prediction} AS prediction FROM split w, cd JOIN wanted v ON v.run = cd.run WHERE i = {p * sweeps}),
+held AS (SELECT run, any_value(alpha) AS alpha, any_value(lam) AS lam, sqrt(avg(pow(prediction - quality, 2))) AS rmse, avg(abs(prediction - quality)) AS mae,
+  pow(corr(prediction, quality), 2) AS r2 FROM scored WHERE NOT is_train AND prediction IS NOT NULL GROUP BY run)
+"""
+
+
+ROUNDED_METRICS = "round(rmse, 6) AS rmse, round(mae, 6) AS mae, round(r2, 6) AS r2"
+BEST_SQL = net_sql(views.WINE_RUNS) + "SELECT wine_id, round(prediction, 4) AS wine_quality_pred FROM scored WHERE run = (SELECT run FROM held ORDER BY round(r2, 9) DESC, run LIMIT 1)"
+
+
+@query("fit_elastic_net", net_sql(views.WINE_RUNS[:1]) + "SELECT wine_id, quality, round(prediction, 4) AS prediction FROM scored WHERE NOT is_train", ("wine",))
 def fit_elastic_net(spark, base):
     train, test = wine_split(spark, base)
     model = models.fit_elastic_net(train, WINE, "quality", *views.WINE_RUNS[0])
-    return models.predict(model, test).select("wine_id", "quality", "prediction")
+    return rounded(models.predict(model, test).select("wine_id", "quality", "prediction"), 4, "prediction")
 
 
-@query("predict_append")
+@query("predict_append", net_sql(views.WINE_RUNS[1:2]) + f"SELECT {ROUNDED_METRICS} FROM held", ("wine",))
 def predict_append(spark, base):
     train, test = wine_split(spark, base)
     model = models.fit_elastic_net(train, WINE, "quality", *views.WINE_RUNS[1])
-    return regression_metrics(models.predict(model, test), "prediction", "quality")
+    return rounded(regression_metrics(models.predict(model, test), "prediction", "quality"), 6, "rmse", "mae", "r2")
+
+
+CV_ALPHA, CV_FOLDS, CV_POINTS, CV_SWEEPS = 0.14, 10, 100, 15
+
+
+def cv_sql() -> str:
+    """SQL of the cross-validated curve: moments with and without each fold, coordinate descent along the falling penalties for
+    all folds side by side, and the held-out errors from the moments of the fold."""
+    p = len(WINE)
+    known = " AND ".join(f"{c} IS NOT NULL" for c in WINE)
+    cov = "[" + ", ".join("[" + ", ".join(f"covar_pop({a}, {b})" for b in (*WINE, "quality")) + "]" for a in (*WINE, "quality")) + "]"
+    mean = "[" + ", ".join(f"avg({c})" for c in (*WINE, "quality")) + "]"
+    gram = "[" + ", ".join("[" + ", ".join(f"c[{i + 1}][{j + 1}] / (s[{i + 1}] * s[{j + 1}])" for j in range(p)) + "]" for i in range(p)) + "]"
+    target = "[" + ", ".join(f"c[{i + 1}][{p + 1}] / s[{i + 1}]" for i in range(p)) + "]"
+    sds = "[" + ", ".join(f"sqrt(c[{i + 1}][{i + 1}])" for i in range(p + 1)) + "]"
+    slopes = "[" + ", ".join(f"b[{i + 1}] / s[{i + 1}]" for i in range(p)) + "]"
+    rest = "t[k] - list_dot_product(g[k], b) + g[k][k] * b[k]"
+    soft = f"sign({rest}) * greatest(abs({rest}) - lam * {CV_ALPHA}, 0) / (g[k][k] + lam * {1 - CV_ALPHA!r} / s[{p + 1}])"
+    quad = " + ".join(f"d[{i + 1}] * list_dot_product(d, hc[{i + 1}][1:{p}])" for i in range(p))
+    cross = " + ".join(f"d[{i + 1}] * hc[{i + 1}][{p + 1}]" for i in range(p))
+    shift = " - ".join([f"(hm[{p + 1}] - m[{p + 1}])", *(f"d[{i + 1}] * (hm[{i + 1}] - m[{i + 1}])" for i in range(p))])
+    key = "CAST('0x' || substr(md5(CAST(wine_id AS STRING) || ':42'), 1, 8) AS BIGINT)"
+    per = p * CV_SWEEPS
+    return f"""
+WITH RECURSIVE split AS (SELECT *, row_number() OVER (ORDER BY md5(CAST(wine_id AS STRING) || ':42'), wine_id) <= floor(0.75 * count(*) OVER ()) AS is_train FROM wine),
+used AS (SELECT *, CAST({key} % {CV_FOLDS} AS INT) AS fold FROM split WHERE is_train AND {known}),
+folds AS (SELECT fold, count(*) AS n, {cov} AS hc, {mean} AS hm FROM used GROUP BY fold),
+rest AS (SELECT *, {sds} AS s FROM (SELECT f.fold, {cov} AS c, {mean} AS m FROM used u, folds f WHERE u.fold <> f.fold GROUP BY f.fold)),
+whole AS (SELECT {cov} AS c FROM used),
+top AS (SELECT greatest({", ".join(f"abs(c[{i + 1}][{p + 1}]) / sqrt(c[{i + 1}][{i + 1}])" for i in range(p))}) / {CV_ALPHA} AS top FROM whole),
+lams AS (SELECT i, exp(ln(top) + i * ln(1e-4) / {CV_POINTS - 1}) AS lam FROM top, (SELECT unnest(range({CV_POINTS})) AS i)),
+scaled AS (SELECT fold, m, s, {gram} AS g, {target} AS t FROM rest),
+cd AS (SELECT fold, 0 AS i, [{", ".join(["0::DOUBLE"] * p)}] AS b FROM scaled
+  UNION ALL SELECT fold, i + 1, list_transform(b, lambda old, place: CASE WHEN place = k THEN step ELSE old END)
+  FROM (SELECT fold, i, b, k, {soft} AS step FROM (SELECT cd.fold, cd.i, b, cd.i % {p} + 1 AS k, g, t, s, lam FROM cd JOIN scaled ON scaled.fold = cd.fold JOIN lams ON lams.i = cd.i // {per}) x) y),
+path AS (SELECT lam, n, hc, hm, m, {slopes} AS d FROM cd JOIN scaled ON scaled.fold = cd.fold JOIN folds ON folds.fold = cd.fold JOIN lams ON lams.i = cd.i // {per} - 1 WHERE cd.i > 0 AND cd.i % {per} = 0),
+err AS (SELECT lam, n, hc[{p + 1}][{p + 1}] + pow({shift}, 2) - 2 * ({cross}) + {quad} AS mse FROM path),
+curve AS (SELECT lam, sum(n * mse) / sum(n) AS cvm, sqrt(greatest(sum(n * mse * mse) / sum(n) - pow(sum(n * mse) / sum(n), 2), 0) / (count(*) - 1)) AS cvsd FROM err GROUP BY lam)
+"""
 
 
-@query("cv_lambda_curve")
+@query("cv_lambda_curve", cv_sql() + "SELECT round(lam, 6) AS lam, round(cvm, 6) AS cvm, round(cvsd, 6) AS cvsd FROM curve", ("wine",))
 def cv_lambda_curve(spark, base):
-    return lambda_path.error_curve(
-        lambda_path.fold_errors(wine_split(spark, base)[0], WINE, "quality", "wine_id", alpha=0.14)
-    )
+    return rounded(wine_curve(spark, base), 6, "lam", "cvm", "cvsd")
+
+
+def wine_curve(spark, base) -> DataFrame:
+    errors = lambda_path.fold_errors(wine_split(spark, base)[0], WINE, "quality", "wine_id", alpha=CV_ALPHA, folds=CV_FOLDS, points=CV_POINTS)
+    return lambda_path.error_curve(errors)
 
 
-@query("cv_lambda_1se")
+@query(
+    "cv_lambda_1se",
+    cv_sql() + ", least AS (SELECT * FROM curve ORDER BY cvm, lam DESC LIMIT 1) SELECT round(any_value(l.lam), 6) AS lambda_min, round(max(c.lam), 6) AS lambda_1se"
+    " FROM curve c, least l WHERE c.cvm <= l.cvm + l.cvsd",
+    ("wine",),
+)
 def cv_lambda_1se(spark, base):
-    return lambda_path.one_se_rule(cv_lambda_curve(spark, base))
+    return rounded(lambda_path.one_se_rule(wine_curve(spark, base)), 6, "lambda_min", "lambda_1se")
 
 
 def elastic_runs(spark, base) -> tuple[str, str]:
-    """Fit, log and store the three elastic-net runs; the log path and the name of the models."""
+    """Fit, log and store the three elastic-net runs, at the same time and on one kept split; the log path and the name of the models.
+
+    Metrics are logged with nine decimals: fits that keep the same feature have the same ``r2``, and noise should not rank them.
+    """
     log, name = work_path(spark, "runs"), "wine-model"
-    train, test = wine_split(spark, base)
-    for alpha, lam in views.WINE_RUNS:
+    kept = written(sampling.mark_split(views.wine(spark, base), "wine_id"), "split")
+    train, test = kept.where("is_train").drop("is_train"), kept.where("not is_train").drop("is_train")
+    signature = tables.signature_json(train.select(*WINE))
+
+    def one(alpha: float, lam: float) -> tuple[str, dict, dict, str]:
         model = models.fit_elastic_net(train, WINE, "quality", alpha, lam)
         artifacts = work_path(spark, "artifacts")
         models.save_model(model, f"{artifacts}/{name}")
-        files.write_results(tables.signature_json(train.select(*WINE)), f"{artifacts}/signature")
-        found = models.evaluate(model, test, "quality")
-        runs.log_run(spark, log, uuid.uuid4().hex, {"alpha": alpha, "lambda": lam}, found, artifacts)
+        files.write_results(signature, f"{artifacts}/signature")
+        return f"alpha {alpha} lambda {lam}", {"alpha": alpha, "lambda": lam}, {k: round(v, 9) for k, v in models.evaluate(model, test, "quality").items()}, artifacts
+
+    found = grids.run_all(spark, {f"{a}-{x}": partial(one, a, x) for a, x in views.WINE_RUNS})
+    runs.log_runs(spark, log, list(found.values()))
+    remove_path(spark, kept.tallyforge_path)
     return log, name
 
 
@@ -147,20 +233,25 @@ def run_table(spark, log: str) -> DataFrame:
     return spark.read.schema(runs.LOG_SCHEMA).parquet(log)
 
 
-@query("grid_runs")
+@query(
+    "grid_runs",
+    net_sql(views.WINE_RUNS) + f"SELECT 'alpha ' || alpha || ' lambda ' || lam AS run_id, alpha, lam AS lambda, {ROUNDED_METRICS} FROM held ORDER BY held.r2 DESC, run_id",
+    ("wine",),
+)
 def grid_runs(spark, base):
     log, _ = elastic_runs(spark, base)
-    return runs.run_search(run_table(spark, log), ("alpha", "lambda", "rmse", "mae", "r2"), "r2")
+    return rounded(runs.run_search(run_table(spark, log), ("alpha", "lambda", "rmse", "mae", "r2"), "r2"), 6, "rmse", "mae", "r2")
 
 
-@query("score_saved")
+@query("score_saved", BEST_SQL, ("wine",))
 def score_saved(spark, base):
     log, name = elastic_runs(spark, base)
     rows = run_table(spark, log)
     best = runs.top_run(rows, ("r2",), "r2").select("run_id")
     uri = rows.where("kind = 'artifact'").join(best, "run_id").select(runs.model_uri(F.col("value"), F.lit(name)).alias("uri"))
     wine = views.wine(spark, base).drop("quality")
-    return models.score_saved(uri.first()["uri"], wine, "wine_quality_pred").select("wine_id", "wine_quality_pred")
+    scored = models.score_saved(uri.first()["uri"], wine, "wine_quality_pred").select("wine_id", "wine_quality_pred")
+    return rounded(scored, 4, "wine_quality_pred")
 
 
 def register_best(spark, base) -> str:
@@ -173,25 +264,29 @@ def register_best(spark, base) -> str:
     return versions
 
 
-@query("register_version")
+@query("register_version", "SELECT 'wine-model' AS name, CAST(1 AS BIGINT) AS version")
 def register_version(spark, base):
-    return spark.read.schema(runs.VERSION_SCHEMA).parquet(register_best(spark, base)).select("name", "version")
+    return runs.versions(spark, register_best(spark, base)).select("name", "version")
 
 
-@query("score_registered")
+@query("score_registered", BEST_SQL, ("wine",))
 def score_registered(spark, base):
     """All wine rows scored with the model of the last registered version."""
-    versions = spark.read.schema(runs.VERSION_SCHEMA).parquet(register_best(spark, base))
-    uri = versions.orderBy(F.desc("version")).first()["uri"]
-    return models.score_saved(uri, views.wine(spark, base).drop("quality"), "wine_quality_pred").select("wine_id", "wine_quality_pred")
+    uri = runs.versions(spark, register_best(spark, base)).orderBy(F.desc("version")).first()["uri"]
+    scored = models.score_saved(uri, views.wine(spark, base).drop("quality"), "wine_quality_pred").select("wine_id", "wine_quality_pred")
+    return rounded(scored, 4, "wine_quality_pred")
 
 
-@query("score_text")
+@query(
+    "score_text",
+    net_sql(views.WINE_RUNS[:1]) + "SELECT string_agg(CAST(round(prediction, 4) AS VARCHAR), ', ' ORDER BY wine_id) AS predictions FROM (SELECT * FROM scored ORDER BY wine_id LIMIT 5)",
+    ("wine",),
+)
 def score_text(spark, base):
     train, _ = wine_split(spark, base)
     model = models.fit_elastic_net(train, WINE, "quality", *views.WINE_RUNS[0])
     scored = models.predict(model, row_slice(views.wine(spark, base), "wine_id", 5))
-    return join_rows(scored, "wine_id", "prediction", "predictions")
+    return join_rows(rounded(scored, 4, "prediction"), "wine_id", "prediction", "predictions")
 
 
 @query("fit_gbt_reg")
@@ -405,6 +500,33 @@ def udf_task_map(spark, base):
     return parts.groupBy("quality").agg(F.sum("n").alias("n"), F.max("top").alias("top"))
 
 
+def _longest_rise(state: tuple, rows) -> tuple:
+    """Number of rows, the longest stretch of rising values, and where the present one stands."""
+    n, best, length, last = state
+    for value in rows.column(2).to_pylist():
+        length = length + 1 if last is not None and value > last else 1
+        n, best, last = n + 1, max(best, length), value
+    return n, best, length, last
+
+
+@query(
+    "udf_group_stream",
+    """
+WITH s AS (SELECT quality, wine_id, CASE WHEN alcohol > lag(alcohol) OVER w THEN 0 ELSE 1 END AS begins FROM wine WINDOW w AS (PARTITION BY quality ORDER BY wine_id)),
+g AS (SELECT quality, sum(begins) OVER (PARTITION BY quality ORDER BY wine_id) AS stretch FROM s)
+SELECT quality, CAST(sum(c) AS BIGINT) AS n, max(c) AS longest FROM (SELECT quality, stretch, count(*) AS c FROM g GROUP BY 1, 2) GROUP BY quality
+""",
+    ("wine",),
+)
+def udf_group_stream(spark, base):
+    """The longest stretch of rising values per group: state is carried over the batches of a group."""
+    rows = views.wine(spark, base).select("quality", "wine_id", "alcohol")
+    return group_fits.group_stream(
+        rows, "quality", lambda _: (0, 0, 0, None), _longest_rise, lambda key, s: {"quality": key, "n": s[0], "longest": s[1]}, "quality int, n bigint, longest bigint",
+        batch=500, order=("wine_id",),
+    )
+
+
 @query(
     "udf_crate",
     "SELECT wine_id, round(i + s * alcohol, 6) AS prediction FROM wine,"
@@ -482,6 +604,26 @@ def agg_rhat(spark, base):
     return rounded(draws.split_rhat(views.draws(spark, base)), 6, "rhat")
 
 
+RANK_PARTS = ", ".join(f"{name} AS (SELECT param, sqrt(((avg(n) - 1) / avg(n) * avg(v) + var_samp(m)) / avg(v)) AS {name} FROM"
+    f" (SELECT param, chain, half, count(*) AS n, avg(z) AS m, var_samp(z) AS v FROM (SELECT *, {inverse_normal_sql('p')} AS z FROM"
+    f" (SELECT *, (rank() OVER (PARTITION BY param ORDER BY {value}) + (count(*) OVER (PARTITION BY param, {value}) - 1) / 2 - 0.375) / (count(*) OVER (PARTITION BY param) + 0.25) AS p FROM split)) GROUP BY 1, 2, 3) GROUP BY param)"
+    for name, value in (("rhat_bulk", "value"), ("rhat_tail", "distance")))
+
+
+@query(
+    "agg_rank_rhat",
+    f"""
+WITH r AS (SELECT param, chain, value, row_number() OVER (PARTITION BY param, chain ORDER BY iter) - 1 AS i, count(*) OVER (PARTITION BY param, chain) // 2 AS h FROM draws),
+split AS (SELECT *, abs(value - median(value) OVER (PARTITION BY param)) AS distance FROM (SELECT param, chain, i // h AS half, value FROM r WHERE i < 2 * h)),
+{RANK_PARTS}
+SELECT param, round(rhat_bulk, 6) AS rhat_bulk, round(rhat_tail, 6) AS rhat_tail, round(greatest(rhat_bulk, rhat_tail), 6) AS rhat FROM rhat_bulk JOIN rhat_tail USING (param)
+""",
+    ("draws",),
+)
+def agg_rank_rhat(spark, base):
+    return rounded(draws.rank_rhat(views.draws(spark, base)), 6, "rhat_bulk", "rhat_tail", "rhat")
+
+
 @query(
     "agg_ess",
     """
@@ -538,7 +680,7 @@ SELECT id, round(sum(p * e), 4) AS theta_mean, round(sqrt(sum(p * w) + sum(p * e
     ("customer_effects",),
 )
 def agg_pool_groups(spark, base):
-    groups = views.customer_effects(spark, base)
+    groups = written(views.customer_effects(spark, base), "effects")  # read by every step
     out = pooling.pooled_effects(groups, pooling.tau_posterior(groups, TAU_MAX, TAU_POINTS))
     return rounded(out.select("id", "theta_mean", "theta_sd"), 4, "theta_mean", "theta_sd")
 
@@ -551,7 +693,7 @@ def agg_pool_groups(spark, base):
     ("customer_effects",),
 )
 def agg_pool_hyper(spark, base):
-    posterior = pooling.tau_posterior(views.customer_effects(spark, base), TAU_MAX, TAU_POINTS)
+    posterior = pooling.tau_posterior(written(views.customer_effects(spark, base), "effects"), TAU_MAX, TAU_POINTS)
     return rounded(pooling.pooled_hyper(posterior), 4, "mu_mean", "mu_sd", "tau_mean", "tau_sd")
 
 
@@ -576,6 +718,17 @@ def src_csv_object(spark, base):
     return files.read_csv(spark, wine_file(spark, base, ","), ",", WINE_CSV)
 
 
+@query("src_csv_bad_records", "SELECT wine_id % 3 = 0 AS bad, count(*) AS n FROM wine GROUP BY 1", ("wine",))
+def src_csv_bad_records(spark, base):
+    """Good rows and bad records of a file in which every third record has no number where one should be, and a note with line breaks."""
+    rows = views.wine(spark, base).select("wine_id", F.when(F.col("wine_id") % 3 == 0, "n/a").otherwise(F.col("alcohol").cast("string")).alias("alcohol"), F.concat("color", F.lit("\n\"x\";"), "quality").alias("note"))
+    path = work_path(spark, "csv")
+    rows.write.option("header", True).option("sep", ";").option("escape", '"').csv(path)
+    good, bad = files.read_csv_split(spark, path, work_path(spark, "records"), ";", "wine_id bigint, alcohol double, note string")
+    both = joins.union_all(good.select(F.lit(False).alias("bad")), bad.select(F.lit(True).alias("bad")))
+    return both.groupBy("bad").agg(F.count(F.lit(1)).alias("n"))
+
+
 @contextmanager
 def linked_orders(spark, base) -> Iterator[str]:
     """The name of a catalog table over the orders; it is dropped afterwards, the files stay."""

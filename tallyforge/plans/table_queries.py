@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +11,12 @@ from tallyforge.functions import columns as C
 from tallyforge.functions import hashing as H
 from tallyforge.operators import joins, metrics, profit, sampling, summary
 from tallyforge.plans.registry import query
+from tallyforge.session import remove_path, work_path, written
 from tallyforge.sources import tables, views
 
+#: Buckets of the clones of line items and orders.
+BUCKETS = 16
+
 
 def profit_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     named = {n: views.table(spark, base, n) for n in ("part", "supplier", "lineitem", "orders", "nation")}
@@ -52,6 +58,22 @@ def topk_q9(spark, base):
     return profit.top_profit(agg_q9(spark, base))
 
 
+@query("agg_q9_bucketed", REPORT_SQL, ("partsupp",))
+def agg_q9_bucketed(spark, base):
+    """The report over bucketed clones of line items and orders, which meet without being moved; the clones are dropped afterwards."""
+    frames, names = profit_tables(spark, base), []
+    try:
+        for name, key in (("lineitem", "l_orderkey"), ("orders", "o_orderkey")):
+            names.append((f"{name}_{uuid.uuid4().hex}", work_path(spark, name)))
+            frames[name] = tables.clone_bucketed(frames[name], names[-1][0], key, BUCKETS, names[-1][1])
+        report = profit.profit_by_nation(frames).withColumn("sum_profit", F.round("sum_profit", 4))
+        return written(report, "report")
+    finally:
+        for name, path in names:
+            spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+            remove_path(spark, path)
+
+
 SQL_TEXT = """
 WITH chosen AS (SELECT p_partkey FROM {part} WHERE startswith(p_name, 'a') OR startswith(p_name, 'b')),
 priced AS (

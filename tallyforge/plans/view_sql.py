@@ -131,4 +131,6 @@ def with_views(sql: str, views: tuple[str, ...]) -> str:
         return sql.strip()
     heads = ", ".join(f"{name} AS ({VIEWS[name].strip()})" for name in ordered)
     body = sql.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {heads}, {body[15:]}"
     return f"WITH {heads}, {body[5:]}" if body.upper().startswith("WITH ") else f"WITH {heads} {body}"

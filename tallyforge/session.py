@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the operators are written for. AQE picks join strategies and partition counts from
 #: measured sizes and splits skewed join partitions, so no operator fixes a partition number.
@@ -60,6 +60,15 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tallyforge/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` stored once in the shared folder and read back: the lineage ends there. Its folder is ``.tallyforge_path``."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.tallyforge_path = path
+    return back
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Deletes a folder of the shared file system, once nothing reads it any more; a missing one is no error."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

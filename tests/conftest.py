@@ -16,7 +16,7 @@ def base() -> str:
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "local[8]",
+        f"local[{os.environ.get('TEST_CORES', '8')}]",
         "tests",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.operators import features, joins, lambda_path, metrics, models, sampling
-from tallyforge.operators.moments import moments, stack
+from tallyforge.operators.moments import block_moments, moments, stack
 from tallyforge.session import work_path
 from tallyforge.sources import views
 
@@ -175,3 +175,30 @@ def test_scoring_rows_are_filled_by_row(spark):
     train = rows.withColumn("quality", F.col("alcohol") * 0.5)
     scored = models.predict(models.fit_elastic_net(train, ("alcohol",), "quality", 0.0, 0.0), rows)
     assert [round(r["prediction"], 6) for r in scored.collect()] == [4.7, 4.9, 4.9, 4.9, 4.7]
+
+
+def test_thousands_of_columns(spark):
+    rng = np.random.default_rng(4)
+    n, p = 400, 2000
+    x = rng.normal(size=(n, p)).round(3)
+    y = 3 * x[:, 7] - 2 * x[:, 1500] + 0.5 + rng.normal(size=n) * 0.1
+    names = [f"f{i}" for i in range(p)]
+    rows = spark.createDataFrame([(float(v), r.tolist()) for v, r in zip(y, x)], "y double, x array<double>").repartition(3)
+    wide = rows.select("y", *[F.col("x")[i].alias(c) for i, c in enumerate(names)])
+    count, mean, cov = block_moments(wide, (*names, "y"))
+    both = np.column_stack([x, y])
+    assert count == n and mean == pytest.approx(both.mean(axis=0)) and np.allclose(cov, np.cov(both.T, bias=True))
+    fit = models.fit_elastic_net(wide, tuple(names), "y", 1.0, 0.5).stages[-1]
+    b = fit.coefficients.toArray()
+    assert set(np.flatnonzero(np.abs(b) > 0.05)) == {7, 1500} and b[7] > 2 > 0 > b[1500]
+    gap = cov[:p, p] - cov[:p, :p] @ b  # the conditions of the least penalised error
+    assert np.abs(gap).max() < 0.5 + 1e-8 and np.allclose(gap[b != 0], 0.5 * np.sign(b[b != 0]))
+
+
+def test_block_moments_of_odd_rows(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (None, 1.0), (3.0, float("nan")), (5.0, 4.0)], "a double, b double")
+    n, mean, cov = block_moments(df, ("a", "b"), block=1)
+    assert n == 2 and mean.tolist() == [3.0, 3.0] and cov.tolist() == [[4.0, 2.0], [2.0, 1.0]]
+    assert block_moments(df.limit(0), ("a", "b"))[0] == 0
+    with pytest.raises(ValueError, match="no row"):
+        models.fit_elastic_net(df.limit(0), ("a",), "b", 0.5, 0.1)

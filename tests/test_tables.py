@@ -1,11 +1,18 @@
 """Group fits, grids, run tables, sources and sinks."""
 
+import hashlib
+import threading
+from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.operators import filters, grids, group_fits, profit, runs, summary
+from tallyforge.plans.table_queries import profit_tables
 from tallyforge.session import shared_root, work_path
 from tallyforge.sources import files, naming, tables
 
@@ -80,7 +87,7 @@ def test_run_log_search_and_versions(spark):
     assert uri == "store/r2/m"
     assert [runs.register_version(spark, registry, "m", r, "u") for r in ("r1", "r2")] == [1, 2]
     assert runs.register_version(spark, registry, "other", "r1", "u") == 1
-    assert spark.read.parquet(registry).count() == 3
+    assert runs.versions(spark, registry).count() == 3
 
 
 def test_csv_names_and_schema(spark, tmp_path):
@@ -133,6 +140,94 @@ def test_local_rows_schema_and_signature(spark, capsys):
     assert filters.preview(df, 1).count() == 1
 
 
+def test_concurrent_writers_get_distinct_versions(spark):
+    registry = work_path(spark, "versions")
+    with ThreadPoolExecutor(20) as pool:
+        got = list(pool.map(lambda i: runs.register_version(spark, registry, "m", f"r{i}", "u"), range(20)))
+    assert sorted(got) == list(range(1, 21))
+    rows = runs.versions(spark, registry).collect()
+    assert sorted(r.version for r in rows) == list(range(1, 21)) and {r.run_id: r.version for r in rows} == {f"r{i}": v for i, v in enumerate(got)}
+    assert runs.register_version(spark, registry, "x/../m", "r", "u") == 1 and not runs.claim(spark, f"{registry}/_claims/{hashlib.sha256(b'm').hexdigest()}/20")
+
+
+def test_jobs_at_the_same_time(spark):
+    seen, lock = Counter(), threading.Lock()
+
+    def job(i):
+        with lock:
+            seen[i] += 1
+        if i == 2 and seen[i] == 1:
+            raise RuntimeError("lost")
+        return spark.range(i).count(), spark.sparkContext.getLocalProperty("spark.job.description")
+
+    spark.sparkContext.setLocalProperty("spark.job.description", "grid")
+    try:
+        found = grids.run_all(spark, {i: partial(job, i) for i in range(4)}, workers=4)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.job.description", None)
+    assert found == {i: (i, "grid") for i in range(4)} and seen[2] == 2
+
+    def broken():
+        raise KeyError("always")
+
+    with pytest.raises(KeyError):
+        grids.run_all(spark, {"a": broken, "b": lambda: 1})
+
+
+def test_bad_records_go_to_a_table_of_their_own(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    lines = ['id;size x;note', '1;2.5;plain', '2;oops;text', '3;;', '4;1.0', '5;1.0;"two\nlines; and a ""quote"""', '6;x;"bad\nwith break"', '7;1;a;b', ';3;no id']
+    (folder / "a.csv").write_text("\n".join(lines) + "\n")
+    (folder / "b.csv").write_text("id;size x;note\n9;9;z\n")
+    good, bad = files.read_csv_split(spark, str(folder), str(tmp_path / "out"), ";", "id int, `size x` double, note string")
+    assert good.columns == ["id", "size_x", "note"] and bad.columns == ["file", "record"]
+    rows = sorted((r.id or 0, r.size_x, r.note) for r in good.collect())
+    assert rows == [(0, 3.0, "no id"), (1, 2.5, "plain"), (3, None, None), (5, 1.0, 'two\nlines; and a "quote"'), (9, 9.0, "z")]
+    found = bad.collect()
+    assert len(found) == 4 and all(r.file.endswith("/a.csv") for r in found) and any("with break" in r.record for r in found)
+    assert len(rows) + len(found) == 9
+    with pytest.raises(ValueError, match="header"):
+        files.read_csv_split(spark, str(folder), str(tmp_path / "other"), ";", "id int, other double, note string")
+
+
+def test_a_group_streams_through_one_task_in_batches(spark):
+    rows = [("hot", i) for i in range(25_000)] + [(f"k{i % 40}", i) for i in range(2000)] + [(None, i) for i in range(30)]
+    df = spark.createDataFrame(rows, "k string, v long").repartition(8)
+
+    def step(state, part):
+        values = part.column(1).to_pylist()
+        assert len(values) <= 1000 and (state[2] is None or values[0] >= state[2]) and values == sorted(values)
+        return state[0] + 1, state[1] + sum(values), values[-1]
+
+    found = group_fits.group_stream(df, "k", lambda k: (0, 0, None), step, lambda k, s: {"k": k, "batches": s[0], "total": s[1]}, "k string, batches long, total long", batch=1000, order=("v",))
+    got = {r.k: r for r in found.collect()}
+    assert len(got) == 42 and found.count() == 42
+    want = Counter()
+    for k, v in rows:
+        want[k] += v
+    assert {k: r.total for k, r in got.items()} == want and got["hot"].batches >= 25
+    none = group_fits.group_stream(df.limit(0), "k", lambda k: 0, lambda s, p: s, lambda k, s: {"k": k}, "k string")
+    assert none.count() == 0
+
+
+def test_bucketed_clones_meet_without_an_exchange(spark, base, tmp_path):
+    frames, names = profit_tables(spark, base), []
+    try:
+        for name, key in (("lineitem", "l_orderkey"), ("orders", "o_orderkey")):
+            names.append(f"{name}_buckets")
+            frames[name] = tables.clone_bucketed(frames[name], names[-1], key, 4, str(tmp_path / name))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = frames["lineitem"].join(frames["orders"], F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "o_orderdate")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and "SelectedBucketsCount: 4 out of 4" in plan
+        assert joined.count() == frames["lineitem"].count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_bucket_summary_single_row_group(spark):
     df = spark.createDataFrame([("s", 3.1, 5.0), ("s", 2.9, 7.0), ("t", 1.0, 1.0)], "g string, w double, l double")
     rows = {r["g"]: r for r in summary.bucket_summary(df, "g", "w", "l").collect()}

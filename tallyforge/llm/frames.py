@@ -75,6 +75,12 @@ def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
             remove_path(df.sparkSession, df.tallyforge_path)
 
 
+def small_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Lets the session hand rows to Python workers in batches of about ``size`` bytes. With long texts, a batch of the usual
+    number of rows takes tens of megabytes on both sides, of which either keeps its share."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def worker_value(key: tuple, make: Callable[[], Any]) -> Any:
     """A value kept in a Python worker, so that tasks after the first one find it ready, until a task of another kind comes."""
     kept = _worker_state()
@@ -102,8 +108,10 @@ def grouped(batches: Iterator[pa.RecordBatch], text: str, limit: int = GROUP_CHA
     What the worker holds for tasks of another kind, all but the keys ``keep`` of :func:`worker_value`, is dropped first.
     """
     kept = _worker_state()
-    for key in [k for k in kept if k not in keep]:
-        del kept[key]
+    if others := [k for k in kept if k not in keep]:
+        for key in others:
+            del kept[key]
+        release()
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
         lengths = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False)

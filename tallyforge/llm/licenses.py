@@ -69,8 +69,6 @@ SPELLINGS = (
     ("version", "v"),
     ("copyright owner", "copyright holder"),
 )
-#: What the SQL twin takes for a copyright line; it has no lookahead and also drops lines of a wrapped licence text.
-COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*$"
 # Words that follow "copyright" and "(c)" inside licence texts, where a wrap can put them first on a line.
 AFTER_COPYRIGHT = (
     "also|and|are|disclaimers?|doctrines?|holders?|if|in|interests?|is|laws?|licen[cs]es?|like|lines?|notices?|of|on|or|owners?|ownership|"
@@ -102,10 +100,16 @@ def canonical(text: Column) -> Column:
 
 
 def _canonical_sql(text: str) -> str:
-    form = f"' ' || trim(regexp_replace(regexp_replace(lower(coalesce({text}, '')), '{COPYRIGHT_LINE}', ' ', 'g'), '{OTHER}', ' ', 'g')) || ' '"
+    """The canonical form in DuckDB, whose patterns know no lookahead: lines are told to be notices one by one."""
+    front = "^[^a-z0-9]*"
+    marks = (("copyright\\b", AFTER_COPYRIGHT), ("(\\(c\\)|©)", AFTER_MARK))
+    notice = " OR ".join(f"(regexp_matches(l, '{front}{m}[^\\p{{L}}\\p{{N}}]*[\\p{{L}}\\p{{N}}]') AND NOT regexp_matches(l, '{front}{m}[^\\p{{L}}\\p{{N}}]*({after})\\b'))" for m, after in marks)
+    notice += f" OR regexp_matches(l, '{front}all rights reserved[^a-z0-9]*$')"
+    lines = f"array_to_string(list_transform(string_split(lower(coalesce({text}, '')), chr(10)), lambda l: CASE WHEN {notice} THEN ' ' ELSE l END), chr(10))"
+    form = f"' ' || trim(regexp_replace({lines}, '{OTHER}', ' ', 'g')) || ' '"
     for a, b in SPELLINGS:
         form = f"replace({form}, ' {a} ', ' {b} ')"
-    return f"trim({form})"
+    return f"regexp_replace(trim({form}), '{TITLE}', '')"
 
 
 #: Known texts up to this many are broadcast (under 10 MB).
@@ -153,9 +157,11 @@ def scan(docs: DataFrame, known: DataFrame, key: str = "doc_id", text: str = "te
 
 def scan_sql() -> str:
     """The same over the table ``documents`` in DuckDB."""
-    quoted = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in KNOWN)
+    quoted = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in KNOWN + license_texts.TEXTS)
+    held = ", ".join(f"('{digest}', '{name}')" for name, digest in license_texts.DIGESTS)
     return f"""
-        WITH known AS (SELECT DISTINCT sha256({_canonical_sql("text")}) AS digest, license FROM (VALUES {quoted}) AS k(license, text)),
+        WITH known AS (SELECT DISTINCT sha256({_canonical_sql("text")}) AS digest, license FROM (VALUES {quoted}) AS k(license, text)
+            UNION SELECT digest, license FROM (VALUES {held}) AS h(digest, license)),
         units AS (
             SELECT doc_id, 0 AS place, text AS unit FROM documents WHERE text IS NOT NULL
             UNION ALL

@@ -252,3 +252,44 @@ def _prove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             columns = [keys, pa.array(own), pa.array([row["subroot"]] * m), pa.array([root] * m), pa.array(proofs), pa.array(folded), pa.array([f == root for f in folded]), pa.array(places)]
             names = ["key", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified", "position"]
             yield pa.RecordBatch.from_arrays(columns, names)
+
+
+def manifest_sql() -> str:
+    """DuckDB SQL of :func:`manifest` over the table ``documents``, with the texts in lower case where 5 divides the checksum of the id."""
+    part = lambda v: f"CASE WHEN {v} IS NULL THEN '-' ELSE strlen(CAST({v} AS VARCHAR)) || ':' || {v} END"
+    head = " || ".join(map(part, ("doc_id", "source", "lang", "n_chars")))
+    body, lowered = part("text"), part("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+    return f"""
+    WITH RECURSIVE coded AS (
+        SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+            lambda r, b: list_reduce(list_prepend(xor(r, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, (x & 1) * 3988292384))), 4294967295::BIGINT) AS crc FROM documents),
+    valued AS (SELECT *, {head} AS head, {body} AS body, {lowered} AS lowered FROM coded),
+    hashed AS (SELECT doc_id, source, sha256(head || body) AS leaf, CASE WHEN crc % 5 = 0 THEN sha256(head || lowered) END AS altered FROM valued),
+    leaves AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, row_number() OVER () AS rk FROM hashed),
+    tree AS (
+        SELECT source, 0 AS level, i AS idx, leaf AS h FROM leaves
+        UNION ALL
+        SELECT source, level + 1, idx // 16, sha256(string_agg(h, '' ORDER BY idx)) FROM (SELECT *, count(*) OVER (PARTITION BY source) AS c FROM tree) WHERE c > 1 GROUP BY source, level, idx // 16),
+    subs AS (SELECT source, subroot, top, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place FROM (SELECT source, arg_max(h, level) AS subroot, max(level) AS top FROM tree GROUP BY source)),
+    upper AS (
+        SELECT 0 AS level, place AS idx, subroot AS h FROM subs
+        UNION ALL
+        SELECT level + 1, idx // 16, sha256(string_agg(h, '' ORDER BY idx)) FROM (SELECT *, count(*) OVER () AS c FROM upper) WHERE c > 1 GROUP BY level, idx // 16),
+    whole AS (SELECT arg_max(h, level) AS root, max(level) AS top FROM upper),
+    placed AS (SELECT l.*, s.subroot, s.top, s.place FROM leaves l JOIN subs s ON s.source IS NOT DISTINCT FROM l.source),
+    steps AS (
+        SELECT rk, t.level AS step, string_agg(h, '' ORDER BY idx) FILTER (idx < i // CAST(pow(16, t.level) AS BIGINT)) AS b, string_agg(h, '' ORDER BY idx) FILTER (idx > i // CAST(pow(16, t.level) AS BIGINT)) AS a
+        FROM placed p JOIN tree t ON t.source IS NOT DISTINCT FROM p.source AND t.level < p.top AND t.idx // 16 = p.i // CAST(pow(16, t.level + 1) AS BIGINT) GROUP BY rk, t.level
+        UNION ALL
+        SELECT rk, p.top + u.level, string_agg(h, '' ORDER BY idx) FILTER (idx < place // CAST(pow(16, u.level) AS BIGINT)), string_agg(h, '' ORDER BY idx) FILTER (idx > place // CAST(pow(16, u.level) AS BIGINT))
+        FROM placed p, whole w, upper u WHERE u.level < w.top AND u.idx // 16 = p.place // CAST(pow(16, u.level + 1) AS BIGINT) GROUP BY rk, p.top, u.level),
+    proofs AS (SELECT rk, sha256(string_agg(coalesce(b, '') || coalesce(a, ''), '' ORDER BY step)) AS proof FROM steps GROUP BY rk),
+    folds AS (
+        SELECT rk, 0 AS step, coalesce(altered, leaf) AS h FROM placed
+        UNION ALL
+        SELECT f.rk, f.step + 1, sha256(coalesce(b, '') || h || coalesce(a, '')) FROM folds f JOIN steps s ON s.rk = f.rk AND s.step = f.step),
+    folded AS (SELECT rk, arg_max(h, step) AS h FROM folds GROUP BY rk)
+    SELECT doc_id, leaf, subroot, root, coalesce(proof, sha256('')) AS proof_sha256, f.h AS folded_root, f.h = root AS verified,
+        CAST(list_sum(list_transform(range(0, p.top + 1), lambda m: ceil((i + 1) / pow(16, m)))) - 1 - p.top AS BIGINT) AS position
+    FROM placed p JOIN folded f ON f.rk = p.rk LEFT JOIN proofs q ON q.rk = p.rk, whole
+    """

@@ -157,3 +157,6 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     altered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     return merkle.manifest(table(spark, sf_dir, "documents"), "doc_id", "source", LEAF, {"text": lowered}, altered)
+
+
+ORACLES["op13_merkle_manifest"] = merkle.manifest_sql()

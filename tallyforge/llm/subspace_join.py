@@ -26,13 +26,15 @@ BLOCKS = 8
 CELL = 3.0
 #: The grid of a label gets one more coordinate for each tripling of its vectors beyond this many.
 PER_GRID = 2_000
-#: Rows of a cell that one task compares with the whole cell.
+#: Rows of a slice: a larger cell is dealt into slices, and a task compares two of them.
 CELL_ROWS = 8_192
 #: Rows compared with each other at a time.
 STEP = 512
 #: Added to a block's budget against rounding.
 SLACK = 1e-6
 BROADCAST_ROWS = 1_000_000
+#: What a task compares at a time: two slices of a cell, or one with itself.
+PAIR = ("label", "d", "block", "cell", "i", "j")
 
 
 def rotation(d: int, seed: int = 11) -> np.ndarray:
@@ -91,8 +93,8 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     return linked.unionAll(alone).select(F.col("id").alias(key), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _met(placed: DataFrame, cosine: float, kind: str) -> DataFrame:
-    """``(node, other, n)``: numbers of linked copies (without ``other``) and links that span what a task has seen."""
+def dealt_cells(placed: DataFrame, cosine: float, kind: str) -> DataFrame:
+    """The rows of every cell, at home or visiting, under the pairs ``i <= j`` of slices that a task compares."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,15 +124,21 @@ def _met(placed: DataFrame, cosine: float, kind: str) -> DataFrame:
     bucket = ["label", "d", "block", "cell"]
     parts = stored(spread.groupBy(*bucket).agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("parts")).where("parts > 1"), "parts")
     dealt = spread.join(F.broadcast(parts) if parts.count() <= BROADCAST_ROWS else parts, bucket, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")  # every part sees the whole cell and compares its own share with it
-    dealt = dealt.select(*bucket, "home", "node", "copies", "vector", "parts", part).withColumn("home", F.col("home") & (F.pmod(F.xxhash64("node"), "parts") == F.col("part"))).drop("parts")
-    by_cell = dealt.repartition(*bucket, "part").sortWithinPartitions(*bucket, "part", "node")
+    own = F.pmod(F.xxhash64("node"), "parts").cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda t: F.struct(F.least(t, F.col("slice")).alias("i"), F.greatest(t, F.col("slice")).alias("j")))
+    dealt = dealt.withColumn("slice", own).withColumn("pair", F.explode(pairs)).select(*bucket, "home", "node", "copies", "vector", "slice", "pair.i", "pair.j")
+    return dealt
+
+
+def _met(placed: DataFrame, cosine: float, kind: str) -> DataFrame:
+    """``(node, other, n)``: numbers of linked copies (without ``other``) and links that span what a task has seen."""
+    by_cell = dealt_cells(placed, cosine, kind).repartition(*PAIR).sortWithinPartitions(*PAIR, "node")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         now = None
         for batch in batches:
-            names = list(zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 3, 8)), strict=True))
+            names = list(zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 3, 9, 10)), strict=True))
             start = 0
             for i, name in enumerate(names):
                 if name != now:
@@ -142,23 +150,31 @@ def _met(placed: DataFrame, cosine: float, kind: str) -> DataFrame:
             yield from links(pa.Table.from_batches(held))
 
     def links(cell: pa.Table) -> Iterator[pa.RecordBatch]:
-        home = np.flatnonzero(cell.column("home").to_numpy()) if cell.num_rows > 1 else ()
-        if not len(home):
+        if not cell.num_rows:
+            return
+        home, part = cell.column("home").to_numpy(), cell.column("slice").to_numpy()
+        first, second = cell.column("i")[0].as_py(), cell.column("j")[0].as_py()
+        # rows are sorted by node: a home row meets the smaller nodes of the other slice, of its own where there is one
+        sides = [(np.flatnonzero(home & (part == first)), np.flatnonzero(part == second))]
+        if first != second:
+            sides.append((np.flatnonzero(home & (part == second)), np.flatnonzero(part == first)))
+        if not any(len(a) and len(b) for a, b in sides):
             return
         d, block = cell.column("d")[0].as_py(), cell.column("block")[0].as_py()
         x, limits, most = _matrix(cell.column("vector")), bounds(d), budgets(d, cosine)
         y, size = rotated(x, rotation(d)), np.sqrt(np.einsum("ij,ij->i", x, x))
-        copies, first = cell.column("copies").to_numpy(), limits[block][0]
-        own = y[:, first : limits[block][1]]
+        copies = cell.column("copies").to_numpy()
+        own = y[:, limits[block][0] : limits[block][1]]
         square = np.einsum("ij,ij->i", own, own)
         n, root = np.zeros(len(x), np.int64), np.arange(len(x))
-        for at in range(0, len(home), STEP):
-            mine = home[at : at + STEP]
-            for low in range(0, int(mine[-1]), 8 * STEP):  # rows are sorted by node: only smaller ones are partners
-                others = slice(low, min(low + 8 * STEP, int(mine[-1])))
+        blocks = [(mine[at : at + STEP], others) for mine, others in sides for at in range(0, len(mine), STEP)]
+        for mine, every in blocks:
+            smaller = every[: int(np.searchsorted(every, mine[-1]))]
+            for low in range(0, len(smaller), 8 * STEP):
+                others = smaller[low : low + 8 * STEP]
                 near = square[mine][:, None] + square[others][None] - 2 * own[mine] @ own[others].T <= most[block] + SLACK
                 i, j = np.nonzero(near)
-                i, j = mine[i], j + low
+                i, j = mine[i], others[j]
                 i, j = i[j < i], j[j < i]
                 for cut in range(0, len(i), 100_000):
                     a, b = i[cut : cut + 100_000], j[cut : cut + 100_000]

@@ -100,8 +100,8 @@ def test_model_spans_equal_a_plain_scorer(spark):
     hidden = "0123456789abcdef0123456789abcdef-Zx81QpLm-9aK2mQ7T"
     texts += [f"see {key(13)} and {key(17)}, {key(40)} or {''.join(r.choices(string.ascii_letters, k=18))} {hidden} 123456789012345", "qZ8xK2mLw9Tr4VbN1 internationalization", "", None]
     docs = H.documents(spark, list(enumerate(texts)))
-    models = secret_scan.train(docs)
-    ratio = plain_training([t or "" for t in texts])
+    models = secret_scan.train(docs.where("doc_id < 30"))
+    ratio = plain_training(texts[:30])
     n = 0
     for row in secret_scan.scan(docs.repartition(3), ["doc_id"], models, threshold=0.8).collect():
         spans = [(s.start, s.end) for s in row.secrets if s.kind == "model"]

@@ -235,7 +235,7 @@ def brute_vectors(rows, least=0.93):
 
 @pytest.mark.parametrize("tight", [False, True])
 def test_vectors_equal_brute_force(spark, monkeypatch, tight):
-    if tight:  # more grid coordinates, split cells, shuffled joins
+    if tight:  # more grid coordinates, cells in slices, shuffled joins
         for name, value in (("PER_GRID", 3), ("CELL_ROWS", 20), ("STEP", 7), ("BROADCAST_ROWS", 0)):
             monkeypatch.setattr(subspace_join, name, value)
     rng, rows = np.random.default_rng(8), []
@@ -254,6 +254,17 @@ def test_vectors_equal_brute_force(spark, monkeypatch, tight):
     assert subspace_join.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_no_task_holds_more_than_two_slices(spark, monkeypatch):
+    monkeypatch.setattr(subspace_join, "CELL_ROWS", 50)
+    rng = np.random.default_rng(1)
+    rows = [(i, (np.ones(8) + 0.02 * rng.normal(size=8)).astype("f4").tolist(), 1) for i in range(700)]  # one dense cell
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    found = subspace_join.near_vectors(frame).collect()
+    assert {r.component_id for r in found} == {0} and {r.n_links for r in found} == {699}
+    sizes = [r["count"] for r in subspace_join.dealt_cells(frame.select(F.col("vec_id").alias("node"), F.lit(1).cast("long").alias("copies"), "label", F.col("embedding").alias("vector"), F.lit(8).alias("d"), F.lit(1).alias("grid")), 0.93, "bigint").groupBy("label", "d", "block", "cell", "i", "j").count().collect()]
+    assert len(sizes) > 100 and max(sizes) < 2 * 50 * 2
+
+
 def test_vector_query(spark, base):
     rows = [(r.vec_id, r.embedding, r.label) for r in table(spark, base, "embeddings").collect()]
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in queries.op8_subspace_join(spark, base).collect()) == brute_vectors(rows)
@@ -301,6 +312,22 @@ def test_near_copies_of_odd_rows(spark, base):
     assert corpus_pipeline.drop_near_copies(spark, docs.limit(0), base).count() == 0
 
 
+@pytest.mark.parametrize("clash", [False, True])
+def test_near_copies_of_a_table_in_files(spark, tmp_path, base, clash):
+    """Rows read from files are numbered by their place, without a copy of the table, unless a column has a name in the way."""
+    r = random.Random(5)
+    texts = [" ".join(f"w{r.randrange(10**6)}" for _ in range(40)) for _ in range(30)]
+    rows = [(i % 20, texts[i]) for i in range(30)] + [(100 + i, texts[i] + " more") for i in range(10)]
+    docs = H.documents(spark, rows).withColumn("_file" if clash else "_row", F.lit("x")).repartition(6)
+    docs.write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    before = set(os.listdir(f"{shared_root(spark)}/tallyforge-llm"))
+    kept = corpus_pipeline.drop_near_copies(spark, docs, base)
+    assert kept.columns == docs.columns and sorted((x.doc_id, x.text) for x in kept.collect()) == sorted(rows[:30])
+    made = {n.rsplit("-", 1)[0] for n in set(os.listdir(f"{shared_root(spark)}/tallyforge-llm")) - before}
+    assert ("numbered" in made) == clash and made <= {"numbered", "files", "near-copies"}
+
+
 def test_pipeline_of_empty_tables(spark, tmp_path, base):
     for name in ("documents", "benchmark"):
         table(spark, base, name).limit(0).write.parquet(f"{tmp_path}/{name}.parquet")

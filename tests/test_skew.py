@@ -86,7 +86,7 @@ def test_one_long_chain_is_spread(spark):
     rows = spark.range(50000).select(
         F.lit(0).alias("chain"), F.col("id").alias("iter"), F.lit("p").alias("param"), F.rand(3).alias("value")
     )
-    sums = draws.autocovariances(rows, 10, 1000)
+    sums = draws.autocovariances(rows, 11, 0, 1000)
     direct = rows.agg(F.var_pop("value")).first()[0]
     found = {r["lag"]: r["acov"] for r in sums.collect()}
     assert found[0] == pytest.approx(direct) and len(found) == 11

@@ -22,11 +22,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallyforge.llm.components import UnionFind, components
 from tallyforge.llm.frames import grouped, scratch, stored
@@ -45,6 +47,8 @@ PART_BYTES, LONG_WORD = 1 << 20, 1_000
 LEADER_BLOCK = 4_096
 #: Bytes of bitmaps a tree compares at a time.
 FRONTIER = 8 << 20
+#: Parts of the keys that are shuffled one after the other.
+TURNS = 4
 #: Members of a leader that one task checks.
 SPLIT = 500
 #: Tables of ids up to this many rows (16 MB) are broadcast; larger ones are shuffled.
@@ -392,6 +396,14 @@ def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(ids[keep])], ["key", "id"])
 
 
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows (by key) whose key has another row."""
+    for rows, cuts in _runs(batches):
+        sizes = np.diff(cuts)
+        keep = pa.array(np.repeat(sizes > 1, sizes))
+        yield from rows.filter(keep).combine_chunks().to_batches()
+
+
 def _traverse(spanning: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, cuts in _runs(batches, 5_000):
@@ -474,17 +486,40 @@ def _linked(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]
         links = keep(stored(verified(docs, key, text, led), "links"))
         roots = keep(stored(components(links), "roots"))
 
-    keyed = _grouped(nodes, roots).select(F.explode("prefix").alias("key"), "id", "n", "group")
+    # Most shingles are in one set alone: they go before anything but the key and the id is moved. The keys are worked
+    # through in turns, so that the shuffle files of one turn are gone before the next.
+    turn = lambda i: F.pmod(F.col("key"), F.lit(TURNS)) == i
+    several = []
+    for i in range(TURNS):
+        entries = nodes.select(F.explode("prefix").alias("key"), "id").where(turn(i)).repartition("key").sortWithinPartitions("key")
+        several.append(stored(entries.mapInArrow(_repeated, f"key long, id {kind}"), "repeated"))
+    keyed = reduce(DataFrame.unionAll, several).join(_grouped(nodes, roots).select("id", "n", "group"), "id")
     for spanning in (True, False):
         with scratch() as keep:
             mixed = keep(buckets(keyed, "mixed"))
-            more = stored(with_bitmaps(mixed, roots).mapInArrow(_traverse(spanning), pair).distinct(), "candidates")
-            links = keep(stored(links.unionAll(verified(docs, key, text, more)), "links"))
+            turns = [stored(with_bitmaps(mixed.where(turn(i)), roots).mapInArrow(_traverse(spanning), pair).distinct(), "candidates") for i in range(TURNS)]
+            more = reduce(DataFrame.unionAll, turns).distinct()
+            links = keep(stored(links.unionAll(verified(docs, key, text, stored(more, "pairs"))), "links"))
             roots = keep(stored(components(links), "roots"))
         keyed = mixed.join(_grouped(nodes, roots).select("id", "n", "group"), "id")
     return members, roots
 
 
+def _numbered(docs: DataFrame, number: str) -> DataFrame:
+    """``docs`` with a column of numbers that no two rows share and that every pass over the table finds again.
+
+    Rows that are read straight from files are numbered by file and place in it; any others are written with their numbers first.
+    """
+    straight = docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation"
+    if not straight or {"_metadata", "_path", "_file", "_at"} & set(docs.columns):
+        return stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    path = F.col("_metadata.file_path").alias("_path")
+    files = stored(docs.select(path).distinct().select("_path", F.row_number().over(Window.orderBy("_path")).alias("_file")), "files")  # a row a file
+    placed = docs.select(*own, path, F.col("_metadata.row_index").alias("_at"))
+    return placed.join(small(files), "_path").select(*own, F.expr("shiftleft(cast(_file as bigint), 40) + _at").alias(number))
+
+
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group of linked texts, that with the smallest key (null last); columns as they are.
 
@@ -495,7 +530,7 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     number = "_row"
     while number in docs.columns:
         number += "_"
-    numbered = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    numbered = _numbered(docs, number)
     with scratch() as keep:
         found = near_duplicates(numbered.select(F.col(number).alias("_row"), F.col(text).alias("text")), "_row")
         keys = numbered.select(F.col(number).alias("_row"), F.col(f"`{key}`").alias("_key"))

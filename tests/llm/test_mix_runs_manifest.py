@@ -24,17 +24,13 @@ def test_running_sums_in_groups(spark):
     found = running(df, "g", ["o"], F.col("w")).collect()
     assert len({r.row for r in found}) == 600
     for g in {r[0] for r in rows}:
-        own = sorted((r for r in found if r.g == g), key=lambda r: (r.o, r["at"], r.row))
-        assert all(r.at_total == sum(x[2] for x in rows if x[0] == g) for r in own)
-        assert [r.o for r in sorted(own, key=lambda r: (r["at"], r.o))] == [r.o for r in own]
-        seen = Counter()
+        own, total = sorted((r for r in found if r.g == g), key=lambda r: (r["at"], r.w)), 0
+        assert sorted(r.w for r in own) == sorted(w for x, _, w in rows if x == g)
         for r in own:
-            seen[r["at"]] += 1
-        total = 0
-        for r in sorted(own, key=lambda r: (r["at"], r.w == 0 and -1, r.o)):
-            assert r["at"] <= total or r["at"] == total
-            total = max(total, r["at"] + r.w)
-        assert total == sum(r.w for r in own)
+            assert r["at"] == total and r.at_total == sum(x[2] for x in rows if x[0] == g)
+            total += r.w
+        order = [r.o for r in own if r.w]
+        assert order == sorted(order)
     alone = [r["at"] for r in running(df, None, ["o"]).collect()]
     assert sorted(alone) == list(range(600))
     assert running(df.limit(0), "g", ["o"]).count() == 0

@@ -86,9 +86,10 @@ def rank_rhat(draws: DataFrame) -> DataFrame:
     :func:`tallyforge.operators.order_stats.average_ranks`. NULL and NaN draws count nowhere; a NULL parameter keeps its row.
     """
     known = draws.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    halves = _halves(known)
+    halves = written(_halves(known), "halves")  # read by several jobs
     middle = exact_quantiles(halves, "value", {"_median": 0.5}, ("param",))
     folded = attach(halves, middle, ("param",)).withColumn("value", F.abs(F.col("value") - F.col("_median"))).drop("_median")
+    folded = written(folded, "folded")
     found = []
     for rows, name in ((halves, "rhat_bulk"), (folded, "rhat_tail")):
         ranks = average_ranks(rows, "value", ("param",), ("chain", "half")).withColumn("p", (F.col("rank") - 0.375) / (F.col("n") + 0.25))
@@ -96,8 +97,10 @@ def rank_rhat(draws: DataFrame) -> DataFrame:
         m, z, n = F.col("m"), F.col("z"), F.sum("m")
         sums = scores.groupBy("param", "chain", "half").agg(n.alias("n"), (F.sum(m * z) / n).alias("m"), (F.try_divide(F.sum(m * z * z) - F.sum(m * z) * F.sum(m * z) / n, n - 1)).alias("v"))
         found.append(_rhat(sums, name))
-    both = attach(found[0], found[1], ("param",), "left")
-    return both.withColumn("rhat", F.greatest("rhat_bulk", "rhat_tail"))
+    both = written(attach(found[0], found[1], ("param",), "left").withColumn("rhat", F.greatest("rhat_bulk", "rhat_tail")), "rhat")
+    for one in (halves, folded):
+        remove_path(draws.sparkSession, one.tallyforge_path)
+    return both
 
 
 #: Draws of a block. A block meets two others at a time, whatever the lag.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -19,9 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tallyforge.operators.features import (
+    BINS,
     RECIPE_COLUMNS,
     add_columns,
     assembler,
+    fit_bins,
     fit_filled,
     fit_recipe,
     replace_columns,
@@ -30,11 +33,16 @@ from tallyforge.operators.metrics import regression_metrics
 from tallyforge.operators.moments import block_moments, elastic_net
 from tallyforge.session import remove_path, work_path
 
+#: Cells of a boosted fit that a task takes at least.
+CELLS_EACH = 32_768
+
 
 @contextmanager
-def _training(df: DataFrame) -> Iterator[DataFrame]:
+def _training(df: DataFrame, each: int = 1) -> Iterator[DataFrame]:
     """Rows kept for the many passes of an iterative fit, spread over all cores when they lie in few files.
 
+    A task takes at least about ``each`` rows: of short passes the tasks themselves are most of the time.
+
     They are written once to the shared folder, so that the passes plan a scan and not the whole preparation again, and
     a lost executor reads them there; the folder is removed after the fit.
     """
@@ -45,8 +53,11 @@ def _training(df: DataFrame) -> Iterator[DataFrame]:
     path = work_path(spark, "training")
     df.write.parquet(path)
     written = spark.read.schema(df.schema).parquet(path)
-    cores = context.defaultParallelism
-    kept = (written.repartition(cores) if written.rdd.getNumPartitions() < cores else written).persist(StorageLevel.MEMORY_AND_DISK)
+    tasks, files = context.defaultParallelism, written.rdd.getNumPartitions()
+    if each > 1:
+        most = max(1, written.count() // each)
+        tasks, written = min(tasks, most), written.coalesce(most)
+    kept = (written.repartition(tasks) if files < tasks else written).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield kept
     finally:
@@ -83,16 +94,27 @@ def fit_rate_model(
 
     The preparation works on copies, so scored rows keep their own columns. A missing term counts as
     none of the levels. Also returns the predictor names.
+
+    Trees see a predictor only as one of its bins, so rows that share all bins always meet in a leaf, and their number and mean
+    label say all a squared loss asks of them. Every row is counted into its cell once; the trees are fitted on the cells,
+    whose number the bins bound, whatever the number of rows.
     """
     copy = add_columns({f"{c}_x": f"`{c}`" for c in (*RECIPE_COLUMNS, "term")})
     copied = copy.transform(train)
     recipe, names = fit_recipe(copied, tuple(f"{c}_x" for c in RECIPE_COLUMNS), "term_x")
     fill = replace_columns({c: f"coalesce(`{c}`, 0.0D)" for c in names})
-    vector = assembler(names, "keep")  # no gap is left
-    ready = vector.transform(fill.transform(recipe.transform(copied))).select("features", label)
+    known = F.coalesce(F.col(label).cast("double"), F.lit(float("nan"))).alias(label)  # the fit refuses a missing label
+    ready = fill.transform(recipe.transform(copied)).select(*names, known)
     with _training(ready) as rows:
-        boosted = GBTRegressor(labelCol=label, maxIter=trees, maxDepth=5, seed=seed).fit(rows)
-    return PipelineModel([copy, *recipe.stages, fill, vector, boosted]), names
+        bins = fit_bins(rows, names, seed)
+        binned = bins.getOutputCols()
+        vector = assembler(binned, "keep")  # no gap is left
+        ordered = [F.col(c).alias(c, metadata={}) for c in binned]  # bins are marked as categories, which trees split without order
+        cells = bins.transform(rows).groupBy(*ordered).agg(F.avg(label).alias(label), F.count(F.lit(1)).cast("double").alias("_rows"))
+        with _training(vector.transform(cells).select("features", label, "_rows"), CELLS_EACH) as kept:
+            tried = max(BINS, math.isqrt(kept.count()) + 1)  # its square is the number of rows that Spark looks for bins in: all cells
+            boosted = GBTRegressor(labelCol=label, weightCol="_rows", maxIter=trees, maxDepth=5, maxBins=tried, seed=seed).fit(kept)
+    return PipelineModel([copy, *recipe.stages, fill, bins, vector, boosted]), names
 
 
 def shorter(model: PipelineModel, trees: int) -> PipelineModel:

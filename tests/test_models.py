@@ -2,6 +2,9 @@
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import Bucketizer
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from tallyforge.operators import features, joins, lambda_path, metrics, models, sampling
@@ -162,6 +165,43 @@ def test_rate_model(spark, base):
     assert [r["feature"] for r in first] == names[:2]
 
 
+def test_rate_model_is_fitted_on_cells_of_equal_bins(spark, monkeypatch):
+    """Each cell once, all rows counted, and the same trees as on the rows one by one."""
+    rows = spark.range(3000).selectExpr(
+        "id AS member_id", "double(5 + id * id % 23) AS int_rate", "if(id % 3 = 0, ' 60 months', ' 36 months') AS term",
+        "string(id % 30) AS bc_util", "if(id % 3 = 1, NULL, string(7 * (id % 5))) AS bc_open_to_buy", "string(id % 2) AS all_util")
+    seen, fit = [], GBTRegressor.fit
+
+    def noted(self, df):
+        seen.append((df.count(), df.agg(F.sum("_rows")).first()[0] if "_rows" in df.columns else None))
+        return fit(self, df)
+
+    monkeypatch.setattr(GBTRegressor, "fit", noted)
+    model, names = models.fit_rate_model(rows, trees=6)
+    assert seen == [(30, 3000.0)]
+    at = next(i for i, stage in enumerate(model.stages) if isinstance(stage, Bucketizer))
+    ready = features.assembler(names, "keep").transform(PipelineModel(model.stages[:at]).transform(rows))
+    plain = fit(GBTRegressor(labelCol="int_rate", maxIter=6, maxDepth=5, seed=42), ready)
+    both = models.predict(model, models.predict(PipelineModel([plain]), ready, "a").select(*rows.columns, "a"), "b")
+    assert both.where("abs(a - b) < 1e-9").count() == 3000
+    with pytest.raises(Exception, match="(?i)label"):
+        models.fit_rate_model(rows.withColumn("int_rate", F.expr("if(member_id = 7, NULL, int_rate)")), trees=2)
+
+
+def test_bin_edges(spark, monkeypatch):
+    assert features.bin_edges(np.array([1.0, 2.0, 4.0]), np.array([5, 1, 9])) == [1.5, 3.0]
+    assert features.bin_edges(np.arange(100.0), np.ones(100, int), 3) == [24.5, 49.5, 74.5]
+    assert features.bin_edges(np.array([3.0]), np.array([8])) == []
+    rows = spark.createDataFrame([(x, 0.0) for x in (1.0, 2.0, 2.0, 4.0)], "x double, y double")
+    bins = features.fit_bins(rows, ["x", "y"])
+    found = bins.transform(spark.createDataFrame([(1.5, 0.0), (3.5, 0.0), (2.0, 0.0), (-9.0, 0.0)], "x double, y double")).collect()
+    assert [(r.x_bin, r.y_bin) for r in found] == [(0.0, 0.0), (2.0, 0.0), (1.0, 0.0), (0.0, 0.0)]  # an edge belongs to the lower bin
+    monkeypatch.setattr(features, "EDGE_VALUES", 50)  # more values: edges of a sample, every row is binned
+    many = spark.range(5000).selectExpr("double(id) AS x")
+    sizes = features.fit_bins(many, ["x"]).transform(many).groupBy("x_bin").count().collect()
+    assert len(sizes) == 32 and sum(r["count"] for r in sizes) == 5000
+
+
 def test_union_keeps_names_and_duplicates(spark):
     a = spark.createDataFrame([(1, "x")], "k int, s string")
     b = spark.createDataFrame([("x", 1)], "s string, k int")

@@ -83,12 +83,12 @@ class Bins:
         self.next += 1
 
 
-def pack_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", capacity: int = 2048, end_id: int = 1, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", capacity: int = 2048, end_id: int = 1, with_ids: bool = False, keep_words: int = KEEP_WORDS) -> DataFrame:
     """A row per piece: where it stands in its document and in its sequence, with ``ids`` on demand.
 
     A null or empty text is the end id alone. Repeated rows are documents of their own. Ties in length keep the order of
     the rows. An empty table gives no sequence. Pieces in a sequence lie without a gap from offset 0, and every id of a
-    document lies in exactly one piece.
+    document lies in exactly one piece. A worker keeps the ids of about ``keep_words`` words; what it forgets is encoded again.
     """
     kind = docs.schema[key].dataType.simpleString()
     names = [key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
@@ -109,8 +109,8 @@ def pack_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str =
 
         for part, texts in grouped(batches, "_text", keep=(("bpe", path), ("ids", path))):
             key_type = part.schema.field(0).type
-            if len(table) > KEEP_WORDS:
-                first = list(islice(table.items(), KEEP_WORDS // 3))
+            if len(table) > keep_words:
+                first = list(islice(table.items(), keep_words // 3))
                 table.clear()
                 table.update(first)
             done: list[tuple] = []

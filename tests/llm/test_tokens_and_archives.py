@@ -95,6 +95,16 @@ def test_packing(spark):
     assert harmonic.pack_documents(docs.limit(0), PATH).count() == 0
 
 
+def test_packing_with_a_small_table_of_words(spark):
+    """Words that a worker has forgotten are encoded again: the table's size is no part of the result."""
+    texts = [(i, " ".join(f"w{j} x{j}y." for j in range(i, i + 40))) for i in range(60)]
+    docs = H.documents(spark, texts).coalesce(1)
+    found = [harmonic.pack_documents(docs, PATH, keep_words=n).orderBy("doc_id", "start").collect() for n in (9, 1000)]
+    assert found[0] == found[1]
+    check_packing(found[0], texts)
+    assert queries.PACKING_WORDS > word_bpe.KEEP_WORDS
+
+
 def test_packing_query(spark, base):
     texts = [(r.doc_id, r.text) for r in table(spark, base, "documents").collect()]
     assert check_packing(queries.op6_harmonic_packing(spark, base).collect(), texts) > 0.97

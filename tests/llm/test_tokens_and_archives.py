@@ -275,6 +275,62 @@ def test_no_task_holds_more_than_two_slices(spark, monkeypatch):
     assert len(sizes) > 100 and max(sizes) < 2 * 50 * 2
 
 
+def placed_vectors(frame, grid=0):
+    return frame.select(F.col("vec_id").alias("node"), F.lit(1).cast("long").alias("copies"), "label", F.col("embedding").alias("vector"), F.size("embedding").alias("d"), F.lit(grid).alias("grid"))
+
+
+def test_a_turn_sends_every_slice_to_one_task(spark, monkeypatch):
+    monkeypatch.setattr(subspace_join, "CELL_ROWS", 100)
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=64).astype("f4").tolist(), i % 3 % 2) for i in range(1500)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    packed = subspace_join.slices(placed_vectors(frame), 0.93, "bigint")
+    size = packed.agg(F.sum(F.length("rows"))).first()[0]
+    assert size < 1500 * 64 * 4 * 1.5  # once, and not for each block and cell
+    pairs, turns = Counter(), packed.agg(F.max("parts")).first()[0]
+    for turn in range(turns):
+        met = subspace_join.in_pairs(packed, turn, turn + 1)
+        assert all(r.n == 1 for r in met.groupBy("label", "slice").agg(F.countDistinct("i", "j").alias("n")).collect())
+        assert met.agg(F.sum(F.length("rows"))).first()[0] <= size
+        pairs.update((r.label, r.i, r.j) for r in met.select("label", "i", "j").distinct().collect())
+    assert turns == 10 and set(pairs) == {(k, i, j) for k, n in ((0, 10), (1, 5)) for i in range(n) for j in range(i, n)} and set(pairs.values()) == {1}
+
+
+@pytest.mark.parametrize(("least", "d"), [(0.93, 64), (0.9995, 6)])
+def test_vectors_in_many_slices_and_cells(spark, monkeypatch, least, d):
+    for name, value in (("PER_GRID", 10), ("CELL_ROWS", 60), ("PIECE_VALUES", 500), ("STEP", 16), ("MOVED_ROWS", 0), ("TURNS", 3), ("BROADCAST_VECTORS", 0)):
+        monkeypatch.setattr(subspace_join, name, value)
+    rng, rows = np.random.default_rng(4), []
+    for k in range(40):  # tight clusters, one of them large, and vectors between whose links hang on the last digits
+        centre = rng.normal(size=d)
+        for _ in range(150 if k == 0 else rng.integers(1, 8)):
+            v = centre + rng.normal(size=d) * rng.choice([0.0, 0.02, 0.1]) * np.sqrt((1 - least) * 10)
+            rows.append((len(rows), v.astype("f4").tolist(), "b" if k % 4 == 1 else "a"))
+    for k in range(0, len(rows), 9):
+        rows.append((len(rows), rows[k][1], rows[k][2]))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string")
+    found = subspace_join.near_vectors(frame.repartition(5), cosine=least).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == brute_vectors(rows, least)
+
+
+def test_tiles_equal_single_pairs():
+    rng = np.random.default_rng(6)
+    x = np.concatenate([np.ones((90, 24)) + rng.normal(size=(90, 24)) * 0.3, rng.normal(size=(200, 24))]).astype("f4")
+    x, copies = x[rng.permutation(290)], rng.integers(1, 4, 290)
+    y = x.astype(float)
+    size = np.sqrt(np.einsum("ij,ij->i", y, y))
+    links = np.array([[a != b and y[a] @ y[b] / (size[a] * size[b]) >= 0.93 for b in range(290)] for a in range(290)])
+    assert 400 < links.sum() < 8000
+    cell = subspace_join.Compared(x, copies, 0.93, 32)
+    for one, two in (((0, 200), (0, 200)), ((0, 200), (200, 290)), ((200, 290), (200, 290))):
+        cell.compare(range(*one), range(*two))
+    assert cell.n.tolist() == (links @ copies).tolist()
+    root = np.arange(290)
+    for _ in range(290):
+        root = np.minimum(root, np.where(links, root, 290).min(axis=1))
+    assert cell.roots().tolist() == root.tolist()
+
+
 def test_vector_query(spark, base):
     rows = [(r.vec_id, r.embedding, r.label) for r in table(spark, base, "embeddings").collect()]
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in queries.op8_subspace_join(spark, base).collect()) == brute_vectors(rows)

@@ -26,3 +26,10 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="module", autouse=True)
+def nothing_cached_for_others(spark):
+    """Tables that a module's fixtures cache don't replace the plans of the modules after it."""
+    yield
+    spark.catalog.clearCache()
